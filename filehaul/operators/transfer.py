@@ -316,6 +316,29 @@ class _Segment:
         self.output = None
 
 
+def write_contents(table: DataFrame, target: str, name: str, content: str) -> DataFrame:
+    """Write every row's content to an object of its own; one result row per object.
+
+    ``name`` holds object names below ``target``. Lazy: every evaluation writes.
+    """
+    data = F.col(content).cast("binary")
+    rows = table.select(
+        F.col(name).alias("targetName"),
+        F.lit(0).cast("long").alias("seg_no"),
+        F.lit(1).cast("long").alias("n_segments"),
+        F.lit(0).cast("long").alias("chunk_no"),
+        F.lit(True).alias("is_last"),
+        data.alias("data"),
+        F.octet_length(data).cast("long").alias("seg_bytes"),
+        F.crc32(data).alias("seg_crc32"),
+        F.sha2(data, 256).alias("seg_sha256"),
+        *(F.lit(None).cast(kind).alias(field) for field, kind in
+          (("error", "string"), ("data_key", "binary"), ("run_key", "binary"))),
+    )
+    write = partial(write_chunks, target=target, run_id=uuid.uuid4().hex)
+    return rows.mapInArrow(write, result_schema(rows.schema))
+
+
 def join_parts(results: DataFrame, target: str, layout: str, record_errors: bool) -> DataFrame:
     """Join the parts of bigger files into their objects; result rows per segment again.
 

@@ -56,3 +56,8 @@ def open_filesystem(uri: str, opened: dict | None = None) -> tuple[pafs.FileSyst
         opened[scheme, host] = pafs.FileSystem.from_uri(f"{scheme}://{host}/")
     filesystem, base = opened[scheme, host]
     return filesystem, base.rstrip("/") + re.sub("/{2,}", "/", path)
+
+
+def exists(uri: str) -> bool:
+    filesystem, path = open_filesystem(uri)
+    return filesystem.get_file_info(path).type != pafs.FileType.NotFound
