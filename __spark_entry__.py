@@ -7,6 +7,7 @@ out to the shared folder once per session and scale.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -68,9 +69,11 @@ def _tree(spark: SparkSession, sf_dir: str) -> str:
         cores = spark.sparkContext.defaultParallelism
         if documents.rdd.getNumPartitions() < cores:
             documents = documents.repartition(cores)
-        transfer.write_contents(documents, root, "path", "text").write.parquet(
+        run_id = uuid.uuid4().hex
+        transfer.write_contents(documents, root, run_id, "path", "text").write.parquet(
             new_shared_dir(spark, "tree-results")
         )
+        transfer.delete_run_folder(root, run_id)
         _trees[key] = root
     return paths_of(_trees[key])
 

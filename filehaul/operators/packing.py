@@ -17,6 +17,7 @@ from filehaul.options import check_max_split_size
 GROUP_FILES = 65_536
 # Most tasks a packed table is spread over; a task takes several splits beyond it.
 MAX_TASKS = 50_000
+_TIE_COLUMNS = ("fullPath", "relativePath", "seg_no")
 
 
 def n_splits(n_files: int, max_split_size: int | None = None) -> int:
@@ -36,7 +37,7 @@ def pack_files(
     files: DataFrame,
     max_split_size: int | None = None,
     size: str = "fileSize",
-    ties: tuple[str, ...] = ("fullPath",),
+    ties: tuple[str, ...] | None = None,
     group_files: int = GROUP_FILES,
     n_files: int | None = None,
 ) -> DataFrame:
@@ -48,8 +49,13 @@ def pack_files(
     the groups in turn, forward and back, so every group holds the same mix of
     sizes. The number of splits is always exact.
     Give ``n_files`` when it is known, to save the count.
+
+    ``ties`` orders files of equal size. It must leave no two different rows
+    equal, or a repeated task could deal them differently.
     """
     cap = check_max_split_size(max_split_size)
+    if ties is None:
+        ties = tuple(name for name in _TIE_COLUMNS if name in files.columns)
     n_files = files.count() if n_files is None else n_files
     total = n_splits(n_files, cap)
     groups = max(1, -(-total // max(1, group_files // cap)))

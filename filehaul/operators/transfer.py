@@ -1,8 +1,9 @@
 """Writing of chunk rows to target objects.
 
 A task opens one object at a time. An object gets its name only when it is
-complete: local and HDFS targets are written under a name no other attempt uses
-and renamed. Segments of bigger files become parts, joined by a second job.
+complete: on local and HDFS targets it is written to the run's own folder,
+under a name no other attempt uses, and moved. Segments of bigger files become
+parts in that folder, joined by a second job.
 """
 
 from __future__ import annotations
@@ -39,7 +40,6 @@ _RESULT_ARROW = [
     ("status", pa.string()),
     ("error", pa.string()),
 ]
-PARTS_FOLDER = "_parts"
 _COPY_BYTES = 4 << 20
 
 
@@ -88,19 +88,23 @@ def result_schema(chunk_schema: StructType) -> StructType:
     return StructType(kept + RESULT_SCHEMA.fields)
 
 
+def run_folder(run_id: str) -> str:
+    """Folder below the target for parts and unfinished objects of a run."""
+    return f"_run-{run_id}"
+
+
 class _Target:
-    """An object under construction."""
+    """An object under construction; ``unfinished`` is its URI until it is complete."""
 
-    def __init__(self, uri: str, opened: dict, made_dirs: set, final: bool = True):
+    def __init__(self, uri: str, unfinished: str, opened: dict, made_dirs: set):
         self.filesystem, self.path = open_filesystem(uri, opened)
-        self.renamed = final and self.filesystem.type_name not in ATOMIC_STORES
         self.open_path = self.path
-        folder, name = posixpath.split(self.path)
-        if self.renamed:
-            self.open_path = f"{folder}/.{uuid.uuid4().hex}.tmp"
-        if self.filesystem.type_name not in ATOMIC_STORES and folder not in made_dirs:
-            self.filesystem.create_dir(folder, recursive=True)
-            made_dirs.add(folder)
+        if self.filesystem.type_name not in ATOMIC_STORES:
+            self.open_path = open_filesystem(unfinished, opened)[1]
+            for folder in {posixpath.dirname(self.path), posixpath.dirname(self.open_path)}:
+                if folder not in made_dirs:
+                    self.filesystem.create_dir(folder, recursive=True)
+                    made_dirs.add(folder)
         self.stream = self.filesystem.open_output_stream(self.open_path)
         self.size = 0
 
@@ -110,7 +114,7 @@ class _Target:
 
     def publish(self) -> None:
         self.stream.close()
-        if not self.renamed:
+        if self.open_path == self.path:
             return
         try:
             self.filesystem.move(self.open_path, self.path)
@@ -199,7 +203,8 @@ class _Segment:
     def __init__(self, item: dict, job: _Job):
         self.item, self.job = item, job
         self.whole = item["n_segments"] == 1
-        self.part = None if self.whole else f"{PARTS_FOLDER}/{job.run_id}/{uuid.uuid4().hex}"
+        self.scratch = f"{run_folder(job.run_id)}/{uuid.uuid4().hex}"
+        self.part = None if self.whole else self.scratch
         self.output: _Target | None = None
         self.digest, self.plain_bytes = hashlib.sha256(), 0
         self.offset = 0
@@ -230,8 +235,13 @@ class _Segment:
     def _start(self, data_key: bytes | None) -> None:
         if self.job.dry_run:
             return
-        uri = f"{self.job.target}/{self.item['targetName'] if self.whole else self.part}"
-        self.output = _Target(uri, self.job.opened, self.job.made_dirs, final=self.whole)
+        name = self.item["targetName"] if self.whole else self.part
+        self.output = _Target(
+            f"{self.job.target}/{name}",
+            f"{self.job.target}/{self.scratch}",
+            self.job.opened,
+            self.job.made_dirs,
+        )
         item = self.item
         if self.job.layout == "zip" and self.whole:
             self.output.write(
@@ -316,10 +326,13 @@ class _Segment:
         self.output = None
 
 
-def write_contents(table: DataFrame, target: str, name: str, content: str) -> DataFrame:
+def write_contents(
+    table: DataFrame, target: str, run_id: str, name: str, content: str
+) -> DataFrame:
     """Write every row's content to an object of its own; one result row per object.
 
-    ``name`` holds object names below ``target``. Lazy: every evaluation writes.
+    ``name`` holds object names below ``target``. Lazy: every evaluation
+    writes. Remove ``run_folder(run_id)`` below the target when it is done.
     """
     data = F.col(content).cast("binary")
     rows = table.select(
@@ -335,11 +348,13 @@ def write_contents(table: DataFrame, target: str, name: str, content: str) -> Da
         *(F.lit(None).cast(kind).alias(field) for field, kind in
           (("error", "string"), ("data_key", "binary"), ("run_key", "binary"))),
     )
-    write = partial(write_chunks, target=target, run_id=uuid.uuid4().hex)
+    write = partial(write_chunks, target=target, run_id=run_id)
     return rows.mapInArrow(write, result_schema(rows.schema))
 
 
-def join_parts(results: DataFrame, target: str, layout: str, record_errors: bool) -> DataFrame:
+def join_parts(
+    results: DataFrame, target: str, run_id: str, layout: str, record_errors: bool
+) -> DataFrame:
     """Join the parts of bigger files into their objects; result rows per segment again.
 
     Reading, compression and encryption were spread over tasks before; what is
@@ -357,7 +372,7 @@ def join_parts(results: DataFrame, target: str, layout: str, record_errors: bool
         F.first("modificationTime").alias("modificationTime"),
     )
     joined = files.mapInArrow(
-        partial(_join, target=target, layout=layout, record_errors=record_errors),
+        partial(_join, target=target, run_id=run_id, layout=layout, record_errors=record_errors),
         "targetName string, fullPath string, seg_no long, _offset long, _error string",
     )
     error = F.coalesce("error", "_error")
@@ -373,7 +388,7 @@ def join_parts(results: DataFrame, target: str, layout: str, record_errors: bool
 
 
 def _join(
-    batches: Iterator[pa.RecordBatch], target: str, layout: str, record_errors: bool
+    batches: Iterator[pa.RecordBatch], target: str, run_id: str, layout: str, record_errors: bool
 ) -> Iterator[pa.RecordBatch]:
     opened: dict = {}
     made_dirs: set = set()
@@ -386,7 +401,9 @@ def _join(
                 failure = "another segment of the file failed"
             else:
                 try:
-                    offsets = _join_file(item, segments, target, layout, opened, made_dirs)
+                    offsets = _join_file(
+                        item, segments, target, run_id, layout, opened, made_dirs
+                    )
                 except (OSError, ValueError) as error:
                     if not record_errors:
                         raise
@@ -403,8 +420,9 @@ def _join(
             )
 
 
-def _join_file(item, segments, target, layout, opened, made_dirs) -> list[int]:
-    output = _Target(f"{target}/{item['targetName']}", opened, made_dirs)
+def _join_file(item, segments, target, run_id, layout, opened, made_dirs) -> list[int]:
+    unfinished = f"{target}/{run_folder(run_id)}/{uuid.uuid4().hex}"
+    output = _Target(f"{target}/{item['targetName']}", unfinished, opened, made_dirs)
     zipped = layout == "zip"
     entry = (item["fileName"], item["modificationTime"], framing.needs_zip64(item["fileSize"]))
     try:
@@ -430,8 +448,8 @@ def _join_file(item, segments, target, layout, opened, made_dirs) -> list[int]:
     return offsets
 
 
-def delete_parts(target: str, run_id: str) -> None:
-    """Remove the parts of a run once they are joined."""
-    filesystem, path = open_filesystem(f"{target}/{PARTS_FOLDER}/{run_id}")
+def delete_run_folder(target: str, run_id: str) -> None:
+    """Remove joined parts and what lost attempts left behind."""
+    filesystem, path = open_filesystem(f"{target}/{run_folder(run_id)}")
     if filesystem.get_file_info(path).type == pafs.FileType.Directory:
         filesystem.delete_dir(path)

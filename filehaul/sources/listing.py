@@ -15,7 +15,7 @@ from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from filehaul.functions import paths
@@ -80,17 +80,18 @@ def scan_tree(
     while waiting:
         tasks = -(-waiting // _DIRECTORIES_PER_TASK)
         tasks = min(waiting, max(tasks, spark.sparkContext.defaultParallelism))
-        level.repartition(tasks).mapInArrow(_list_directories, _ENTRY_SCHEMA).write.partitionBy(
-            "kind"
-        ).parquet(f"{tree}/depth={depth}")
+        found = Observation()
+        level.repartition(tasks).mapInArrow(_list_directories, _ENTRY_SCHEMA).observe(
+            found, F.count_if(F.col("kind") == "dir").alias("directories")
+        ).write.partitionBy("kind").parquet(f"{tree}/depth={depth}")
         if not recursive:
             break
+        waiting = found.get["directories"]
         level = (
             _entries(spark, tree, f"{tree}/depth={depth}")
             .where(F.col("kind") == "dir")
             .select("root", "uri")
         )
-        waiting = level.count()
         depth += 1
     return _entries(spark, tree, f"{tree}/depth=*")
 

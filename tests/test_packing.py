@@ -1,0 +1,103 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from filehaul.operators import ordering, packing
+
+
+def table(spark, sizes):
+    rows = [(f"/f{number:05d}", size) for number, size in enumerate(sizes)]
+    return spark.createDataFrame(rows, "fullPath string, fileSize long")
+
+
+def greedy(sizes, cap):
+    """Plain sequential packing to compare with."""
+    files = sorted(((size, f"/f{number:05d}") for number, size in enumerate(sizes)),
+                   key=lambda file: (-file[0], file[1]))
+    splits = [[0, 0, number] for number in range(-(-len(sizes) // cap))]
+    chosen = {}
+    for size, path in files:
+        split = min((s for s in splits if s[1] < cap), key=lambda s: (s[0], s[2]))
+        split[0] += size
+        split[1] += 1
+        chosen[path] = split[2]
+    return chosen
+
+
+CASES = {
+    "none": ([], 4),
+    "one": ([7], 4),
+    "equal": ([5] * 12, 4),
+    "multiple": (list(range(16)), 4),
+    "dominant": ([1_000_000] + [1] * 20, 4),
+    "cap one": ([3, 1, 2], 1),
+    "random": ([random.Random(1).randrange(1000) for _ in range(301)], 16),
+}
+
+
+@pytest.mark.parametrize("case", CASES)
+def test_one_group_is_plain_greedy(spark, case):
+    sizes, cap = CASES[case]
+    packed = packing.pack_files(table(spark, sizes), cap)
+    assert {row["fullPath"]: row["split_id"] for row in packed.collect()} == greedy(sizes, cap)
+
+
+@pytest.mark.parametrize("sizes, cap, group", [
+    ([random.Random(2).randrange(1000) for _ in range(1003)], 16, 64),
+    ([1] * 500, 8, 32),
+    ([10_000] * 170 + [1] * 331, 7, 14),
+])
+def test_groups_keep_the_rules(spark, sizes, cap, group):
+    packed = packing.pack_files(table(spark, sizes), cap, group_files=group)
+    totals = packing.split_totals(packed).collect()
+    assert len(totals) == -(-len(sizes) // cap)
+    assert max(row["files"] for row in totals) <= cap
+    assert sum(row["files"] for row in totals) == len(sizes)
+    assert sum(row["total_bytes"] for row in totals) == sum(sizes)
+    assert packed.select("fullPath").distinct().count() == len(sizes)
+    average = sum(sizes) / len(totals)
+    assert max(row["total_bytes"] for row in totals) <= 2 * average + max(sizes)
+
+
+def test_rank_equals_a_sort(spark):
+    sizes = [random.Random(3).randrange(20) for _ in range(777)]
+    ranked = ordering.with_rank(table(spark, sizes).repartition(7), F.desc("fileSize"), "fullPath")
+    rows = sorted(ranked.collect(), key=lambda row: row["rank"])
+    assert [row["rank"] for row in rows] == list(range(777))
+    keys = [(-row["fileSize"], row["fullPath"]) for row in rows]
+    assert keys == sorted(keys)
+
+
+def test_every_split_has_its_own_partition(spark):
+    packed = packing.pack_files(table(spark, range(100)), 9)
+    placed = packing.one_task_per_split(packed, 12).withColumn("task", F.spark_partition_id())
+    assert placed.where("task <> split_id").count() == 0
+    few = packing.one_task_per_split(packed, 12, max_tasks=5)
+    assert few.rdd.getNumPartitions() == 5 and few.count() == 100
+    assert packing.split_records(packed, 3).count() == packed.where("split_id = 3").count() > 0
+
+
+def test_split_count(spark):
+    for n_files, cap, splits in [(0, 1, 0), (0, 5, 0), (1, 128, 1), (128, 128, 1), (129, 128, 2)]:
+        assert packing.n_splits(n_files, cap) == splits
+        row = packing.split_count(spark.range(n_files), cap).first()
+        assert (row["files"], row["splits"]) == (n_files, splits)
+
+
+def test_orders(spark):
+    files = table(spark, [1, 3, 3])
+    assert [row["fullPath"] for row in ordering.by_size(files).collect()] == [
+        "/f00001", "/f00002", "/f00000"]
+    assert [row["fullPath"] for row in ordering.by_path(files).collect()] == [
+        "/f00000", "/f00001", "/f00002"]
+    assert ordering.preview(table(spark, range(150))).count() == 100
+
+
+def test_split_order_by_bytes(spark):
+    packed = spark.createDataFrame(
+        [("a", 1, 0), ("b", 2, 0), ("c", 3, 1), ("a", 1, 2)],
+        "fullPath string, fileSize long, split_id long",
+    )
+    rows = ordering.by_bytes(packing.split_totals(packed)).collect()
+    assert [(row["split_id"], row["total_bytes"]) for row in rows] == [(2, 1), (0, 3), (1, 3)]
