@@ -20,26 +20,24 @@ import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from filehaul.functions import crypto, framing
-from filehaul.sources.chunks import CHUNK_SCHEMA
+from filehaul.sources.chunks import CHUNK_SCHEMA, arrow_columns
 from filehaul.storage import ATOMIC_STORES, open_filesystem
 
-RESULT_SCHEMA = StructType.fromDDL(
-    "bytes long, crc32 long, sha256 string, target_offset long, target_bytes long, "
-    "part string, status string, error string"
+RESULT_SCHEMA = StructType(
+    [
+        StructField("bytes", LongType()),
+        StructField("crc32", LongType()),
+        StructField("sha256", StringType()),
+        StructField("target_offset", LongType()),
+        StructField("target_bytes", LongType()),
+        StructField("part", StringType()),
+        StructField("status", StringType()),
+        StructField("error", StringType()),
+    ]
 )
-_RESULT_ARROW = [
-    ("bytes", pa.int64()),
-    ("crc32", pa.int64()),
-    ("sha256", pa.string()),
-    ("target_offset", pa.int64()),
-    ("target_bytes", pa.int64()),
-    ("part", pa.string()),
-    ("status", pa.string()),
-    ("error", pa.string()),
-]
 _COPY_BYTES = 4 << 20
 
 
@@ -175,11 +173,9 @@ def write_chunks(
                 )
         if places:
             done = batch.take(pa.array(places, pa.int64())).columns[: -len(CHUNK_SCHEMA.fields)]
-            done += [pa.array(column, kind) for column, (_, kind) in zip(zip(*results), _RESULT_ARROW)]
-            names = batch.schema.names[: -len(CHUNK_SCHEMA.fields)]
-            yield pa.RecordBatch.from_arrays(
-                done, names=names + [name for name, _ in _RESULT_ARROW]
-            )
+            done += arrow_columns(results, RESULT_SCHEMA)
+            names = batch.schema.names[: -len(CHUNK_SCHEMA.fields)] + RESULT_SCHEMA.names
+            yield pa.RecordBatch.from_arrays(done, names=names)
 
 
 @dataclass

@@ -15,29 +15,33 @@ from functools import partial
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BinaryType,
+    BooleanType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from filehaul.functions import crypto, framing, paths
 from filehaul.options import DEFAULT_CHUNK_BYTES, DEFAULT_SEGMENT_BYTES
 from filehaul.storage import open_filesystem
 
 # seg_* hold the plain bytes, CRC-32 and SHA-256 of the segment, on its last chunk only.
-_CHUNK_FIELDS = [
-    ("chunk_no", pa.int64()),
-    ("is_last", pa.bool_()),
-    ("data", pa.binary()),
-    ("seg_bytes", pa.int64()),
-    ("seg_crc32", pa.int64()),
-    ("seg_sha256", pa.string()),
-    ("error", pa.string()),
-    ("data_key", pa.binary()),
-    ("run_key", pa.binary()),
-]
-_CHUNK_DDL = (
-    "chunk_no long, is_last boolean, data binary, seg_bytes long, seg_crc32 long, "
-    "seg_sha256 string, error string, data_key binary, run_key binary"
+CHUNK_SCHEMA = StructType(
+    [
+        StructField("chunk_no", LongType()),
+        StructField("is_last", BooleanType()),
+        StructField("data", BinaryType()),
+        StructField("seg_bytes", LongType()),
+        StructField("seg_crc32", LongType()),
+        StructField("seg_sha256", StringType()),
+        StructField("error", StringType()),
+        StructField("data_key", BinaryType()),
+        StructField("run_key", BinaryType()),
+    ]
 )
-CHUNK_SCHEMA = StructType.fromDDL(_CHUNK_DDL)
 
 _BATCH_BYTES = 16 << 20
 _BATCH_ROWS = 1024
@@ -156,10 +160,17 @@ def _guarded(rows, item: dict, opened: dict, record_errors: bool) -> Iterator[tu
 
 def _chunk_batch(batch: pa.RecordBatch, places: list[int], made: list[tuple]) -> pa.RecordBatch:
     kept = batch.take(pa.array(places, pa.int64()))
-    added = [pa.array(values, kind) for values, (_, kind) in zip(zip(*made), _CHUNK_FIELDS)]
-    return pa.RecordBatch.from_arrays(
-        kept.columns + added, names=kept.schema.names + [name for name, _ in _CHUNK_FIELDS]
-    )
+    names = kept.schema.names + CHUNK_SCHEMA.names
+    return pa.RecordBatch.from_arrays(kept.columns + arrow_columns(made, CHUNK_SCHEMA), names=names)
+
+
+def arrow_columns(rows: list[tuple], schema: StructType) -> list[pa.Array]:
+    """Arrow columns of rows that hold the simple types of a schema."""
+    kinds = {"bigint": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary(), "string": pa.string()}
+    return [
+        pa.array(values, kinds[field.dataType.simpleString()])
+        for values, field in zip(zip(*rows), schema)
+    ]
 
 
 def _pieces(read: Callable[[int], bytes], size: int, length: int | None) -> Iterator[bytes]:

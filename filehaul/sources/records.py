@@ -4,12 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
 # Fixed value: the schema of the customer stream, in column order.
-CUSTOMER_SCHEMA = StructType.fromDDL(
-    "_id string, guid string, age int, isActive boolean, balance string, "
-    "picture string, index int, first string, last string, company string"
+CUSTOMER_SCHEMA = StructType(
+    [
+        StructField("_id", StringType()),
+        StructField("guid", StringType()),
+        StructField("age", IntegerType()),
+        StructField("isActive", BooleanType()),
+        StructField("balance", StringType()),
+        StructField("picture", StringType()),
+        StructField("index", IntegerType()),
+        StructField("first", StringType()),
+        StructField("last", StringType()),
+        StructField("company", StringType()),
+    ]
 )
 DEFAULT_BATCH_SECONDS = 10
 CORRUPT = "_corrupt_record"
