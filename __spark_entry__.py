@@ -7,6 +7,7 @@ out to the shared folder once per session and scale.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 from datetime import datetime
@@ -19,7 +20,7 @@ from filehaul.functions.anonymize import anonymize
 from filehaul.functions.crypto import generate_key_pair
 from filehaul.functions.fields import compress_fields, decompress_fields
 from filehaul.operators import ordering, packing, sync, transfer
-from filehaul.plans.export import ExportResult, export_tree
+from filehaul.plans.export import ExportResult, export_files
 from filehaul.plans.restore import checksum_content, checksum_files, import_files, verify_files
 from filehaul.sources import listing
 from filehaul.sources.records import text_records
@@ -61,7 +62,7 @@ def _manifest(spark: SparkSession, sf_dir: str, root: str = "/corpus/") -> DataF
 
 
 def _tree(spark: SparkSession, sf_dir: str) -> str:
-    """Documents as a tree of files in the shared folder; local path of its root."""
+    """Documents as a tree of files in the shared folder; URI of its root."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _trees:
         root = new_shared_dir(spark, "tree")
@@ -75,12 +76,14 @@ def _tree(spark: SparkSession, sf_dir: str) -> str:
         )
         transfer.delete_run_folder(root, run_id)
         _trees[key] = root
-    return paths_of(_trees[key])
+    return _trees[key]
 
 
-def paths_of(uri: str) -> str:
-    """Path part of a URI, as source paths carry no scheme."""
-    return "/" + uri.split(":", 1)[-1].lstrip("/")
+def _list(spark: SparkSession, roots: list[str], recursive: bool = True) -> DataFrame:
+    """List directories given by URI; source paths carry no scheme."""
+    scheme = "hdfs" if roots[0].startswith("hdfs:") else "file"
+    plain = ["/" + re.sub("^[a-z]+:(//[^/]*)?", "", root).lstrip("/") for root in roots]
+    return listing.list_files(spark, ",".join(plain), scheme, recursive)
 
 
 def _key_pair(spark: SparkSession) -> tuple[str, str]:
@@ -94,9 +97,8 @@ def _export(
     spark: SparkSession, sf_dir: str, compression: str, encryption: str
 ) -> tuple[str, ExportResult]:
     target = new_shared_dir(spark, "export")
-    result = export_tree(
-        spark,
-        f"{_tree(spark, sf_dir)}/corpus/",
+    result = export_files(
+        _list(spark, [f"{_tree(spark, sf_dir)}/corpus/"]),
         target,
         compression=compression,
         encryption=encryption,
@@ -123,19 +125,19 @@ def host_uri(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def list_real_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree = _tree(spark, sf_dir)
-    files = listing.list_files(spark, f"{tree}/corpus,{tree}/missing")
+    files = _list(spark, [f"{tree}/corpus", f"{tree}/missing"])
     return files.select("fileName", "relativePath", "hostURI", "fileSize", "isDir")
 
 
 def multi_root_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     corpus = f"{_tree(spark, sf_dir)}/corpus"
-    files = listing.list_files(spark, f"{corpus}/en/,{corpus}/")
+    files = _list(spark, [f"{corpus}/en/", f"{corpus}/"])
     return files.select("fileName", "relativePath", "fileSize")
 
 
 def non_recursive_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     corpus = f"{_tree(spark, sf_dir)}/corpus"
-    listed = listing.list_files(spark, f"{corpus}/en/src1/,{corpus}/", recursive=False)
+    listed = _list(spark, [f"{corpus}/en/src1/", f"{corpus}/"], recursive=False)
     derived = listing.direct_children(_manifest(spark, sf_dir), "/corpus/de/src2/")
     return listed.select("fileName", "fileSize").unionByName(derived.select("fileName", "fileSize"))
 
@@ -213,7 +215,7 @@ def pack_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def plain_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, _ = _export(spark, sf_dir, "NONE", "NONE")
-    copies = listing.list_files(spark, f"{paths_of(target)}/out/")
+    copies = _list(spark, [f"{target}/out/"])
     return checksum_files(copies).select("relativePath", "bytes", "sha256")
 
 
@@ -221,7 +223,7 @@ def zip_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, _ = _export(spark, sf_dir, "ZIP", "NONE")
     target = new_shared_dir(spark, "import")
     import_files(spark, source, target)
-    restored = listing.list_files(spark, f"{paths_of(target)}/")
+    restored = _list(spark, [f"{target}/"])
     return checksum_files(restored).select("relativePath", "bytes", "sha256")
 
 

@@ -130,6 +130,12 @@ def object_name(path: Column | str) -> Column:
     return F.regexp_extract(_without_scheme(_column(path)), "(?s)^[^/]+/(.*)$", 1)
 
 
+def split_target(spark: SparkSession, path: str) -> tuple[str, str]:
+    """Bucket and object prefix of one target path, as text."""
+    found = spark.sql("SELECT 1").select(bucket(F.lit(path)), object_name(F.lit(path))).first()
+    return found[0], found[1]
+
+
 def destination_prefix(
     name: Column | str,
     run_time: Column | datetime,

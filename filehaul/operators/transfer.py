@@ -147,7 +147,9 @@ def write_chunks(
     inflated where needed, hashed and compared to ``expected_sha256``, and only
     a segment that passes is published. ``dry_run`` checks without writing.
     """
-    job = _Job(target, run_id, layout, header, check, dry_run, record_errors, {}, set())
+    # A folder per task attempt: names are unique, and tasks do not wait for each other's folder.
+    scratch = f"{run_folder(run_id)}/{uuid.uuid4().hex}"
+    job = _Job(target, scratch, layout, header, check, dry_run, record_errors, {}, set())
     segment: _Segment | None = None
     for batch in batches:
         places, results = [], []
@@ -183,7 +185,7 @@ class _Job:
     """What all segments of a task have in common."""
 
     target: str
-    run_id: str
+    scratch: str
     layout: str
     header: dict | None
     check: bool
@@ -191,6 +193,7 @@ class _Job:
     record_errors: bool
     opened: dict
     made_dirs: set
+    started: int = 0
 
 
 class _Segment:
@@ -199,7 +202,8 @@ class _Segment:
     def __init__(self, item: dict, job: _Job):
         self.item, self.job = item, job
         self.whole = item["n_segments"] == 1
-        self.scratch = f"{run_folder(job.run_id)}/{uuid.uuid4().hex}"
+        self.scratch = f"{job.scratch}/{job.started}"
+        job.started += 1
         self.part = None if self.whole else self.scratch
         self.output: _Target | None = None
         self.digest, self.plain_bytes = hashlib.sha256(), 0
@@ -388,6 +392,7 @@ def _join(
 ) -> Iterator[pa.RecordBatch]:
     opened: dict = {}
     made_dirs: set = set()
+    scratch = f"{run_folder(run_id)}/{uuid.uuid4().hex}"
     for batch in batches:
         for item in batch.to_pylist():
             segments = item["segments"]
@@ -398,7 +403,7 @@ def _join(
             else:
                 try:
                     offsets = _join_file(
-                        item, segments, target, run_id, layout, opened, made_dirs
+                        item, segments, target, scratch, layout, opened, made_dirs
                     )
                 except (OSError, ValueError) as error:
                     if not record_errors:
@@ -416,8 +421,8 @@ def _join(
             )
 
 
-def _join_file(item, segments, target, run_id, layout, opened, made_dirs) -> list[int]:
-    unfinished = f"{target}/{run_folder(run_id)}/{uuid.uuid4().hex}"
+def _join_file(item, segments, target, scratch, layout, opened, made_dirs) -> list[int]:
+    unfinished = f"{target}/{scratch}/joined"
     output = _Target(f"{target}/{item['targetName']}", unfinished, opened, made_dirs)
     zipped = layout == "zip"
     entry = (item["fileName"], item["modificationTime"], framing.needs_zip64(item["fileSize"]))

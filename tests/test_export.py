@@ -214,3 +214,34 @@ def test_table_content_to_objects(spark, tmp_path):
         "x/a.txt": hashlib.sha256(b"text").hexdigest(), "b": hashlib.sha256(b"").hexdigest()}
     assert (tmp_path / "x" / "a.txt").read_bytes() == b"text"
     assert sorted(os.listdir(tmp_path)) == ["b", "x"]
+
+
+def test_repeated_tasks(spark, keys, make_tree, tmp_path):
+    """Every task dies once, after it has written objects; the repeat gives the same result."""
+    from pyspark import TaskContext
+
+    contents = {f"d{number % 3}/{number}": bytes([number]) * 3000 for number in range(40)}
+    files = listing.list_files(spark, make_tree(contents) + "/")
+    work = files.withColumn("targetName", F.concat(F.col("relativePath"), F.lit(".enc")))
+    options = ExportOptions(
+        encryption="PGP", public_key=keys[0], max_split_size=10, chunk_bytes=CHUNK
+    ).checked(spark)
+    segments = _planned_segments(spark, work, options)
+
+    def dies_once(batches):
+        for batch in batches:
+            yield batch
+        if TaskContext.get().attemptNumber() == 0:
+            raise RuntimeError("lost")
+
+    target = str(tmp_path / "target")
+    dying = transfer_rows(segments, target, "run", options).mapInArrow(
+        dies_once, transfer_rows(segments, target, "run", options).schema
+    )
+    rows = dying.collect()
+    assert sorted(row["relativePath"] for row in rows) == sorted(contents)
+    transfer.delete_run_folder(target, "run")
+    names = [os.path.relpath(os.path.join(folder, name), target)
+             for folder, _, found in os.walk(target) for name in found]
+    assert sorted(names) == sorted(f"{path}.enc" for path in contents)
+    assert all(os.path.getsize(f"{target}/{row['targetName']}") == row["target_bytes"] for row in rows)

@@ -91,6 +91,10 @@ def test_bucket_and_name(spark, path, bucket, name):
     assert value(spark, paths.object_name("p"), p=path) == name
 
 
+def test_split_target(spark):
+    assert paths.split_target(spark, "gs://bucket/a/b") == ("bucket", "a/b")
+
+
 @pytest.mark.parametrize("path", ["", "/", "//x", "buck et/x", "b*"])
 def test_bad_buckets(spark, path):
     with pytest.raises(PySparkException, match="bucket|empty"):
