@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from filehaul.functions import crypto, framing
+from filehaul.operators import packing
 from filehaul.sources.chunks import CHUNK_SCHEMA, arrow_columns
 from filehaul.storage import ATOMIC_STORES, open_filesystem
 
@@ -371,7 +372,13 @@ def join_parts(
         F.first("fileSize").alias("fileSize"),
         F.first("modificationTime").alias("modificationTime"),
     )
-    joined = files.mapInArrow(
+    # One task per file: left alone, Spark would merge these few bytes of metadata into one task.
+    count = results.where(F.col("seg_no") == 0).count()
+    packed = packing.pack_files(
+        files, max_split_size=1, ties=("fullPath", "targetName"), n_files=count
+    )
+    placed = packing.one_task_per_split(packed, count).drop("split_id")
+    joined = placed.mapInArrow(
         partial(_join, target=target, run_id=run_id, layout=layout, record_errors=record_errors),
         "targetName string, fullPath string, seg_no long, _offset long, _error string",
     )
@@ -434,7 +441,7 @@ def _join_file(item, segments, target, scratch, layout, opened, made_dirs) -> li
             offsets.append(output.size)
             filesystem, path = open_filesystem(f"{target}/{segment['part']}", opened)
             with filesystem.open_input_file(path) as source:
-                while data := source.read(_COPY_BYTES):
+                while data := source.read_buffer(_COPY_BYTES):
                     output.write(data)
             if zipped:
                 crc = framing.joined_crc(crc, segment["crc32"], segment["bytes"])
