@@ -37,6 +37,7 @@ _ARROW_ENTRY = pa.schema(
 )
 _ROWS_PER_BATCH = 10_000
 _DIRECTORIES_PER_TASK = 64
+_MAX_TASKS = 20_000
 
 
 def list_files(
@@ -78,8 +79,8 @@ def scan_tree(
     )
     waiting, depth = len(roots), 0
     while waiting:
-        tasks = -(-waiting // _DIRECTORIES_PER_TASK)
-        tasks = min(waiting, max(tasks, spark.sparkContext.defaultParallelism))
+        tasks = max(-(-waiting // _DIRECTORIES_PER_TASK), spark.sparkContext.defaultParallelism)
+        tasks = min(waiting, tasks, _MAX_TASKS)
         found = Observation()
         level.repartition(tasks).mapInArrow(_list_directories, _ENTRY_SCHEMA).observe(
             found, F.count_if(F.col("kind") == "dir").alias("directories")

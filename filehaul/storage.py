@@ -7,7 +7,7 @@ import tempfile
 import uuid
 
 from pyarrow import fs as pafs
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Stores that show an object only once it is complete, so that a temporary
 # name and a rename (a copy there) are not needed.
@@ -29,6 +29,21 @@ def new_shared_dir(spark: SparkSession, purpose: str) -> str:
     return qualified(spark, f"{base}/filehaul/{purpose}-{uuid.uuid4().hex}")
 
 
+def store_once(
+    rows: DataFrame, purpose: str, measures: dict[str, Column] | None = None
+) -> tuple[DataFrame, dict]:
+    """Evaluate rows into a table in the shared folder and read them back, with measures taken on the way."""
+    path = new_shared_dir(rows.sparkSession, purpose)
+    back = rows.sparkSession.read.schema(rows.schema)
+    if not measures:
+        rows.write.parquet(path)
+        return back.parquet(path), {}
+    observed = Observation()
+    named = [column.alias(name) for name, column in measures.items()]
+    rows.observe(observed, *named).write.parquet(path)
+    return back.parquet(path), observed.get
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """Path with the scheme and host of the session's default filesystem, when it has none."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -91,7 +91,7 @@ def test_content_does_not_cross_a_shuffle(spark, keys, make_tree, tmp_path):
     files = listing.list_files(spark, make_tree(CONTENT))
     work = files.withColumn("targetName", F.col("relativePath"))
     options = ExportOptions(encryption="PGP", public_key=keys[0]).checked(spark)
-    segments = _planned_segments(spark, work, options)
+    segments = _planned_segments(work, options)
     rows = transfer_rows(segments, str(tmp_path / "target"), "run", options)
     plan = rows._jdf.queryExecution().executedPlan().toString()
     above_shuffle = plan[: plan.index("Exchange")]
@@ -226,7 +226,7 @@ def test_repeated_tasks(spark, keys, make_tree, tmp_path):
     options = ExportOptions(
         encryption="PGP", public_key=keys[0], max_split_size=10, chunk_bytes=CHUNK
     ).checked(spark)
-    segments = _planned_segments(spark, work, options)
+    segments = _planned_segments(work, options)
 
     def dies_once(batches):
         for batch in batches:
