@@ -17,6 +17,8 @@ from filehaul.options import check_max_split_size
 GROUP_FILES = 65_536
 # Most tasks a packed table is spread over; a task takes several splits beyond it.
 MAX_TASKS = 50_000
+# Bytes a job gives to a task before it uses more tasks than the file cap asks for.
+TASK_BYTES = 256 << 20
 _TIE_COLUMNS = ("fullPath", "relativePath", "seg_no")
 
 
@@ -25,6 +27,14 @@ def n_splits(n_files: int, max_split_size: int | None = None) -> int:
     return -(-n_files // check_max_split_size(max_split_size))
 
 
+def job_splits(
+    n_files: int, total_bytes: int, max_split_size: int | None = None, task_bytes: int = TASK_BYTES
+) -> int:
+    """Splits of a job: as many as the file cap asks for, and more when the files are big."""
+    by_bytes = min(n_files, -(-total_bytes // task_bytes))
+    return max(n_splits(n_files, max_split_size), by_bytes)
+
+
 def split_count(files: DataFrame, max_split_size: int | None = None) -> DataFrame:
     """One row with ``files`` and ``splits``."""
     size = check_max_split_size(max_split_size)
@@ -40,6 +50,7 @@ def pack_files(
     ties: tuple[str, ...] | None = None,
     group_files: int = GROUP_FILES,
     n_files: int | None = None,
+    splits: int | None = None,
 ) -> DataFrame:
     """Add ``split_id``: at most ``max_split_size`` files per split, bytes spread evenly.
 
@@ -48,7 +59,8 @@ def pack_files(
     most ``group_files`` files, packed in parallel. Ranks by size are dealt to
     the groups in turn, forward and back, so every group holds the same mix of
     sizes. The number of splits is always exact.
-    Give ``n_files`` when it is known, to save the count.
+    Give ``n_files`` when it is known, to save the count, and ``splits`` for
+    more splits than the cap asks for.
 
     ``ties`` orders files of equal size. It must leave no two different rows
     equal, or a repeated task could deal them differently.
@@ -57,7 +69,7 @@ def pack_files(
     if ties is None:
         ties = tuple(name for name in _TIE_COLUMNS if name in files.columns)
     n_files = files.count() if n_files is None else n_files
-    total = n_splits(n_files, cap)
+    total = max(n_splits(n_files, cap), splits or 0)
     groups = max(1, -(-total // max(1, group_files // cap)))
     if groups == 1:
         keyed = files.withColumn("_group", F.lit(0))

@@ -81,14 +81,15 @@ class ExportOptions:
         return is_on("encryption", self.encryption, ENCRYPTIONS)
 
     def checked(self, spark: SparkSession) -> "ExportOptions":
-        if self.encrypt and not self.public_key:
+        compress, encrypt = self.compress, self.encrypt
+        if encrypt and not self.public_key:
             raise ValueError("encryption needs a public key")
-        if self.compress not in (True, False) or self.on_error not in ("fail", "record"):
+        if self.on_error not in ("fail", "record"):
             raise ValueError(f"on_error must be 'fail' or 'record', not {self.on_error!r}")
         check_date_pattern(spark, self.suffix)
         return ExportOptions(
-            compression="ZIP" if self.compress else "NONE",
-            encryption="PGP" if self.encrypt else "NONE",
+            compression="ZIP" if compress else "NONE",
+            encryption="PGP" if encrypt else "NONE",
             public_key=self.public_key,
             prefix=self.prefix,
             suffix=self.suffix,

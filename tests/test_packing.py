@@ -85,6 +85,17 @@ def test_split_count(spark):
         assert (row["files"], row["splits"]) == (n_files, splits)
 
 
+def test_big_files_get_more_splits(spark):
+    assert packing.job_splits(9, 0) == 1
+    assert packing.job_splits(9, 3 << 28) == 3
+    assert packing.job_splits(2, 3 << 28) == 2
+    assert packing.job_splits(1000, 1) == 8
+    packed = packing.pack_files(table(spark, [5] * 9), splits=4)
+    assert sorted(row["files"] for row in packing.split_totals(packed).collect()) == [2, 2, 2, 3]
+    grouped = packing.pack_files(table(spark, [5] * 90), 20, splits=30, group_files=40)
+    assert {row["files"] for row in packing.split_totals(grouped).collect()} == {3}
+
+
 def test_orders(spark):
     files = table(spark, [1, 3, 3])
     assert [row["fullPath"] for row in ordering.by_size(files).collect()] == [
