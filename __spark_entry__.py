@@ -23,6 +23,7 @@ from filehaul.operators import ordering, packing, sync, transfer
 from filehaul.plans.export import ExportResult, export_files
 from filehaul.plans.restore import checksum_content, checksum_files, import_files, verify_files
 from filehaul.sources import listing
+from filehaul.sources.chunks import read_files
 from filehaul.sources.records import text_records
 from filehaul.storage import new_shared_dir
 from filehaul.streaming.ingest import check_query, ingest_stream
@@ -213,6 +214,24 @@ def pack_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def file_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole content as chunk rows, with small pieces so that most files have several."""
+    files = _list(spark, [f"{_tree(spark, sf_dir)}/corpus/"])
+    rows = read_files(files, chunk_bytes=1000, segment_bytes=10_000)
+    return rows.groupBy("relativePath").agg(
+        F.count("*").alias("chunks"),
+        F.count_if("is_last").alias("segments"),
+        F.sum(F.octet_length("data")).alias("bytes"),
+    )
+
+
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, result = _export(spark, sf_dir, "NONE", "NONE")
+    names = ("files", "source_bytes", "target_bytes", "failed_segments")
+    row = tuple(result.metrics[name] for name in names)
+    return spark.createDataFrame([row], ", ".join(f"{name} long" for name in names))
+
+
 def plain_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, _ = _export(spark, sf_dir, "NONE", "NONE")
     copies = _list(spark, [f"{target}/out/"])
@@ -314,7 +333,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = [
         manifest_paths, host_uri, list_real_files, multi_root_scan, non_recursive_children,
         empty_path_filter, target_names, order_by_size_top, order_by_path_top, split_count,
-        split_totals, pack_invariants, plain_copy, zip_roundtrip, encrypt_roundtrip,
+        split_totals, pack_invariants, file_chunks, run_metrics, plain_copy, zip_roundtrip, encrypt_roundtrip,
         zip_encrypt_export, encrypt_export, verify_export, checksum_manifest,
         field_compress_roundtrip, stream_csv_to_table, table_limit_check, incremental_sync,
         anonymize_customer,
@@ -417,6 +436,17 @@ def oracle_sql() -> dict[str, str]:
         "pack_invariants": f"""
             SELECT count(*) AS files, CAST(sum(fileSize) AS BIGINT) AS bytes,
                    CAST(ceil(count(*) / 16.0) AS BIGINT) AS splits, true AS fits FROM ({_FILES})""",
+        "file_chunks": f"""
+            SELECT relativePath,
+                   CAST(CASE WHEN fileSize = 0 THEN 1
+                             ELSE (fileSize // 10000) * 10 + ceil((fileSize % 10000) / 1000.0)
+                        END AS BIGINT) AS chunks,
+                   CAST(greatest(1, ceil(fileSize / 10000.0)) AS BIGINT) AS segments,
+                   fileSize AS bytes FROM ({_FILES})""",
+        "run_metrics": f"""
+            SELECT count(*) AS files, CAST(sum(fileSize) AS BIGINT) AS source_bytes,
+                   CAST(sum(fileSize) AS BIGINT) AS target_bytes,
+                   CAST(0 AS BIGINT) AS failed_segments FROM ({_FILES})""",
         "plain_copy": f"""
             SELECT '2015-01-01-20-42/' || relativePath AS relativePath, fileSize AS bytes,
                    sha256(text) AS sha256 FROM ({_FILES})""",
