@@ -24,7 +24,7 @@ BUCKET_PATTERN = r"\A[a-zA-Z0-9-_.]+\z"
 _URI_PARTS = r"(?s)^(?:([a-zA-Z][a-zA-Z0-9+.\-]*):)?(?://([^/]*))?(.*)$"
 # A host is a name of letters, digits, dots and dashes, or a bracketed IPv6
 # address; user and port around it are dropped. Anything else is no host.
-_HOST = r"^(?:[^@]*@)?([A-Za-z0-9.\-]+|\[[0-9A-Fa-f:.]+\])(?::[0-9]*)?$"
+_HOST = r"^(?:[^@]*@)?([A-Za-z0-9.\-]+|\[[0-9A-Fa-f:.]+\])(?::[0-9]*)?\z"
 
 
 def _column(value: Column | str) -> Column:
@@ -38,7 +38,7 @@ def _text(value: Column | str) -> Column:
 def full_path(uri: Column | str) -> Column:
     """Path part of a file URI: no scheme, no host, single slashes."""
     path = F.regexp_replace(F.regexp_extract(_column(uri), _URI_PARTS, 3), "/{2,}", "/")
-    return F.regexp_replace(path, "(?<=.)/$", "")
+    return F.regexp_replace(path, r"(?s)(?<=.)/\z", "")
 
 
 def file_name(path: Column | str) -> Column:

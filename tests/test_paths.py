@@ -153,3 +153,35 @@ def test_bad_export_options(spark, options):
 def test_empty_options_are_off(spark):
     options = ExportOptions(compression="", encryption=None).checked(spark)
     assert not options.compress and not options.encrypt
+
+
+def test_random_paths(spark):
+    """Any text that can be a path, against the rules written in plain Python."""
+    import random
+    import re
+
+    source = random.Random(7)
+    letters = "ab.-_ %?#:@+é日\n'\"\\$"
+    rows = []
+    for _ in range(500):
+        parts = ["".join(source.choice(letters) for _ in range(source.randint(1, 6)))
+                 for _ in range(source.randint(1, 5))]
+        path = "/" + "/".join(parts)
+        depth = source.randint(0, len(parts) - 1)
+        root = "/" + "/".join(parts[:depth]) + source.choice(["", "/"] if depth else [""])
+        messy = path.replace("/", "/" * source.randint(1, 3)) + "/" * source.randint(0, 1)
+        rows.append((path, root, source.choice(["file://", "hdfs://node:8020", "hdfs://u@10.0.0.1"]) + messy))
+    table = spark.createDataFrame(rows, "path string, root string, uri string")
+    found = table.select(
+        "path", "root", "uri",
+        paths.full_path("uri").alias("full"),
+        paths.file_name("path").alias("name"),
+        paths.relative_path("path", F.col("root")).alias("relative"),
+        paths.host_uri("uri").alias("host"),
+    ).collect()
+    for row in found:
+        assert row["full"] == row["path"]
+        assert row["name"] == row["path"].rpartition("/")[2]
+        assert row["relative"] == row["path"][row["root"].rfind("/") + 1 :]
+        host = re.match(r"hdfs://(?:[^@/]*@)?([^:/]*)", row["uri"])
+        assert row["host"] == (f"hdfs://{host.group(1)}/" if host else "file:/")
