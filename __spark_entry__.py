@@ -28,6 +28,13 @@ from filehaul.sources.records import text_records
 from filehaul.storage import new_shared_dir
 from filehaul.streaming.ingest import check_query, ingest_stream
 
+try:
+    from filehaul.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name != "filehaul.llm":
+        raise
+    llm = None
+
 RUN_TIME = datetime(2015, 1, 1, 20, 42)
 SUFFIX = "yyyy-MM-dd-HH-mm"
 ANONYMIZE_KEY = "a fixed key for the check"
@@ -338,7 +345,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         field_compress_roundtrip, stream_csv_to_table, table_limit_check, incremental_sync,
         anonymize_customer,
     ]
-    return {query.__name__: query for query in registered}
+    return {query.__name__: query for query in registered} | (llm.queries() if llm else {})
 
 
 _FILES = """
@@ -393,7 +400,7 @@ def oracle_sql() -> dict[str, str]:
     masked = "regexp_replace(regexp_replace(regexp_replace(c_mktsegment, '[A-Z]', 'X', 'g'), '[a-z]', 'x', 'g'), '[0-9]', 'n', 'g')"
     export = """SELECT relativePath, {name} AS targetName, 'application/pgp-encrypted' AS contentType,
                        fileSize AS bytes, sha256(text) AS sha256, 'ok' AS status FROM ({files})"""
-    return {
+    own = {
         "manifest_paths": f"""
             SELECT fileName, fullPath, relativePath, 'hdfs://namenode/' AS hostURI FROM ({_FILES})""",
         "host_uri": f"""
@@ -476,3 +483,4 @@ def oracle_sql() -> dict[str, str]:
                    sha256('{ANONYMIZE_KEY}' || c_name) AS c_name,
                    c_nationkey, c_acctbal, {masked} AS c_mktsegment FROM customer""",
     }
+    return own | (llm.oracle_sql() if llm else {})
