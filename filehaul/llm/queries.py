@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filehaul.llm import byte_bpe, quality
+from filehaul.llm import byte_bpe, quality, simhash
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -17,6 +17,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, radius=2)
+    return marked.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = byte_bpe.load_vocabulary(spark, public_tokenizers.path(RANKS))
     encoded = byte_bpe.encode(_table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
@@ -32,7 +37,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op8_byte_bpe, op9_quality_rules]
+    registered = [op5_simhash, op8_byte_bpe, op9_quality_rules]
     return {query.__name__: query for query in registered}
 
 
