@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filehaul.llm import byte_bpe, quality, simhash
+from filehaul.llm import byte_bpe, licenses, quality, simhash
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -17,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, radius=2)
     return marked.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -37,7 +41,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op5_simhash, op8_byte_bpe, op9_quality_rules]
+    registered = [op4_license_scan, op5_simhash, op8_byte_bpe, op9_quality_rules]
     return {query.__name__: query for query in registered}
 
 
