@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filehaul.llm import byte_bpe, licenses, quality, simhash
+from filehaul.llm import byte_bpe, chat, licenses, quality, simhash, url_filter
 
+URL_RULES = [
+    ("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"),
+]
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -17,6 +20,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"), URL_RULES)
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
 
@@ -26,6 +33,33 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"),
+    )
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    windows = chat.format_windows(turns)
+    read = chat.read_windows(windows).select("conv_id", "window", "turns", "loss_text", "chars")
+    # The digests are over whole conversations, so each is put together in one row here, and only here.
+    whole = read.groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.struct("window", "turns", "loss_text"))).alias("windows"),
+        F.sum("chars").alias("formatted_chars"),
+    )
+    turns_of = F.flatten(F.col("windows.turns"))
+    lines = F.transform(turns_of, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = F.array_join(F.col("windows.loss_text"), "")
+    return whole.select(
+        "conv_id",
+        F.size(turns_of).cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.char_length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = byte_bpe.load_vocabulary(spark, public_tokenizers.path(RANKS))
     encoded = byte_bpe.encode(_table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
@@ -41,7 +75,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op4_license_scan, op5_simhash, op8_byte_bpe, op9_quality_rules]
+    registered = [op1_url_filter, op4_license_scan, op5_simhash, op6_chat_windows, op8_byte_bpe, op9_quality_rules]
     return {query.__name__: query for query in registered}
 
 
