@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -20,9 +21,11 @@ from filehaul.llm.common import bodies, slices
 
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
-FEATURES = ("bias", "words", "short", "word_length", "symbols", "digits", "upper", "marks", "sentence_end", "repeated")
+FEATURES = ("bias", "words", "short", "word_length", "symbols", "digits", "upper", "marks", "echo", "repeated")
 # Lines in a training sequence; longer texts are cut into several.
 CHAIN = 64
+PENALTY = 1e-3
+CONTENT_WEIGHT = 5.0
 
 _CLASS = {
     name: np.isin(np.arange(256), np.frombuffer(members, np.uint8))
@@ -32,7 +35,6 @@ _CLASS = {
         "digit": b"0123456789",
         "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ",
         "mark": b"!?;:=_/\\@^~+{}[]()\"'",
-        "end": b".,!?;:",
     }.items()
 }
 _CLASS["inner"] = (np.arange(256) & 0xC0) == 0x80  # continuation of a character
@@ -42,14 +44,12 @@ _CLASS["inner"] = (np.arange(256) & 0xC0) == 0x80  # continuation of a character
 class LineModel:
     """Weights of a two-state chain; state 1 is content."""
 
-    mean: np.ndarray
-    scale: np.ndarray
     weights: np.ndarray
     moves: np.ndarray
 
     def scores(self, features: np.ndarray) -> np.ndarray:
         """Score of content over boilerplate for each line."""
-        return ((features - self.mean) / self.scale) @ self.weights
+        return features @ self.weights
 
     def label(self, scores: list[float]) -> list[bool]:
         """Viterbi: the best sequence; ties go to content."""
@@ -74,7 +74,7 @@ class LineModel:
 
 
 def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
-    """Features of all lines, the number of lines of each text, and counts by line."""
+    """Features of all lines, each from 0 to 1, the number of lines of each text, and counts by line."""
     data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     ends = np.flatnonzero(data == 10)
     starts = np.concatenate([[0], ends[:-1] + 1])
@@ -91,32 +91,30 @@ def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, dict[str,
         "chars": count(~space & ~_CLASS["inner"][data]),
         "symbols": count(_CLASS["symbol"][data]),
     }
-    # A sentence mark as the last character before the white space at the line's end.
-    filled = np.where(space, -1, np.arange(len(data)))
-    last = np.maximum.accumulate(filled)[np.maximum(ends - 1, 0)]
-    ended = (last >= starts) & _CLASS["end"][data[np.maximum(last, 0)]] & (data[np.maximum(last, 0)] == ord("."))
     lines_of = np.array([text.count(b"\n") + 1 for text in texts], dtype=np.int64)
-    repeated = np.zeros(len(ends), dtype=bool)
+    repeated, echo = np.zeros(len(ends), dtype=bool), np.zeros(len(ends))
     place = 0
     for text in texts:
         seen: set[bytes] = set()
         for line in text.split(b"\n"):
             repeated[place] = line in seen
             seen.add(line)
+            parts = line.split()
+            echo[place] = sum(map(eq, parts, parts[1:]))
             place += 1
     counts["repeated"] = repeated & (counts["words"] > 0)
     chars, words = np.maximum(counts["chars"], 1), np.maximum(counts["words"], 1)
     features = np.stack(
         [
             np.ones(len(ends)),
-            np.log1p(counts["words"]),
+            np.minimum(counts["words"] / 30, 1),
             counts["words"] <= 3,
-            counts["chars"] / words,
-            counts["symbols"] / words,
-            count(_CLASS["digit"][data]) / chars,
-            count(_CLASS["upper"][data]) / chars,
-            count(_CLASS["mark"][data]) / words,
-            ended,
+            np.minimum(counts["chars"] / words / 15, 1),
+            np.minimum(4 * counts["symbols"] / words, 1),
+            np.minimum(2 * count(_CLASS["digit"][data]) / chars, 1),
+            np.minimum(2 * count(_CLASS["upper"][data]) / chars, 1),
+            np.minimum(count(_CLASS["mark"][data]) / words, 1),
+            np.minimum(2 * echo / words, 1),
             counts["repeated"],
         ],
         axis=1,
@@ -155,7 +153,7 @@ def fit_line_model(
     text_column: str = "text",
     label_column: str = "quality",
     max_documents: int = 2000,
-    steps: int = 150,
+    steps: int = 200,
 ) -> LineModel:
     """Fit the chain on at most ``max_documents`` labelled documents, taken by hash of the id.
 
@@ -187,12 +185,8 @@ def fit_line_model(
     if not len(texts) or len(set(given.tolist())) < 2:
         weights = np.zeros(len(FEATURES))
         weights[FEATURES.index("bias")], weights[FEATURES.index("symbols")] = 2.0, -6.0
-        return LineModel(np.zeros(len(FEATURES)), np.ones(len(FEATURES)), weights, np.zeros((2, 2)))
+        return LineModel(weights, np.zeros((2, 2)))
     features, lines_of, _ = line_features(texts)
-    mean, scale = features.mean(axis=0), features.std(axis=0)
-    scale[scale < 1e-9] = 1.0
-    mean[0], scale[0] = 0.0, 1.0
-    x = (features - mean) / scale
     chains, state = [], []
     start = 0
     for size, label in zip(lines_of, given):
@@ -200,20 +194,21 @@ def fit_line_model(
             chains.append((low, min(low + CHAIN, start + size)))
             state.append(int(label))
         start += size
-    return _fit(x, chains, np.array(state), mean, scale, steps)
+    return _fit(features, chains, np.array(state), steps)
 
 
-def _fit(x, chains, state, mean, scale, steps) -> LineModel:
+def _fit(x: np.ndarray, chains: list[tuple[int, int]], state: np.ndarray, steps: int) -> LineModel:
     """Maximum likelihood of the chains by Adam; each chain has one label at all its lines."""
     sizes = np.array([high - low for low, high in chains])
     width = sizes.max()
     at = np.minimum(np.array([low for low, _ in chains])[:, None] + np.arange(width), len(x) - 1)
     inside = np.arange(width) < sizes[:, None]
     padded = x[at] * inside[..., None]
-    # Every label weighs the same in sum, and every chain by its lines up to ten.
+    # In sum, content weighs more than boilerplate, so that doubtful lines stay; a chain weighs by its lines up to ten.
     weight = np.minimum(sizes, 10) / sizes
     for label in (0, 1):
-        weight[state == label] /= max((weight * sizes)[state == label].sum(), 1e-9)
+        share = CONTENT_WEIGHT if label else 1.0
+        weight[state == label] *= share / max((weight * sizes)[state == label].sum(), 1e-9)
     weights, moves = np.zeros(x.shape[1]), np.zeros((2, 2))
     first = [np.zeros_like(weights), np.zeros_like(moves)]
     second = [np.zeros_like(weights), np.zeros_like(moves)]
@@ -236,15 +231,15 @@ def _fit(x, chains, state, mean, scale, steps) -> LineModel:
             forward[:, :-1, :, None] + moves + (unary + backward)[:, 1:, None, :] - total[:, None, None, None]
         ) * pairs_inside[..., None, None]
         gap = (state[:, None] - marginal) * inside * weight[:, None]
-        grad_weights = np.einsum("ct,ctf->f", gap, padded) - 1e-3 * weights
+        grad_weights = np.einsum("ct,ctf->f", gap, padded) - PENALTY * weights
         wanted = np.zeros((len(state), 2, 2))
         wanted[np.arange(len(state)), state, state] = np.maximum(sizes - 1, 0)
-        grad_moves = ((wanted - pair.sum(axis=1)) * weight[:, None, None]).sum(axis=0) - 1e-2 * moves
+        grad_moves = ((wanted - pair.sum(axis=1)) * weight[:, None, None]).sum(axis=0) - PENALTY * moves
         for values, grad, m, v in ((weights, grad_weights, first[0], second[0]), (moves, grad_moves, first[1], second[1])):
             m += 0.1 * (grad - m)
             v += 0.01 * (grad**2 - v)
             values += 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
-    return LineModel(mean, scale, weights, moves)
+    return LineModel(weights, moves)
 
 
 def judge_quality(
