@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filehaul.llm import byte_bpe, chat, licenses, quality, simhash, url_filter
+from filehaul.llm import byte_bpe, chat, licenses, quality, simhash, substrings, url_filter
 
 URL_RULES = [
     ("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"),
@@ -74,8 +74,13 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(documents, model)
 
 
+def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substrings.drop_repeats(_table(spark, sf_dir, "documents"), length=400)
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op1_url_filter, op4_license_scan, op5_simhash, op6_chat_windows, op8_byte_bpe, op9_quality_rules]
+    registered = [op1_url_filter, op4_license_scan, op5_simhash, op6_chat_windows, op8_byte_bpe, op9_quality_rules, op10_repeated_substrings]
     return {query.__name__: query for query in registered}
 
 
