@@ -8,11 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filehaul.llm import byte_bpe, chat, licenses, quality, simhash, substrings, url_filter
+from filehaul.llm import byte_bpe, chat, licenses, quality, simhash, substrings, token_rollup, url_filter
+from filehaul.llm.common import SPACES
+from filehaul.storage import new_shared_dir, store_once
 
 URL_RULES = [
     ("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"),
 ]
+WORDS, LONG_WORDS = f"[^{SPACES}]+", f"[^{SPACES}]{{2,}}"
+MARKS = "[\\x21-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7E]|[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -24,6 +28,32 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"), URL_RULES)
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents come in; then a second tokenizer, revised counts of toxic and deletion of bad documents; a batch comes again."""
+    count = lambda pattern: F.regexp_count(F.coalesce("text", F.lit("")), F.lit(pattern)).cast("long")
+    counted = _table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "lang", count(WORDS).alias("words"), count(LONG_WORDS).alias("long_words"), count(MARKS).alias("marks")
+    )
+    counted, _ = store_once(counted, "counted")
+    marked = counted.join(_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"), "doc_id", "left")
+    row = lambda rows, tokenizer, tokens: rows.select(
+        "doc_id", "source", "lang", F.lit(tokenizer).alias("tokenizer"), tokens.cast("long").alias("tokens")
+    )
+    first = row(counted, "words-1", F.col("words"))
+    bad, toxic = F.coalesce(F.col("quality") == 0, F.lit(False)), F.coalesce(F.col("toxic") == 1, F.lit(False))
+    second = (
+        row(marked.where(~bad), "marks-1", F.col("marks"))
+        .unionByName(row(marked.where(bad), "words-1", F.lit(None)))
+        .unionByName(row(marked.where(toxic & ~bad), "words-1", F.col("long_words")))
+    )
+    rollup = token_rollup.TokenRollup(spark, new_shared_dir(spark, "token-counts"))
+    rollup.apply(1, first)
+    rollup.apply(2, second)
+    rollup.apply(1, first)
+    rollup.apply(2, second)
+    return rollup.totals()
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
 
@@ -80,9 +110,26 @@ def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op1_url_filter, op4_license_scan, op5_simhash, op6_chat_windows, op8_byte_bpe, op9_quality_rules, op10_repeated_substrings]
+    registered = [op1_url_filter, op3_token_counts, op4_license_scan, op5_simhash, op6_chat_windows, op8_byte_bpe, op9_quality_rules, op10_repeated_substrings]
     return {query.__name__: query for query in registered}
 
 
+_TOKEN_COUNTS = f"""
+    WITH counted AS (
+        SELECT source, lang, coalesce(quality = 0, false) AS bad, coalesce(toxic = 1, false) AS toxic,
+               len(regexp_extract_all(coalesce(text, ''), '{WORDS}')) AS words,
+               len(regexp_extract_all(coalesce(text, ''), '{LONG_WORDS}')) AS long_words,
+               len(regexp_extract_all(coalesce(text, ''), '{MARKS}')) AS marks
+        FROM documents LEFT JOIN labels USING (doc_id)
+    )
+    SELECT source, lang, 'words-1' AS tokenizer, count(*) AS docs,
+           CAST(sum(CASE WHEN toxic THEN long_words ELSE words END) AS BIGINT) AS tokens
+    FROM counted WHERE NOT bad GROUP BY source, lang
+    UNION ALL
+    SELECT source, lang, 'marks-1', count(*), CAST(sum(marks) AS BIGINT)
+    FROM counted WHERE NOT bad GROUP BY source, lang
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_token_counts": _TOKEN_COUNTS}
