@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filehaul.llm import byte_bpe, chat, licenses, quality, simhash, substrings, token_rollup, url_filter
+from filehaul.llm import byte_bpe, chat, decontaminate, licenses, quality, simhash, substrings, token_rollup, url_filter
 from filehaul.llm.common import SPACES
 from filehaul.storage import new_shared_dir, store_once
 
@@ -28,6 +28,11 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"), URL_RULES)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return leaks.drop("digest")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents come in; then a second tokenizer, revised counts of toxic and deletion of bad documents; a batch comes again."""
     count = lambda pattern: F.regexp_count(F.coalesce("text", F.lit("")), F.lit(pattern)).cast("long")
@@ -110,7 +115,7 @@ def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op1_url_filter, op3_token_counts, op4_license_scan, op5_simhash, op6_chat_windows, op8_byte_bpe, op9_quality_rules, op10_repeated_substrings]
+    registered = [op1_url_filter, op2_decontamination, op3_token_counts, op4_license_scan, op5_simhash, op6_chat_windows, op8_byte_bpe, op9_quality_rules, op10_repeated_substrings]
     return {query.__name__: query for query in registered}
 
 
