@@ -1,9 +1,9 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Passages are blocks of words with TF-IDF weights over hashed words. A
-randomised range finder over all passages gives the latent space: every task
-adds up its part of ``A'(A omega)``, and the sum is made orthonormal. Windows of
-all texts are compared with all items by the cosine there; what is near enough
+randomised SVD over all passages gives the latent space: every task adds up its
+part of ``Z = A'(A omega)``, and the singular vectors and values follow from Z and
+``omega' Z`` (Nystroem). Windows of all texts are compared with all items by the cosine there; what is near enough
 is aligned word by word by the longest common subsequence, and an item whose
 answer stands in the window needs a smaller share.
 """
@@ -22,7 +22,7 @@ from filehaul.llm.common import bodies, slices
 from filehaul.storage import store_once
 
 FEATURES = 1 << 15
-RANK = 32
+RANK = 48
 SEED = 11
 # Words in a step of the windows, and steps in a passage.
 STEP = 8
@@ -146,15 +146,21 @@ def fit_space(hashed: DataFrame, max_df: float = 0.1, rank: int = RANK) -> np.nd
             total[ranked[first]] += np.add.reduceat(latent[passage[order]], first, axis=0)
         yield _emit(total)
 
-    sums = _sum_slices(hashed.select("words").mapInArrow(sketch, "slice int, values binary"), rank)
-    basis, _ = np.linalg.qr(idf[:, None] * sums)
-    return (idf[:, None] * basis).astype(np.float32)
+    sums = idf[:, None] * _sum_slices(hashed.select("words").mapInArrow(sketch, "slice int, values binary"), rank)
+    # A'A is near Z (omega'Z)^-1 Z'; a small shift keeps the inner matrix positive when passages are few.
+    shift = 1e-6 * max(np.trace(omega.T @ sums) / rank, 1e-9)
+    shifted = sums + shift * omega
+    inner = omega.T @ shifted
+    lower = np.linalg.cholesky((inner + inner.T) / 2 + shift * np.eye(rank))
+    basis, values, _ = np.linalg.svd(np.linalg.solve(lower, shifted.T).T, full_matrices=False)
+    # Places count in units of their singular value, so that no single trend, such as the language, rules the cosine.
+    return (idf[:, None] * basis / np.maximum(values, 1e-3 * values.max(initial=1e-9))).astype(np.float32)
 
 
 class _Items:
     """Items as word hashes, their place in the latent space, and their answers."""
 
-    def __init__(self, rows: list[tuple[object, bytes]], space: np.ndarray, min_words: int) -> None:
+    def __init__(self, rows: list[tuple[object, bytes]], space: np.ndarray, min_words: int, least_share: float) -> None:
         self.ids, self.words, self.answers, self.vectors, self.steps = [], [], [], [], []
         for item_id, text in rows:
             words = [zlib.crc32(word) for word in words_of(text)]
@@ -171,6 +177,15 @@ class _Items:
             steps = -(-len(words) // STEP) + 1
             unit = 1 << max(0, steps.bit_length() - 3)
             self.steps.append(-(-steps // unit) * unit)
+        # Words that weigh in the space, and how many of them a window must hold for the share to be reached.
+        self.held = np.zeros((len(self.ids), FEATURES), bool)
+        self.need = np.zeros(len(self.ids), np.int64)
+        weighs = space.any(axis=1)
+        for place, words in enumerate(self.words):
+            features = np.array(words) & (FEATURES - 1)
+            features = features[weighs[features]]
+            self.held[place, features] = True
+            self.need[place] = len(features) - int((1 - least_share) * len(words))
         self.masks = []
         for words in self.words:
             masks: dict[int, int] = {}
@@ -202,7 +217,7 @@ def find_leaks(
     text_column: str = "text",
     item_id_column: str = "item_id",
     item_text_column: str = "text",
-    min_cosine: float = 0.5,
+    min_cosine: float = 0.4,
     min_share: float = 0.8,
     min_share_with_answer: float = 0.6,
     min_words: int = 8,
@@ -229,7 +244,7 @@ def find_leaks(
     arrow_kind = pa.schema(_arrow(docs, id_column)).field(0).type, pa.schema(_arrow(benchmark, item_id_column)).field(0).type
 
     def search(block: list[tuple[object, bytes]]) -> DataFrame:
-        items = _Items(block, space, min_words)
+        items = _Items(block, space, min_words, min(min_share, min_share_with_answer))
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch, texts in slices(batches, "words", 1 << 20):
@@ -272,7 +287,8 @@ def _search(texts, items: _Items, space: np.ndarray, min_cosine, min_share, min_
     words, starts, blocks = _flat(texts, STEP)
     if not len(words) or not items.ids:
         return
-    sums = np.add.reduceat(space[words & (FEATURES - 1)], starts, axis=0)
+    features = words & (FEATURES - 1)
+    sums = np.add.reduceat(space[features], starts, axis=0)
     total = np.zeros((len(sums) + 1, sums.shape[1]))
     np.cumsum(sums, axis=0, out=total[1:])
     text_of = np.repeat(np.arange(len(texts)), blocks)
@@ -281,41 +297,44 @@ def _search(texts, items: _Items, space: np.ndarray, min_cosine, min_share, min_
     begins = np.cumsum(sizes) - sizes
     steps = np.array(items.steps)
     best: dict[tuple[int, int], tuple] = {}
-    known = {word for own in items.words for word in own}
-    member = np.isin(words, np.fromiter(known, np.uint32, len(known)))
-    members = np.concatenate([[0], np.cumsum(member)])
     for length in np.unique(steps).tolist():
         chosen = np.flatnonzero(steps == length)
         vectors = np.stack([items.vectors[i] for i in chosen]).astype(np.float32)
-        need = min(len(items.words[i]) for i in chosen) * min(min_share, min_answered)
         end = np.minimum(np.arange(len(starts)) + length, last_block)
-        # A window that is not at the text's start is left out if it is cut by the end and one before it holds its words.
+        # Of the windows that the end of their text cuts, one is enough.
         cut = np.arange(len(starts)) + length - last_block
-        ends = np.minimum(starts + length * STEP, (begins + sizes)[text_of])
-        held = members[ends] - members[starts]
-        places = np.flatnonzero(((cut <= 0) | (starts == begins[text_of]) | (cut == 1)) & (held >= need))
+        places = np.flatnonzero((cut <= 1) | (starts == begins[text_of]))
+        wide = (length + 2) * STEP
         for low in range(0, len(places), 1 << 14):
             part = places[low : low + (1 << 14)]
             window = (total[end[part]] - total[part]).astype(np.float32)
             window /= np.maximum(np.linalg.norm(window, axis=1), 1e-9)[:, None]
             cosine = window @ vectors.T
-            for at, item in zip(*np.nonzero(cosine >= min_cosine)):
-                place, which = int(part[at]), int(chosen[item])
-                row = int(text_of[place])
-                first = max(int(starts[place]) - STEP, int(begins[row]))
-                last = min(int(starts[place]) + (length + 1) * STEP, int(begins[row] + sizes[row]))
+            at, item = np.nonzero(cosine >= min_cosine)
+            # Each window with a step before and after it, as far as the text goes.
+            first = np.maximum(starts[part] - STEP, begins[text_of[part]])[at]
+            last = np.minimum(starts[part] + (length + 1) * STEP, (begins + sizes)[text_of[part]])[at]
+            on = []
+            for some in range(0, len(at), 1 << 12):
+                piece = slice(some, some + (1 << 12))
+                spread = first[piece, None] + np.arange(wide)
+                hit = items.held[chosen[item[piece]][:, None], features[np.minimum(spread, len(words) - 1)]]
+                hit &= spread < last[piece, None]
+                on.append(hit.sum(axis=1) >= items.need[chosen[item[piece]]])
+            on = np.flatnonzero(np.concatenate(on)) if on else []
+            for each in on:
+                low_word, high_word = int(first[each]), int(last[each])
+                row, which = int(text_of[part[at[each]]]), int(chosen[item[each]])
                 size = len(items.words[which])
-                inside = words[first:last].tolist()
-                masks = items.masks[which]
-                if sum(word in masks for word in inside) < min_answered * size:
-                    continue
+                inside = words[low_word:high_word].tolist()
                 share = items.shared(which, inside) / size
                 if share < min_answered:
                     continue
                 answer = items.answered(which, inside)
                 if share < min_share and not answer:
                     continue
-                found = (share, float(cosine[at, item]), answer, first - int(begins[row]), last - int(begins[row]))
+                begin = int(begins[row])
+                found = (share, float(cosine[at[each], item[each]]), answer, low_word - begin, high_word - begin)
                 if found > best.get((row, which), ()):
                     best[row, which] = found
     for (row, which), found in sorted(best.items()):
