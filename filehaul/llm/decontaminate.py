@@ -22,11 +22,11 @@ from filehaul.llm.common import bodies, slices
 from filehaul.storage import store_once
 
 FEATURES = 1 << 15
-RANK = 48
+RANK = 64
 SEED = 11
-# Words in a step of the windows, and steps in a passage.
-STEP = 8
-PASSAGE = 4
+# Words in a block, and blocks in a passage; passages overlap by half.
+STEP = 24
+PASSAGE = 2
 # Features in a slice of the sums, and items sent to the tasks at once.
 SLICE = 1 << 12
 ITEMS = 5000
@@ -75,6 +75,19 @@ def _flat(texts: list[bytes], step: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return words, np.repeat(np.cumsum(sizes) - sizes, blocks) + place * step, blocks
 
 
+def _sum_blocks(table: np.ndarray, features: np.ndarray, block_of: np.ndarray, blocks: int) -> np.ndarray:
+    """Sums of the table's rows of the features in each block; blocks hold few, in order."""
+    start = np.searchsorted(block_of, np.arange(blocks))
+    place = np.arange(len(features)) - start[block_of]
+    padded = np.full((int(place.max(initial=-1)) + 1, blocks), len(table), np.int32)
+    padded[place, block_of] = features
+    table = np.concatenate([table, np.zeros((1, table.shape[1]), table.dtype)])
+    out = np.zeros((blocks, table.shape[1]), table.dtype)
+    for each in padded:
+        out += table[each]
+    return out
+
+
 def _sum_slices(parts: DataFrame, width: int) -> np.ndarray:
     """Sum of rows ``slice, values`` over all tasks: an array of FEATURES rows, whatever the corpus."""
 
@@ -104,7 +117,7 @@ def _emit(total: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def fit_space(hashed: DataFrame, max_df: float = 0.1, rank: int = RANK) -> np.ndarray:
+def fit_space(hashed: DataFrame, max_df: float = 0.05, rank: int = RANK) -> np.ndarray:
     """Weight times place in the latent space of every feature, over all passages.
 
     Words in more than ``max_df`` of the passages weigh nothing.
@@ -134,16 +147,19 @@ def fit_space(hashed: DataFrame, max_df: float = 0.1, rank: int = RANK) -> np.nd
             words, starts, _ = _flat(texts, STEP * PASSAGE)
             if not len(words):
                 continue
+            passage = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(words)))
             feature = (words & (FEATURES - 1)).astype(np.uint16)
-            latent = np.add.reduceat(weighted[feature], starts, axis=0)
+            on = np.flatnonzero(idf[feature])
+            feature, passage = feature[on], passage[on]
+            latent = _sum_blocks(weighted, feature, passage, len(starts))
             # Each passage weighs the same, whatever its words.
-            norm = np.sqrt(np.add.reduceat((idf[feature] ** 2), starts))
-            latent /= np.maximum(norm, 1e-9)[:, None].astype(np.float32) ** 2
-            passage = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(words)))
+            norm = np.bincount(passage, weights=idf[feature] ** 2, minlength=len(starts))
+            latent /= np.maximum(norm, 1e-9)[:, None].astype(np.float32)
             order = np.argsort(feature, kind="stable")
             ranked = feature[order]
-            first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-            total[ranked[first]] += np.add.reduceat(latent[passage[order]], first, axis=0)
+            first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ranked) else []
+            if len(first):
+                total[ranked[first]] += np.add.reduceat(latent[passage[order]], first, axis=0)
         yield _emit(total)
 
     sums = idf[:, None] * _sum_slices(hashed.select("words").mapInArrow(sketch, "slice int, values binary"), rank)
@@ -172,20 +188,25 @@ class _Items:
             self.ids.append(item_id)
             self.words.append(words)
             self.answers.append([zlib.crc32(word) for word in words_of(ends[-1])])
-            self.vectors.append(vector / max(np.linalg.norm(vector), 1e-9))
-            # Steps of the window: few lengths in all, however many items.
-            steps = -(-len(words) // STEP) + 1
-            unit = 1 << max(0, steps.bit_length() - 3)
-            self.steps.append(-(-steps // unit) * unit)
-        # Words that weigh in the space, and how many of them a window must hold for the share to be reached.
-        self.held = np.zeros((len(self.ids), FEATURES), bool)
+            self.vectors.append(vector)
+            # Blocks of the passages that it is looked for in: few lengths in all, however many items.
+            steps = PASSAGE
+            while steps * STEP * 4 < len(words) * 3:
+                steps *= 2
+            self.steps.append(steps)
+        # Items by the features that weigh in the space, and how many such words a text must hold for the share to be reached.
         self.need = np.zeros(len(self.ids), np.int64)
-        weighs = space.any(axis=1)
+        self.weighs = weighs = space.any(axis=1)
+        pairs = []
         for place, words in enumerate(self.words):
             features = np.array(words) & (FEATURES - 1)
             features = features[weighs[features]]
-            self.held[place, features] = True
+            pairs.append(np.unique(features) * (len(self.ids) + 1) + place)
             self.need[place] = len(features) - int((1 - least_share) * len(words))
+        pairs = np.sort(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
+        self.holder = pairs % (len(self.ids) + 1)
+        self.held_by = np.bincount(pairs // (len(self.ids) + 1), minlength=FEATURES)
+        self.held_from = np.cumsum(self.held_by) - self.held_by
         self.masks = []
         for words in self.words:
             masks: dict[int, int] = {}
@@ -193,15 +214,17 @@ class _Items:
                 masks[word] = masks.get(word, 0) | 1 << place
             self.masks.append(masks)
 
-    def shared(self, item: int, window: list[int]) -> int:
-        """Length of the longest common subsequence, by bits."""
+    def shared(self, item: int, window: list[int], least: float) -> int:
+        """Length of the longest common subsequence, by bits; 0 if the window holds fewer than ``least`` of the words."""
         masks, size = self.masks[item], len(self.words[item])
+        hits = [masks[word] for word in window if word in masks]
+        if len(hits) < least:
+            return 0
         every = (1 << size) - 1
         state = every
-        for word in window:
-            hit = state & masks.get(word, 0)
-            if hit:
-                state = ((state + hit) | (state - hit)) & every
+        for mask in hits:
+            hit = state & mask
+            state = ((state + hit) | (state - hit)) & every
         return size - state.bit_count()
 
     def answered(self, item: int, window: list[int]) -> bool:
@@ -217,15 +240,19 @@ def find_leaks(
     text_column: str = "text",
     item_id_column: str = "item_id",
     item_text_column: str = "text",
-    min_cosine: float = 0.4,
+    min_cosine: float = 0.2,
+    min_nearness: float = 0.5,
     min_share: float = 0.8,
     min_share_with_answer: float = 0.6,
     min_words: int = 8,
 ) -> DataFrame:
-    """``doc_id, digest, item_id, share, cosine, answer, first_word, last_word`` of texts that hold an item.
+    """``doc_id, digest, item_id, share, nearness, answer, first_word, last_word`` of texts that hold an item.
 
-    ``share`` is that of the item's words in order in a window of the text; a
-    pair of text and item has the row of its best window. ``digest`` is the
+    Candidates are passages with a cosine of at least ``min_cosine`` that is, times the passage's length
+    in the latent space over the item's (which makes good for the passage's other
+    words, so that a passage with the whole item is near 1), at least
+    ``min_nearness``, and that hold enough of the item's words for the share. ``share`` is that of the item's words in order in a passage
+    with its neighbours; a pair of text and item has the row of its best window. ``digest`` is the
     XXH64 of the text, which tells rows with one id apart; rows that stand twice
     have one row. A null or empty text holds nothing. Items with fewer than
     ``min_words`` words, or null, are not searched for; an empty benchmark finds
@@ -237,7 +264,7 @@ def find_leaks(
     kind = source.schema["doc_id"].dataType.simpleString()
     item_kind = benchmark.schema[item_id_column].dataType.simpleString()
     schema = (
-        f"doc_id {kind}, digest long, item_id {item_kind}, share double, cosine double, answer boolean, "
+        f"doc_id {kind}, digest long, item_id {item_kind}, share double, nearness double, answer boolean, "
         "first_word long, last_word long"
     )
     names = [part.split()[0] for part in schema.split(", ")]
@@ -248,7 +275,7 @@ def find_leaks(
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch, texts in slices(batches, "words", 1 << 20):
-                rows = list(_search(texts, items, space, min_cosine, min_share, min_share_with_answer))
+                rows = list(_search(texts, items, space, min_cosine, min_nearness, min_share, min_share_with_answer))
                 if not rows:
                     continue
                 row, item, *rest = zip(*rows)
@@ -272,7 +299,7 @@ def find_leaks(
     if block or found is None:
         part, _ = store_once(search(block), "leaks")
         found = part if found is None else found.unionByName(part)
-    best = F.max(F.struct("share", "cosine", "answer", "first_word", "last_word")).alias("best")
+    best = F.max(F.struct("share", "nearness", "answer", "first_word", "last_word")).alias("best")
     return found.groupBy("doc_id", "digest", "item_id").agg(best).select("doc_id", "digest", "item_id", "best.*")
 
 
@@ -282,59 +309,68 @@ def _arrow(rows: DataFrame, column: str) -> list[pa.Field]:
     return [pa.field(column, to_arrow_type(rows.schema[column].dataType))]
 
 
-def _search(texts, items: _Items, space: np.ndarray, min_cosine, min_share, min_answered) -> Iterator[tuple]:
-    """Row, item, share, cosine, answer, first and last word of leaks in texts of word hashes."""
+def _search(
+    texts: list[bytes], items: _Items, space: np.ndarray, min_cosine: float, min_nearness: float, min_share: float, min_answered: float
+) -> Iterator[tuple]:
+    """Row, item, share, nearness, answer, first and last word of leaks in texts of word hashes."""
     words, starts, blocks = _flat(texts, STEP)
     if not len(words) or not items.ids:
         return
     features = words & (FEATURES - 1)
-    sums = np.add.reduceat(space[features], starts, axis=0)
+    block_of = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(words)))
+    on = np.flatnonzero(items.weighs[features])
+    sums = _sum_blocks(space, features[on], block_of[on], len(starts))
     total = np.zeros((len(sums) + 1, sums.shape[1]))
     np.cumsum(sums, axis=0, out=total[1:])
     text_of = np.repeat(np.arange(len(texts)), blocks)
     last_block = np.repeat(np.cumsum(blocks), blocks)
     sizes = np.array([len(text) // 4 for text in texts], dtype=np.int64)
     begins = np.cumsum(sizes) - sizes
+    # Words of each block that each item has, summed over the blocks.
+    counts = items.held_by[features]
+    nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    holder = items.holder[np.repeat(items.held_from[features], counts) + nth]
+    hits = np.bincount(np.repeat(block_of, counts) * len(items.ids) + holder, minlength=len(starts) * len(items.ids))
+    held = np.zeros((len(starts) + 1, len(items.ids)), np.int32)
+    np.cumsum(hits.reshape(len(starts), -1), axis=0, out=held[1:])
     steps = np.array(items.steps)
     best: dict[tuple[int, int], tuple] = {}
+    first_block = last_block - np.repeat(blocks, blocks)
+    place_in = np.arange(len(starts)) - first_block
     for length in np.unique(steps).tolist():
         chosen = np.flatnonzero(steps == length)
         vectors = np.stack([items.vectors[i] for i in chosen]).astype(np.float32)
-        end = np.minimum(np.arange(len(starts)) + length, last_block)
-        # Of the windows that the end of their text cuts, one is enough.
+        lengths = np.maximum(np.linalg.norm(vectors, axis=1), 1e-9)
+        # Passages start at every half; of those that the end of their text cuts, one is enough.
+        half = length // 2
         cut = np.arange(len(starts)) + length - last_block
-        places = np.flatnonzero((cut <= 1) | (starts == begins[text_of]))
-        wide = (length + 2) * STEP
-        for low in range(0, len(places), 1 << 14):
-            part = places[low : low + (1 << 14)]
-            window = (total[end[part]] - total[part]).astype(np.float32)
-            window /= np.maximum(np.linalg.norm(window, axis=1), 1e-9)[:, None]
-            cosine = window @ vectors.T
-            at, item = np.nonzero(cosine >= min_cosine)
-            # Each window with a step before and after it, as far as the text goes.
-            first = np.maximum(starts[part] - STEP, begins[text_of[part]])[at]
-            last = np.minimum(starts[part] + (length + 1) * STEP, (begins + sizes)[text_of[part]])[at]
-            on = []
-            for some in range(0, len(at), 1 << 12):
-                piece = slice(some, some + (1 << 12))
-                spread = first[piece, None] + np.arange(wide)
-                hit = items.held[chosen[item[piece]][:, None], features[np.minimum(spread, len(words) - 1)]]
-                hit &= spread < last[piece, None]
-                on.append(hit.sum(axis=1) >= items.need[chosen[item[piece]]])
-            on = np.flatnonzero(np.concatenate(on)) if on else []
-            for each in on:
+        places = np.flatnonzero((place_in % half == 0) & ((cut < half) | (place_in == 0) | (cut == half)))
+        for low in range(0, len(places), 1 << 12):
+            part = places[low : low + (1 << 12)]
+            window = (total[np.minimum(part + length, last_block[part])] - total[part]).astype(np.float32)
+            across = np.maximum(np.linalg.norm(window, axis=1), 1e-9)
+            cosine = (window / across[:, None]) @ (vectors / lengths[:, None]).T
+            nearness = cosine * (across[:, None] / lengths)
+            # Each passage with half of one before and after it, as far as the text goes.
+            from_ = np.maximum(part - half, first_block[part])
+            to = np.minimum(part + length + half, last_block[part])
+            enough = held[to][:, chosen] - held[from_][:, chosen] >= items.need[chosen]
+            at, item = np.nonzero(enough & (cosine >= min_cosine) & (nearness >= min_nearness))
+            first = starts[from_][at]
+            last = np.minimum(starts[to - 1] + STEP, (begins + sizes)[text_of[part]])[at]
+            for each in range(len(at)):
                 low_word, high_word = int(first[each]), int(last[each])
                 row, which = int(text_of[part[at[each]]]), int(chosen[item[each]])
                 size = len(items.words[which])
                 inside = words[low_word:high_word].tolist()
-                share = items.shared(which, inside) / size
+                share = items.shared(which, inside, min_answered * size) / size
                 if share < min_answered:
                     continue
                 answer = items.answered(which, inside)
                 if share < min_share and not answer:
                     continue
                 begin = int(begins[row])
-                found = (share, float(cosine[at[each], item[each]]), answer, low_word - begin, high_word - begin)
+                found = (share, float(nearness[at[each], item[each]]), answer, low_word - begin, high_word - begin)
                 if found > best.get((row, which), ()):
                     best[row, which] = found
     for (row, which), found in sorted(best.items()):
