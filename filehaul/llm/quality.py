@@ -242,6 +242,14 @@ def _fit(x: np.ndarray, chains: list[tuple[int, int]], state: np.ndarray, steps:
     return LineModel(weights, moves)
 
 
+def keep_good(docs: DataFrame, model: LineModel, text_column: str = "text", **rules) -> DataFrame:
+    """The rows of ``docs`` that ``judge_quality`` keeps, with all their columns."""
+    extra = {name: F.col(f"`{name}`") for name in docs.columns}
+    row = docs.select(F.struct(*(column.alias(name) for name, column in extra.items())).alias("row"), F.col(text_column).alias("text"))
+    judged = judge_quality(row, model, id_column="row", text_column="text", **rules)
+    return judged.where("kept").select("doc_id.*")
+
+
 def judge_quality(
     docs: DataFrame,
     model: LineModel,

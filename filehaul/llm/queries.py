@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from filehaul.llm import byte_bpe, chat, decontaminate, licenses, quality, simhash, substrings, token_rollup, url_filter
 from filehaul.llm.common import SPACES
 from filehaul.storage import new_shared_dir, store_once
@@ -116,7 +117,7 @@ def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = [op1_url_filter, op2_decontamination, op3_token_counts, op4_license_scan, op5_simhash, op6_chat_windows, op8_byte_bpe, op9_quality_rules, op10_repeated_substrings]
-    return {query.__name__: query for query in registered}
+    return {query.__name__: query for query in registered} | {"pipeline": corpus_pipeline.run}
 
 
 _TOKEN_COUNTS = f"""
@@ -137,4 +138,5 @@ _TOKEN_COUNTS = f"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_token_counts": _TOKEN_COUNTS}
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {"op3_token_counts": _TOKEN_COUNTS} | pipeline

@@ -232,3 +232,28 @@ def near_duplicates(
     least = of.groupBy("root").agg(F.min("least").alias("component_id"))
     named = of.join(least, "root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_first(
+    docs: DataFrame, words: int = 5, radius: int = 3, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """One row of each component, with all columns: that of the smallest id, and of rows with one id the least text.
+
+    Rows with a null id stay only if their component has no other, one of them.
+    Texts without words are one component.
+    """
+    digest = F.xxhash64(F.coalesce(F.col(text_column).cast("binary"), F.lit(b"")))
+    keyed = docs.select(
+        F.struct(F.col(id_column).alias("id"), digest.alias("digest")).alias("key"), F.col(text_column).alias("text")
+    )
+    marked, _ = store_once(fingerprints(keyed, words, "key", "text"), "fingerprints")
+    distinct = marked.groupBy("fp").agg(F.min(F.struct(F.col("doc_id.id").isNull().alias("none"), "doc_id")).alias("least"))
+    roots = connected_components(link_fingerprints(distinct.select("fp"), radius))
+    of = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    chosen = of.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("least").alias("least"))
+    chosen = chosen.select(F.col("least.doc_id.id").alias("chosen_id"), F.col("least.doc_id.digest").alias("chosen_digest"))
+    chosen, _ = store_once(chosen, "chosen")
+    same = F.col(id_column).eqNullSafe(F.col("chosen_id")) & (digest == F.col("chosen_digest"))
+    kept = docs.join(chosen, same, "left_semi")
+    # Rows that stand twice are one.
+    return kept.dropDuplicates([id_column, text_column])

@@ -23,7 +23,8 @@ from filehaul.llm.deep_shallow import order_suffixes
 from filehaul.storage import store_once
 
 GRAM = 32
-BLOCKS = 3
+# More blocks: more rows to count, but fewer suffixes to sort, by their square.
+BLOCKS = 5
 # Bytes taken together; longer texts are cut into pieces that overlap by all but one byte of the length.
 PIECE = 4 << 20
 _PLACE_BITS = 23
@@ -210,7 +211,8 @@ def repeated_spans(source: DataFrame, length: int) -> DataFrame:
     cores = anchors.groupBy("core").agg(
         F.count("*").alias("n"), F.min("whole").alias("least"), F.max("whole").alias("most")
     )
-    cores = cores.where("n > 1").select("core", (F.col("least") != F.col("most")).alias("mixed"))
+    # Written out, so that both sides of the join are plain and Spark splits a core that very many texts share.
+    cores, _ = store_once(cores.where("n > 1").select("core", (F.col("least") != F.col("most")).alias("mixed")), "cores")
     shared, _ = store_once(anchors.join(cores, "core"), "shared-anchors")
     span = [
         "doc_id", "digest", (F.col("at") - F.col("high")).alias("start"), (F.col("at") - F.col("low") + length).alias("end"),
@@ -246,10 +248,14 @@ def drop_repeats(
     if length < GRAM or length - GRAM + 1 > 1024:
         raise ValueError(f"length must be from {GRAM} to {1023 + GRAM}")
     source = bodies(docs, id_column, text_column).withColumn("digest", F.xxhash64("body"))
-    spans = repeated_spans(source, length)
+    return _cut(source, "doc_id", repeated_spans(source, length), whole_characters)
+
+
+def _cut(source: DataFrame, key: str, spans: DataFrame, whole_characters: bool) -> DataFrame:
+    """Cut the spans of ``doc_id, digest`` out of rows ``doc_id, digest, body``, whose id is in the column ``key``."""
     listed = spans.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
     listed = listed.select(F.col("doc_id").alias("of"), F.col("digest").alias("of_digest"), "runs")
-    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("of_digest"))
+    same = F.col(key).eqNullSafe(F.col("of")) & (F.col("digest") == F.col("of_digest"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -288,6 +294,17 @@ def drop_repeats(
     )
 
 
+def cut_texts(docs: DataFrame, length: int = 400, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` with repeats cut out of the texts by whole characters; other columns stay."""
+    source = bodies(docs, id_column, text_column).withColumn("digest", F.xxhash64("body"))
+    row = F.struct(*(F.col(f"`{name}`") for name in docs.columns if name != text_column)).alias("doc_id")
+    body = F.coalesce(F.col(text_column).cast("binary"), F.lit(b""))
+    rows = docs.select(row, F.col(id_column).alias("id"), body.alias("body")).withColumn("digest", F.xxhash64("body"))
+    left = _cut(rows, "id", repeated_spans(source, length), whole_characters=True)
+    whole = left.select("doc_id.*", F.decode("kept", "utf-8").alias(text_column))
+    return whole.select(*(F.col(f"`{name}`") for name in docs.columns))
+
+
 def _merge(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
     """Maximal runs of the union; runs that touch are one."""
     order = np.argsort(starts, kind="stable")
