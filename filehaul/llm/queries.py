@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from filehaul.llm import byte_bpe, chat, decontaminate, licenses, quality, simhash, substrings, token_rollup, url_filter
+from filehaul.llm import byte_bpe, chat, decontaminate, katz, licenses, quality, simhash, substrings, token_rollup, url_filter
 from filehaul.llm.common import SPACES
 from filehaul.storage import new_shared_dir, store_once
 
@@ -96,6 +96,11 @@ def op6_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    return katz.score_texts(_table(spark, sf_dir, "documents"), held_out)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = byte_bpe.load_vocabulary(spark, public_tokenizers.path(RANKS))
     encoded = byte_bpe.encode(_table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
@@ -116,7 +121,7 @@ def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op1_url_filter, op2_decontamination, op3_token_counts, op4_license_scan, op5_simhash, op6_chat_windows, op8_byte_bpe, op9_quality_rules, op10_repeated_substrings]
+    registered = [op1_url_filter, op2_decontamination, op3_token_counts, op4_license_scan, op5_simhash, op6_chat_windows, op7_katz_backoff, op8_byte_bpe, op9_quality_rules, op10_repeated_substrings]
     return {query.__name__: query for query in registered} | {"pipeline": corpus_pipeline.run}
 
 
