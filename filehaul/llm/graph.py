@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from filehaul.storage import store_once
 
-_MEASURES = {
-    "links": F.count("*"),
-    "digest": F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0)),
-}
+def _stored(links: DataFrame) -> tuple[DataFrame, dict]:
+    """Links as a table, with their number and a digest that tells two tables apart."""
+    digest = F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))
+    return store_once(links, "links", {"links": F.count("*"), "digest": digest})
 
 
 def _stars(links: DataFrame, small: bool) -> DataFrame:
@@ -38,11 +38,11 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     executor costs the running round only. Raises if ``max_rounds`` do not do.
     """
     stars = links.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    stars, seen = store_once(stars, "links", _MEASURES)
+    stars, seen = _stored(stars)
     for _ in range(max_rounds):
         if not seen["links"]:
             break
-        stars, found = store_once(_stars(_stars(stars, small=False), small=True), "links", _MEASURES)
+        stars, found = _stored(_stars(_stars(stars, small=False), small=True))
         if found == seen:
             break
         seen = found
