@@ -88,6 +88,21 @@ def _sum_blocks(table: np.ndarray, features: np.ndarray, block_of: np.ndarray, b
     return out
 
 
+def _add_rows(total: np.ndarray, features: np.ndarray, values: np.ndarray, rows: np.ndarray) -> None:
+    """Add ``values[rows]`` to the rows ``features`` of the total; first what stands first for each, then second and so on."""
+    order = np.argsort(features, kind="stable")
+    ranked = features[order]
+    first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ranked) else np.zeros(0, np.int64)
+    sizes = np.diff(first, append=len(ranked))
+    nth = np.arange(len(ranked)) - np.repeat(first, sizes)
+    by_nth = order[np.argsort(nth.astype(np.uint16) if len(nth) < 1 << 16 or nth.max() < 1 << 16 else nth, kind="stable")]
+    start = 0
+    for size in np.bincount(nth).tolist():
+        part = by_nth[start : start + size]
+        total[features[part]] += values[rows[part]]
+        start += size
+
+
 def _sum_slices(parts: DataFrame, width: int) -> np.ndarray:
     """Sum of rows ``slice, values`` over all tasks: an array of FEATURES rows, whatever the corpus."""
 
@@ -155,11 +170,7 @@ def fit_space(hashed: DataFrame, max_df: float = 0.05, rank: int = RANK) -> np.n
             # Each passage weighs the same, whatever its words.
             norm = np.bincount(passage, weights=idf[feature] ** 2, minlength=len(starts))
             latent /= np.maximum(norm, 1e-9)[:, None].astype(np.float32)
-            order = np.argsort(feature, kind="stable")
-            ranked = feature[order]
-            first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ranked) else []
-            if len(first):
-                total[ranked[first]] += np.add.reduceat(latent[passage[order]], first, axis=0)
+            _add_rows(total, feature, latent, passage)
         yield _emit(total)
 
     sums = idf[:, None] * _sum_slices(hashed.select("words").mapInArrow(sketch, "slice int, values binary"), rank)
