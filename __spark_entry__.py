@@ -7,11 +7,15 @@ out to the shared folder once per session and scale.
 
 from __future__ import annotations
 
+import hashlib
+import io
 import re
 import uuid
+import zipfile
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +23,8 @@ from filehaul.functions import paths
 from filehaul.functions.anonymize import anonymize
 from filehaul.functions.crypto import generate_key_pair
 from filehaul.functions.fields import compress_fields, decompress_fields
-from filehaul.operators import ordering, packing, sync, transfer
-from filehaul.plans.export import ExportResult, export_files
+from filehaul.operators import ordering, packing, transfer
+from filehaul.plans.export import ENCRYPTED_TYPE, ExportResult, export_files
 from filehaul.plans.restore import checksum_content, checksum_files, import_files, verify_files
 from filehaul.sources import listing
 from filehaul.sources.chunks import read_files
@@ -75,9 +79,6 @@ def _tree(spark: SparkSession, sf_dir: str) -> str:
     if key not in _trees:
         root = new_shared_dir(spark, "tree")
         documents = _document_paths(spark, sf_dir, "text")
-        cores = spark.sparkContext.defaultParallelism
-        if documents.rdd.getNumPartitions() < cores:
-            documents = documents.repartition(cores)
         run_id = uuid.uuid4().hex
         transfer.write_contents(documents, root, run_id, "path", "text").write.parquet(
             new_shared_dir(spark, "tree-results")
@@ -94,6 +95,10 @@ def _list(spark: SparkSession, roots: list[str], recursive: bool = True) -> Data
     return listing.list_files(spark, ",".join(plain), scheme, recursive)
 
 
+def _scan(spark: SparkSession, root: str) -> DataFrame:
+    return listing.scan_tree(spark, "/" + re.sub("^[a-z]+:(//[^/]*)?", "", root).lstrip("/"))
+
+
 def _key_pair(spark: SparkSession) -> tuple[str, str]:
     application = spark.sparkContext.applicationId
     if application not in _keys:
@@ -210,14 +215,19 @@ def split_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pack_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Packed in groups, as a listing too big for one task is."""
+    """Packed in groups, as a listing too big for one task is; no split is heavier than the mean and one file."""
     files = _manifest(spark, sf_dir).select("fullPath", "fileSize")
     packed = packing.pack_files(files, max_split_size=16, group_files=256)
-    return packing.split_totals(packed).agg(
+    biggest = F.max(F.col("biggest"))
+    totals = packed.groupBy("split_id").agg(
+        F.count("*").alias("files"), F.sum("fileSize").alias("total_bytes"), F.max("fileSize").alias("biggest")
+    )
+    return totals.agg(
         F.sum("files").alias("files"),
         F.sum("total_bytes").alias("bytes"),
         F.count("*").alias("splits"),
         (F.max("files") <= 16).alias("fits"),
+        (F.max("total_bytes") <= F.avg("total_bytes") + biggest).alias("balanced"),
     )
 
 
@@ -293,9 +303,7 @@ def _ingested_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _table(spark, sf_dir, "events")
     folder = new_shared_dir(spark, "ingest")
     lines = F.to_csv(F.struct(*events.columns), CSV_OPTIONS)
-    events.repartition(spark.sparkContext.defaultParallelism).select(
-        lines.alias("value")
-    ).write.text(f"{folder}/lines")
+    events.select(lines.alias("value")).write.text(f"{folder}/lines")
     ingest_stream(
         text_records(spark, f"{folder}/lines", max_files_per_trigger=4),
         events.schema,
@@ -316,13 +324,118 @@ def table_limit_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that have a label count as copied before."""
-    files = _manifest(spark, sf_dir)
+    """Export the documents that have a label, then what an incremental run over all adds."""
+    files = _list(spark, [f"{_tree(spark, sf_dir)}/corpus/"])
     labelled = _table(spark, sf_dir, "labels").select(
         F.concat("doc_id", F.lit(".txt")).alias("fileName")
     )
-    copies = files.join(labelled, "fileName", "left_semi")
-    return sync.changed_files(files, copies).select("fullPath", "fileSize")
+    target = new_shared_dir(spark, "export")
+    export_files(files.join(labelled, "fileName", "left_semi"), target, suffix=SUFFIX, run_time=RUN_TIME)
+    later = export_files(
+        files, target, suffix=SUFFIX, run_time=RUN_TIME + timedelta(hours=1), mode="incremental"
+    )
+    return later.manifest.select(
+        F.concat(F.lit("/corpus/"), "relativePath").alias("fullPath"), "fileSize"
+    )
+
+
+def sync_after_option_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An incremental run with compression after a plain one exports everything again."""
+    files = _list(spark, [f"{_tree(spark, sf_dir)}/corpus/"])
+    target = new_shared_dir(spark, "export")
+    export_files(files, target, run_time=RUN_TIME)
+    later = export_files(
+        files, target, run_time=RUN_TIME + timedelta(hours=1), mode="incremental", compression="ZIP"
+    )
+    return later.manifest.select("relativePath", "targetName", "status")
+
+
+def directory_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All entries of the tree, and which of them the filter keeps."""
+    entries = listing.describe_files(_scan(spark, f"{_tree(spark, sf_dir)}/corpus/"))
+    kept = listing.drop_directories(entries).select("relativePath", F.lit(True).alias("kept"))
+    dropped = entries.where("isDir").select("relativePath", F.lit(False).alias("kept"))
+    return kept.unionByName(dropped)
+
+
+def segmented_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export in segments of 10,000 bytes in all four modes, and restore."""
+    files = _list(spark, [f"{_tree(spark, sf_dir)}/corpus/"])
+    public, private = _key_pair(spark)
+    every = None
+    for compression in ("NONE", "ZIP"):
+        for encryption in ("NONE", "PGP"):
+            source, target = new_shared_dir(spark, "export"), new_shared_dir(spark, "import")
+            export_files(
+                files, source, compression=compression, encryption=encryption, public_key=public,
+                segment_bytes=10_000,
+            )
+            import_files(spark, source, target, private_keys=private)
+            restored = checksum_files(_list(spark, [f"{target}/"])).select(
+                F.lit(compression).alias("compression"), F.lit(encryption).alias("encryption"),
+                "relativePath", "bytes", "sha256",
+            )
+            every = restored if every is None else every.unionByName(restored)
+    return every
+
+
+def _objects(spark: SparkSession, target: str, ending: str) -> DataFrame:
+    """Stored objects: name of the file they come from, and their bytes."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    found = found.option("pathGlobFilter", f"*{ending}").load(target)
+    name = F.regexp_extract("path", f"([^/]+){re.escape(ending)}$", 1)
+    return found.select(name.alias("fileName"), "content")
+
+
+def zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written archives as the standard library reads them."""
+    target, _ = _export(spark, sf_dir, "ZIP", "NONE")
+    return _objects(spark, target, ".zip").mapInArrow(
+        _read_archives, "fileName string, member string, bytes long, stored_bytes_differ boolean, sha256 string"
+    )
+
+
+def _read_archives(batches):
+    for batch in batches:
+        rows = []
+        for item in batch.to_pylist():
+            with zipfile.ZipFile(io.BytesIO(item["content"])) as archive:
+                for member in archive.infolist():
+                    data = archive.read(member)
+                    rows.append(
+                        {
+                            "fileName": item["fileName"], "member": member.filename, "bytes": len(data),
+                            "stored_bytes_differ": data not in item["content"] if len(data) > 200 else True,
+                            "sha256": hashlib.sha256(data).hexdigest(),
+                        }
+                    )
+        yield pa.RecordBatch.from_pylist(
+            rows,
+            pa.schema(
+                [("fileName", pa.string()), ("member", pa.string()), ("bytes", pa.int64()),
+                 ("stored_bytes_differ", pa.bool_()), ("sha256", pa.string())]
+            ),
+        )
+
+
+def encrypted_at_rest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a stored object shows its text, and whether it opens with the right key and with another."""
+    target, _ = _export(spark, sf_dir, "NONE", "PGP")
+    objects = _objects(spark, target, ".enc")
+    plain = _document_paths(spark, sf_dir, "doc_id", "text").select(
+        F.concat("doc_id", F.lit(".txt")).alias("fileName"), F.col("text").cast("binary").alias("plain")
+    )
+    shown = objects.join(plain, "fileName").select(
+        "fileName",
+        # A text of a few letters may stand in anything by chance.
+        ((F.octet_length("plain") >= 16) & F.contains(F.hex("content"), F.hex(F.substring("plain", 1, 64)))).alias("shows_text"),
+    )
+    opened = verify_files(spark, target, private_keys=_key_pair(spark)[1])
+    closed = verify_files(spark, target, private_keys=generate_key_pair(spark)[1])
+    return (
+        shown.join(opened.select("fileName", F.col("status").alias("with_key")), "fileName")
+        .join(closed.select("fileName", F.col("status").alias("with_other_key")), "fileName")
+    )
 
 
 def anonymize_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -343,7 +456,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         split_totals, pack_invariants, file_chunks, run_metrics, plain_copy, zip_roundtrip, encrypt_roundtrip,
         zip_encrypt_export, encrypt_export, verify_export, checksum_manifest,
         field_compress_roundtrip, stream_csv_to_table, table_limit_check, incremental_sync,
-        anonymize_customer,
+        anonymize_customer, sync_after_option_change, directory_filter, segmented_roundtrip,
+        zip_members, encrypted_at_rest,
     ]
     return {query.__name__: query for query in registered} | (llm.queries() if llm else {})
 
@@ -398,7 +512,10 @@ def oracle_sql() -> dict[str, str]:
     path = "regexp_extract(url, '^[a-z]+://[^/]*(.*)$', 1)"
     path = f"regexp_replace(regexp_replace({path}, '/+', '/', 'g'), '(.)/$', '\\1')"
     masked = "regexp_replace(regexp_replace(regexp_replace(c_mktsegment, '[A-Z]', 'X', 'g'), '[a-z]', 'x', 'g'), '[0-9]', 'n', 'g')"
-    export = """SELECT relativePath, {name} AS targetName, 'application/pgp-encrypted' AS contentType,
+    # HMAC by its definition, with the padded key worked out here.
+    pads = [bytes(byte ^ pad for byte in ANONYMIZE_KEY.encode().ljust(64, b"\0")).hex() for pad in (0x36, 0x5C)]
+    token = f"sha256(unhex('{pads[1]}') || unhex(sha256(unhex('{pads[0]}') || encode({{}}))))"
+    export = """SELECT relativePath, {name} AS targetName, '{type}' AS contentType,
                        fileSize AS bytes, sha256(text) AS sha256, 'ok' AS status FROM ({files})"""
     own = {
         "manifest_paths": f"""
@@ -442,7 +559,7 @@ def oracle_sql() -> dict[str, str]:
         "split_totals": _SPLIT_TOTALS,
         "pack_invariants": f"""
             SELECT count(*) AS files, CAST(sum(fileSize) AS BIGINT) AS bytes,
-                   CAST(ceil(count(*) / 16.0) AS BIGINT) AS splits, true AS fits FROM ({_FILES})""",
+                   CAST(ceil(count(*) / 16.0) AS BIGINT) AS splits, true AS fits, true AS balanced FROM ({_FILES})""",
         "file_chunks": f"""
             SELECT relativePath,
                    CAST(CASE WHEN fileSize = 0 THEN 1
@@ -462,8 +579,8 @@ def oracle_sql() -> dict[str, str]:
         "encrypt_roundtrip": f"""
             SELECT fileName, relativePath, fileSize AS bytes, sha256(text) AS sha256,
                    'passed' AS status FROM ({_FILES})""",
-        "zip_encrypt_export": export.format(name=f"{_OUT} || '.zip.enc'", files=_FILES),
-        "encrypt_export": export.format(name=f"{_OUT} || '.enc'", files=_FILES),
+        "zip_encrypt_export": export.format(name=f"{_OUT} || '.zip.enc'", files=_FILES, type=ENCRYPTED_TYPE),
+        "encrypt_export": export.format(name=f"{_OUT} || '.enc'", files=_FILES, type=ENCRYPTED_TYPE),
         "verify_export": f"""
             SELECT 'passed' AS status, count(*) AS files, CAST(sum(fileSize) AS BIGINT) AS bytes
             FROM ({_FILES})""",
@@ -479,8 +596,22 @@ def oracle_sql() -> dict[str, str]:
             SELECT fullPath, fileSize FROM ({_FILES}) AS files
             WHERE NOT EXISTS (SELECT 1 FROM labels WHERE labels.doc_id = files.doc_id)""",
         "anonymize_customer": f"""
-            SELECT sha256('{ANONYMIZE_KEY}' || c_custkey) AS c_custkey,
-                   sha256('{ANONYMIZE_KEY}' || c_name) AS c_name,
+            SELECT {token.format("CAST(c_custkey AS VARCHAR)")} AS c_custkey, {token.format("c_name")} AS c_name,
                    c_nationkey, c_acctbal, {masked} AS c_mktsegment FROM customer""",
+        "sync_after_option_change": f"""
+            SELECT relativePath, relativePath || '.zip' AS targetName, 'ok' AS status FROM ({_FILES})""",
+        "directory_filter": f"""
+            SELECT relativePath, true AS kept FROM ({_FILES})
+            UNION ALL SELECT DISTINCT lang, false FROM documents
+            UNION ALL SELECT DISTINCT lang || '/' || source, false FROM documents""",
+        "segmented_roundtrip": f"""
+            SELECT compression, encryption, relativePath, fileSize AS bytes, sha256(text) AS sha256
+            FROM ({_FILES}), (VALUES ('NONE'), ('ZIP')) AS c(compression), (VALUES ('NONE'), ('PGP')) AS e(encryption)""",
+        "zip_members": f"""
+            SELECT fileName, fileName AS member, fileSize AS bytes, true AS stored_bytes_differ,
+                   sha256(text) AS sha256 FROM ({_FILES})""",
+        "encrypted_at_rest": f"""
+            SELECT fileName, false AS shows_text, 'passed' AS with_key, 'error' AS with_other_key
+            FROM ({_FILES})""",
     }
     return own | (llm.oracle_sql() if llm else {})

@@ -10,15 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType
 
 from filehaul.operators.ordering import with_rank
-from filehaul.options import check_max_split_size
-
-# Most files one task packs at a time; up to this many, the packing is the
-# plain greedy one over all files.
-GROUP_FILES = 65_536
-# Most tasks a packed table is spread over; a task takes several splits beyond it.
-MAX_TASKS = 50_000
-# Bytes a job gives to a task before it uses more tasks than the file cap asks for.
-TASK_BYTES = 256 << 20
+from filehaul.options import (
+    DEFAULT_GROUP_FILES,
+    DEFAULT_MAX_TASKS,
+    DEFAULT_TASK_BYTES,
+    check_max_split_size,
+)
+
 _TIE_COLUMNS = ("fullPath", "relativePath", "seg_no")
 
 
@@ -28,7 +26,7 @@ def n_splits(n_files: int, max_split_size: int | None = None) -> int:
 
 
 def job_splits(
-    n_files: int, total_bytes: int, max_split_size: int | None = None, task_bytes: int = TASK_BYTES
+    n_files: int, total_bytes: int, max_split_size: int | None = None, task_bytes: int = DEFAULT_TASK_BYTES
 ) -> int:
     """Splits of a job: as many as the file cap asks for, and more when the files are big."""
     by_bytes = min(n_files, -(-total_bytes // task_bytes))
@@ -48,17 +46,18 @@ def pack_files(
     max_split_size: int | None = None,
     size: str = "fileSize",
     ties: tuple[str, ...] | None = None,
-    group_files: int = GROUP_FILES,
+    group_files: int = DEFAULT_GROUP_FILES,
     n_files: int | None = None,
     splits: int | None = None,
 ) -> DataFrame:
     """Add ``split_id``: at most ``max_split_size`` files per split, bytes spread evenly.
 
-    The biggest file comes first and goes to the split with the fewest bytes
-    that has room. That is sequential, so a big table is cut into groups of at
-    most ``group_files`` files, packed in parallel. Ranks by size are dealt to
-    the groups in turn, forward and back, so every group holds the same mix of
-    sizes. The number of splits is always exact.
+    Splits form groups of at most ``group_files`` files, packed in parallel.
+    Ranks by size are dealt to the groups in turn, forward and back, so every
+    group holds the same mix of sizes. Within a group the biggest file comes
+    first and goes to the split with the fewest bytes that has room. A split
+    that may hold ``group_files`` files or more is a group of its own, in which
+    nothing is left to choose. The number of splits is always exact.
     Give ``n_files`` when it is known, to save the count, and ``splits`` for
     more splits than the cap asks for.
 
@@ -81,6 +80,8 @@ def pack_files(
             .withColumn("_group", (dealt % groups).cast("int"))
             .drop("rank")
         )
+    if groups == total:
+        return keyed.withColumn("split_id", F.col("_group").cast("long")).drop("_group")
     output = keyed.drop("_group").schema.add("split_id", LongType())
 
     def pack_group(key: tuple, table: pa.Table) -> pa.Table:
@@ -116,7 +117,7 @@ def split_totals(packed: DataFrame, size: str = "fileSize") -> DataFrame:
     )
 
 
-def one_task_per_split(packed: DataFrame, splits: int, max_tasks: int = MAX_TASKS) -> DataFrame:
+def one_task_per_split(packed: DataFrame, splits: int, max_tasks: int = DEFAULT_MAX_TASKS) -> DataFrame:
     """Place every split in a partition of its own; only the file records move."""
     tasks = max(1, min(splits, max_tasks))
     return packed.repartitionById(tasks, (F.col("split_id") % tasks).cast(IntegerType()))

@@ -20,6 +20,12 @@ ENCRYPTIONS = ("PGP", "NONE")
 DEFAULT_CHUNK_BYTES = 256 << 10
 # A bigger file is read, compressed and encrypted by several tasks.
 DEFAULT_SEGMENT_BYTES = 1 << 30
+# Files whose splits one task packs. Every group is packed by the same greedy rule; files are dealt to groups by rank.
+DEFAULT_GROUP_FILES = 65_536
+# Tasks of a job; with more splits than this a task takes several.
+DEFAULT_MAX_TASKS = 50_000
+# Bytes a job gives to a task before it uses more splits than the file cap asks for.
+DEFAULT_TASK_BYTES = 256 << 20
 
 
 def check_scheme(scheme: str) -> str:
@@ -38,7 +44,7 @@ def check_max_split_size(value: int | None) -> int:
 
 
 def check_bytes(name: str, value: int | str | None, default: int) -> int:
-    """A byte count as a number or as digits; the default when not given."""
+    """A count of bytes, files or tasks as a number or as digits; the default when not given."""
     if value is None or value == "":
         return default
     if isinstance(value, str) and value.isascii() and value.isdigit():
@@ -69,6 +75,9 @@ class ExportOptions:
     max_split_size: int | None = None
     chunk_bytes: int | str | None = None
     segment_bytes: int | str | None = None
+    group_files: int | str | None = None
+    max_tasks: int | str | None = None
+    task_bytes: int | str | None = None
     on_error: str = "fail"
     compat: bool = False
 
@@ -96,6 +105,9 @@ class ExportOptions:
             max_split_size=check_max_split_size(self.max_split_size),
             chunk_bytes=check_bytes("chunk_bytes", self.chunk_bytes, DEFAULT_CHUNK_BYTES),
             segment_bytes=check_bytes("segment_bytes", self.segment_bytes, DEFAULT_SEGMENT_BYTES),
+            group_files=check_bytes("group_files", self.group_files, DEFAULT_GROUP_FILES),
+            max_tasks=check_bytes("max_tasks", self.max_tasks, DEFAULT_MAX_TASKS),
+            task_bytes=check_bytes("task_bytes", self.task_bytes, DEFAULT_TASK_BYTES),
             on_error=self.on_error,
             compat=self.compat,
         )

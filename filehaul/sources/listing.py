@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+import stat
 from collections.abc import Iterable, Iterator
 from datetime import datetime, timezone
 
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from filehaul.functions import paths
-from filehaul.options import check_scheme
+from filehaul.options import DEFAULT_MAX_TASKS, check_scheme
 from filehaul.storage import default_filesystem, new_shared_dir, open_filesystem
 
 # Columns of the emitted record, in order.
@@ -37,7 +38,6 @@ _ARROW_ENTRY = pa.schema(
 )
 _ROWS_PER_BATCH = 10_000
 _DIRECTORIES_PER_TASK = 64
-_MAX_TASKS = 20_000
 
 
 def list_files(
@@ -65,9 +65,18 @@ def missing_roots(entries: DataFrame) -> DataFrame:
 
 
 def scan_tree(
-    spark: SparkSession, source_paths: str, scheme: str = "file", recursive: bool = True
+    spark: SparkSession,
+    source_paths: str,
+    scheme: str = "file",
+    recursive: bool = True,
+    max_tasks: int = DEFAULT_MAX_TASKS,
 ) -> DataFrame:
-    """All entries below the roots, with ``kind`` 'file', 'dir' or 'missing' and their depth."""
+    """All entries below the roots, with their depth and ``kind``.
+
+    The kind is 'file', 'dir', 'missing', 'link' (a link to a directory, which is
+    not followed, so that no loop is), 'broken' (a link to nothing) or
+    'unreadable' (no permission to look).
+    """
     filesystem = "file:" if check_scheme(scheme) == "file" else default_filesystem(spark)
     roots = source_paths.rstrip(",").split(",")
     for root in roots:
@@ -80,7 +89,7 @@ def scan_tree(
     waiting, depth = len(roots), 0
     while waiting:
         tasks = max(-(-waiting // _DIRECTORIES_PER_TASK), spark.sparkContext.defaultParallelism)
-        tasks = min(waiting, tasks, _MAX_TASKS)
+        tasks = min(waiting, tasks, max_tasks)
         found = Observation()
         level.repartition(tasks).mapInArrow(_list_directories, _ENTRY_SCHEMA).observe(
             found, F.count_if(F.col("kind") == "dir").alias("directories")
@@ -108,6 +117,9 @@ def describe_files(
 ) -> DataFrame:
     """Derive the metadata columns of entries given by ``root`` and ``uri``.
 
+    Entries of :func:`scan_tree` bring their ``kind``, and ``isDir`` follows it;
+    a table without it lists files only.
+
     ``extra_columns`` is the hook for more metadata, such as access hints for
     the job that opens the files.
     """
@@ -116,7 +128,7 @@ def describe_files(
         .withColumn("fileName", paths.file_name("fullPath"))
         .withColumn("relativePath", paths.relative_path("fullPath", F.col("root")))
         .withColumn("hostURI", paths.host_uri("uri"))
-        .withColumn("isDir", F.lit(False))
+        .withColumn("isDir", F.col("kind") == "dir" if "kind" in entries.columns else F.lit(False))
     )
     return described.withColumns(extra_columns or {}).select(
         *RECORD_COLUMNS,
@@ -191,24 +203,39 @@ def _read_directory(uri: str, opened: dict) -> Iterator[tuple]:
 
 def _read_local(path: str) -> Iterator[tuple]:
     """As :func:`_read_directory`, one entry at a time however big the directory is."""
-    if not os.path.exists(path):
+    try:
+        # A root may be a link to a directory; below it such links are not followed.
+        status = os.stat(path)
+        if not stat.S_ISDIR(status.st_mode):
+            yield _local_entry(path, status)
+            return
+        entries = os.scandir(path)
+    except FileNotFoundError:
         yield "file:" + path, None, None, "missing"
         return
-    if not os.path.isdir(path):
-        yield _local_entry(path, os.stat(path))
+    except PermissionError:
+        yield "file:" + path, None, None, "unreadable"
         return
-    with os.scandir(path) as entries:
+    with entries:
         for entry in entries:
             # Spark's and Hadoop's local filesystem keeps checksums in such side files.
             if entry.name.startswith(".") and entry.name.endswith(".crc"):
                 continue
+            found = os.path.join(path, entry.name)
             try:
-                yield _local_entry(os.path.join(path, entry.name), entry.stat())
+                if entry.is_symlink() and entry.is_dir():
+                    yield "file:" + found, None, None, "link"
+                else:
+                    yield _local_entry(found, entry.stat())
             except FileNotFoundError:
-                continue
+                # Gone since, or a link to nothing.
+                if entry.is_symlink():
+                    yield "file:" + found, None, None, "broken"
+            except PermissionError:
+                yield "file:" + found, None, None, "unreadable"
 
 
 def _local_entry(path: str, status: os.stat_result) -> tuple:
-    folder = (status.st_mode & 0o170000) == 0o040000
+    folder = stat.S_ISDIR(status.st_mode)
     time = datetime.fromtimestamp(status.st_mtime, timezone.utc)
     return "file:" + path, 0 if folder else status.st_size, time, "dir" if folder else "file"

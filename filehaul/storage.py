@@ -17,12 +17,12 @@ ATOMIC_STORES = ("gcs", "s3", "abfs")
 def new_shared_dir(spark: SparkSession, purpose: str) -> str:
     """URI of a new folder below the one the cluster names in ``spark.checkpoint.dir``.
 
-    All executors must see it. Only a local session without that setting gets
-    a temporary folder.
+    All executors must see it. Only a session in one process, such as a test's,
+    may leave it unset and then gets a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="filehaul-")
         spark.sparkContext.setCheckpointDir(base)
@@ -34,14 +34,21 @@ def store_once(
 ) -> tuple[DataFrame, dict]:
     """Evaluate rows into a table in the shared folder and read them back, with measures taken on the way."""
     path = new_shared_dir(rows.sparkSession, purpose)
-    back = rows.sparkSession.read.schema(rows.schema)
-    if not measures:
-        rows.write.parquet(path)
-        return back.parquet(path), {}
     observed = Observation()
-    named = [column.alias(name) for name, column in measures.items()]
-    rows.observe(observed, *named).write.parquet(path)
-    return back.parquet(path), observed.get
+    if measures:
+        rows = rows.observe(observed, *(column.alias(name) for name, column in measures.items()))
+    rows.write.parquet(path)
+    back = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    back.stored_path = path
+    return back, observed.get if measures else {}
+
+
+def delete_stored(*tables: DataFrame) -> None:
+    """Remove tables of :func:`store_once` that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def qualified(spark: SparkSession, path: str) -> str:

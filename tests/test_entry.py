@@ -27,7 +27,11 @@ def rows(frame):
     return columns, sorted(map(str, frame[columns].itertuples(index=False, name=None)))
 
 
-@pytest.mark.parametrize("name", registry.queries())
+# The queries of the text subpackage have tests of their own.
+OWN = [name for name, query in registry.queries().items() if query.__module__ == registry.__name__]
+
+
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_sql(spark, database, name):
     found = rows(registry.queries()[name](spark, str(DATA)).toPandas())
     assert found == rows(database.sql(registry.oracle_sql()[name]).df())
@@ -35,7 +39,7 @@ def test_query_matches_sql(spark, database, name):
 
 
 def test_every_query_has_sql():
-    assert registry.queries().keys() == registry.oracle_sql().keys()
+    assert set(OWN) <= registry.oracle_sql().keys() <= registry.queries().keys()
 
 
 def test_flagship(spark):

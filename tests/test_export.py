@@ -15,6 +15,7 @@ from filehaul.plans.export import (
     read_manifest,
     transfer_rows,
 )
+from filehaul.functions.crypto import generate_key_pair
 from filehaul.plans.restore import checksum_files, import_files, verify_files
 from filehaul.sources import chunks, listing
 
@@ -30,15 +31,13 @@ CONTENT = {
 ENDINGS = {
     ("NONE", "NONE"): ("", "application/octet-stream"),
     ("ZIP", "NONE"): (".zip", "application/zip"),
-    ("NONE", "PGP"): (".enc", "application/pgp-encrypted"),
-    ("ZIP", "PGP"): (".zip.enc", "application/pgp-encrypted"),
+    ("NONE", "PGP"): (".enc", "application/vnd.filehaul.encrypted"),
+    ("ZIP", "PGP"): (".zip.enc", "application/vnd.filehaul.encrypted"),
 }
 
 
-def digest(content, segment_bytes):
-    pieces = [content[start : start + segment_bytes] for start in range(0, len(content), segment_bytes)]
-    if len(pieces) <= 1:
-        return hashlib.sha256(content).hexdigest()
+def parts_digest(content, segment_bytes):
+    pieces = [content[start : start + segment_bytes] for start in range(0, len(content), segment_bytes)] or [b""]
     return hashlib.sha256(b"".join(hashlib.sha256(piece).digest() for piece in pieces)).hexdigest()
 
 
@@ -60,7 +59,10 @@ def test_all_modes_and_back(
         row, written = rows[path], f"{target}/out/{path}{ending}"
         assert row["targetName"] == f"out/{path}{ending}" and row["contentType"] == kind
         assert row["bytes"] == len(content) and row["status"] == "ok"
-        assert row["sha256"] == digest(content, segment_bytes)
+        # The digest of the content or nothing, whatever the size.
+        whole = len(content) <= segment_bytes
+        assert row["sha256"] == (hashlib.sha256(content).hexdigest() if whole else None)
+        assert row["parts_sha256"] == parts_digest(content, segment_bytes)
         stored = open(written, "rb").read()
         if (compression, encryption) == ("NONE", "NONE"):
             assert stored == content
@@ -89,9 +91,9 @@ def test_all_modes_and_back(
 
 def test_content_does_not_cross_a_shuffle(spark, keys, make_tree, tmp_path):
     files = listing.list_files(spark, make_tree(CONTENT))
-    work = files.withColumn("targetName", F.col("relativePath"))
+    work = files.withColumns({"targetName": F.col("relativePath"), "logicalName": F.col("relativePath")})
     options = ExportOptions(encryption="PGP", public_key=keys[0]).checked(spark)
-    segments = _planned_segments(work, options)
+    _, segments = _planned_segments(work, options)
     rows = transfer_rows(segments, str(tmp_path / "target"), "run", options)
     plan = rows._jdf.queryExecution().executedPlan().toString()
     above_shuffle = plan[: plan.index("Exchange")]
@@ -116,11 +118,10 @@ def test_chunk_rows(spark, make_tree):
 
 def test_checksums(spark, make_tree):
     files = listing.list_files(spark, make_tree(CONTENT) + "/")
-    for segment_bytes in (1 << 30, 2500):
-        rows = checksum_files(files, segment_bytes, CHUNK).collect()
-        assert {row["relativePath"]: row["sha256"] for row in rows} == {
-            path: digest(content, segment_bytes) for path, content in CONTENT.items()
-        }
+    rows = checksum_files(files, CHUNK).collect()
+    assert {row["relativePath"]: row["sha256"] for row in rows} == {
+        path: hashlib.sha256(content).hexdigest() for path, content in CONTENT.items()
+    }
 
 
 def test_suffix_and_compat_names(spark, make_tree, tmp_path):
@@ -222,11 +223,12 @@ def test_repeated_tasks(spark, keys, make_tree, tmp_path):
 
     contents = {f"d{number % 3}/{number}": bytes([number]) * 3000 for number in range(40)}
     files = listing.list_files(spark, make_tree(contents) + "/")
-    work = files.withColumn("targetName", F.concat(F.col("relativePath"), F.lit(".enc")))
+    name = F.concat(F.col("relativePath"), F.lit(".enc"))
+    work = files.withColumns({"targetName": name, "logicalName": name})
     options = ExportOptions(
         encryption="PGP", public_key=keys[0], max_split_size=10, chunk_bytes=CHUNK
     ).checked(spark)
-    segments = _planned_segments(work, options)
+    _, segments = _planned_segments(work, options)
 
     def dies_once(batches):
         for batch in batches:
@@ -245,3 +247,51 @@ def test_repeated_tasks(spark, keys, make_tree, tmp_path):
              for folder, _, found in os.walk(target) for name in found]
     assert sorted(names) == sorted(f"{path}.enc" for path in contents)
     assert all(os.path.getsize(f"{target}/{row['targetName']}") == row["target_bytes"] for row in rows)
+
+
+def test_same_path_on_two_hosts_is_an_error(spark, make_tree, tmp_path):
+    files = listing.list_files(spark, make_tree({"a": b"1"}) + "/")
+    other = files.withColumn("sourceURI", F.concat(F.lit("hdfs://other"), "fullPath"))
+    with pytest.raises(ValueError, match="target names"):
+        export_files(files.unionByName(other), str(tmp_path / "target"))
+
+
+def exported_again(spark, files, target, **options):
+    result = export_files(files, target, mode="incremental", **options)
+    return {row["relativePath"] for row in result.manifest.collect()}
+
+
+def test_incremental_after_a_change_of_options(spark, keys, make_tree, tmp_path):
+    files, target = listing.list_files(spark, make_tree({"a": b"1", "b": b"2"}) + "/"), str(tmp_path / "target")
+    export_files(files, target, suffix="yyyy", run_time=datetime(2015, 1, 1))
+    # Another date alone is no change.
+    assert exported_again(spark, files, target, suffix="yyyy", run_time=datetime(2016, 1, 1)) == set()
+    sealed = {"encryption": "PGP", "public_key": keys[0]}
+    assert exported_again(spark, files, target, suffix="yyyy", **sealed) == {"a", "b"}
+    assert exported_again(spark, files, target, suffix="yyyy", **sealed) == set()
+    assert exported_again(spark, files, target, prefix="other") == {"a", "b"}
+    other = {"encryption": "PGP", "public_key": generate_key_pair(spark)[0]}
+    assert exported_again(spark, files, target, suffix="yyyy", **other) == {"a", "b"}
+
+
+def test_incremental_after_an_object_was_deleted(spark, make_tree, tmp_path):
+    files, target = listing.list_files(spark, make_tree({"a": b"1", "b": b"2"}) + "/"), tmp_path / "target"
+    export_files(files, str(target))
+    (target / "a").unlink()
+    assert exported_again(spark, files, str(target)) == {"a"}
+    assert (target / "a").read_bytes() == b"1"
+
+
+def test_intermediate_tables_go(spark, make_tree, tmp_path, monkeypatch):
+    from filehaul import storage
+
+    files = listing.list_files(spark, make_tree({"a": b"1" * 5000}) + "/")
+    made = []
+
+    def new_shared_dir(spark, purpose):
+        made.append(f"{tmp_path}/shared/{purpose}-{len(made)}")
+        return f"file:{made[-1]}"
+
+    monkeypatch.setattr(storage, "new_shared_dir", new_shared_dir)
+    export_files(files, str(tmp_path / "target"), segment_bytes=2000)
+    assert made and not any(map(os.path.exists, made))

@@ -98,3 +98,19 @@ def test_listing_happens_once(spark, make_tree):
     files = listing.list_files(spark, root)
     os.remove(f"{root}/a")
     assert files.count() == 1 and files.count() == 1
+
+
+def test_kinds_of_entries(spark, make_tree):
+    """Directories are marked, links to directories are not followed, and what cannot be seen has a row."""
+    root = make_tree({"a.txt": b"a", "sub/b.txt": b"b"})
+    os.symlink(root, f"{root}/sub/up")
+    os.symlink(f"{root}/gone", f"{root}/dangling")
+    os.symlink(f"{root}/a.txt", f"{root}/copy.txt")
+    entries = listing.scan_tree(spark, root + "/")
+    kinds = {row["uri"].removeprefix(f"file:{root}/"): row["kind"] for row in entries.collect()}
+    assert kinds == {
+        "a.txt": "file", "copy.txt": "file", "sub": "dir", "sub/b.txt": "file", "sub/up": "link", "dangling": "broken",
+    }
+    described = listing.describe_files(entries)
+    assert [row["fileName"] for row in described.where("isDir").collect()] == ["sub"]
+    assert "sub" not in [row["fileName"] for row in listing.drop_directories(described).collect()]
