@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  makes pa.compute known
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # ASCII white space; words are what stands between.
@@ -28,6 +29,12 @@ def lower_ascii(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
+def release(spark: SparkSession) -> None:
+    """Have Spark drop the shuffle files of tables that have been written out and are no longer referred to."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "body", limit: int = 4 << 20) -> Iterator[tuple]:
     """Batches cut so that ``column`` holds about ``limit`` bytes: (batch, list of its values).
 

@@ -26,14 +26,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from filehaul.llm.common import slices
-from filehaul.storage import store_once
+from filehaul.llm.common import release, slices
+from filehaul.storage import delete_stored, store_once
 
 # Words that stand for a text's start, as a context, and its end, as a token; no word has a space.
 START, END = (xxhash.xxh64_intdigest(name) for name in (b" start", b" end"))
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 # Tokens for which a bucket is made. A context with over a quarter of this many is dealt to all buckets.
-BUCKET_TOKENS = 2_000_000
+BUCKET_TOKENS = 1_500_000
 # Counts up to this are discounted.
 RELIABLE = 5
 
@@ -135,15 +135,19 @@ def _chunked(source: DataFrame) -> DataFrame:
         def ended() -> pa.RecordBatch:
             keys = np.array([END if w is None else xxhash.xxh64_intdigest(w) for w in places], np.uint64)
             order = np.argsort(keys)
-            rank = np.empty(len(order), np.uint32)
-            rank[order] = np.arange(len(order), dtype=np.uint32)
-            stream = rank[np.concatenate(streams)]
+            stream = np.concatenate(streams)
             learn = np.repeat(~np.array(held), sizes)
-            learned = np.bincount(stream[learn], minlength=len(keys)).astype(np.uint32)
+            learned = np.bincount(stream[learn], minlength=len(keys)).astype(np.uint32)[order]
+            # Words are sorted by hash, but the text numbers them by frequency, which packs better.
+            often = np.argsort(-np.bincount(stream, minlength=len(keys)), kind="stable")
+            number, place = np.empty(len(order), np.uint32), np.empty(len(order), np.uint32)
+            number[often] = np.arange(len(often))
+            place[order] = np.arange(len(order))
+            packed = pack(place[often], number[stream])
             arrays = [
                 pa.array([f"{name}-{number}"]), pa.array([ids], pa.list_(id_kind)), pa.array([held], pa.list_(pa.bool_())),
                 pa.array([sizes], pa.list_(pa.int64())), pa.array([pack(keys[order], learned)], pa.binary()),
-                pa.array([pack(stream)], pa.binary()),
+                pa.array([packed], pa.binary()),
             ]
             return pa.RecordBatch.from_arrays(arrays, names=["chunk", "ids", "held", "sizes", "words", "stream"])
 
@@ -215,6 +219,11 @@ def _unigram_answers(chunks: DataFrame, buckets: int) -> DataFrame:
         parts = [unpack(data) for data in datas]
         keys, place = np.unique(np.concatenate([part[0] for part in parts]), return_inverse=True)
         counts = np.bincount(place, weights=np.concatenate([part[1] for part in parts])).astype(np.uint64)
+        # Places go by frequency, so that those of most words are small numbers.
+        often = np.argsort(counts, kind="stable")[::-1]
+        rank = np.empty(len(often), np.int64)
+        rank[often] = np.arange(len(often))
+        keys, counts, place = keys[often], counts[often], rank[place]
         ends = np.cumsum([len(part[0]) for part in parts])
         known = counts > 0
         with_count = np.bincount(np.minimum(counts, RELIABLE + 2).astype(np.int64), minlength=RELIABLE + 3)
@@ -242,7 +251,8 @@ def _pairs(chunks: DataFrame, answers: DataFrame, buckets: int, unigrams: Unigra
                 counts = np.concatenate([part[0] for part in parts])
                 # A word's number: its bucket and its place there.
                 word = np.concatenate([np.uint64(a["bucket"]) << np.uint64(40) | p[1] for a, p in zip(row["answers"], parts)])
-                (stream,) = unpack(row["stream"])
+                place, stream = unpack(row["stream"])
+                stream = place[stream]
                 sizes = np.array(row["sizes"], np.int64)
                 learn = np.repeat(~np.array(row["held"]), sizes)
                 doc = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes)
@@ -323,7 +333,9 @@ def _merge_pairs(sent: DataFrame, unigrams: Unigrams, often: int) -> DataFrame:
             frequent.append({"context": context, "with_count": small.tolist(), "rest": int(own[own > RELIABLE].sum()), "lower": float(lower[number])})
         ends = np.cumsum([len(part[0]) for part in parts])
         data = [pack(h, w, counts, ch, cw)]
-        data += [pack(at, part[5], part[6]) for at, part in zip(np.split(place, ends[:-1]), parts)]
+        # A chunk's pairs are in the order of its words; here their places rise.
+        for at, part in zip(np.split(place, ends[:-1]), parts):
+            data.append(pack(*_rising(at, part[5], part[6])))
         row = [bucket, names, data, with_count.tolist(), frequent]
         yield pa.RecordBatch.from_arrays([pa.array([value], kind) for value, kind in zip(row, kinds)], names=columns)
 
@@ -335,6 +347,14 @@ def _merge_pairs(sent: DataFrame, unigrams: Unigrams, often: int) -> DataFrame:
     )
 
 
+def _rising(at: np.ndarray, size: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in rising order, each less the one before, with the documents that belong to them."""
+    order, size = np.argsort(at, kind="stable"), size.astype(np.int64)
+    starts = np.cumsum(size) - size
+    spread = np.repeat(starts[order] - (np.cumsum(size[order]) - size[order]), size[order]) + np.arange(size.sum())
+    return np.diff(at[order], prepend=np.uint32(0)).astype(np.uint32), size[order].astype(np.uint32), docs[spread]
+
+
 def pair_probabilities(
     h: np.ndarray, counts: np.ndarray, ch: np.ndarray, cw: np.ndarray, unigrams: Unigrams, factors: np.ndarray,
     frequent: dict[int, tuple[float, float]],
@@ -379,6 +399,7 @@ def _evaluate(table: DataFrame, unigrams: Unigrams, factors: np.ndarray, frequen
                     sums = []
                     for data in datas[1:]:
                         at, size, docs = unpack(data)
+                        at = np.cumsum(at, dtype=np.int64)
                         sums.append(pack(np.bincount(docs, weights=np.repeat(logs[at], size))))
                     datas = sums
                 arrays = [pa.array(names, pa.string()), pa.array([bucket] * len(names), pa.int32()), pa.array(datas, pa.binary())]
@@ -432,7 +453,10 @@ def score_texts(
     tokens = F.aggregate("sizes", F.lit(0).cast("long"), lambda n, size: n + size)
     chunks, seen = store_once(_chunked(source), "chunks", {"starts": F.sum(learns), "tokens": F.sum(tokens)})
     buckets = max(8, -(-(seen["tokens"] or 0) // bucket_tokens))
-    answers, _ = store_once(_unigram_answers(chunks, buckets), "unigrams")
+    spark = docs.sparkSession
+    stored, _ = store_once(_unigram_answers(chunks, buckets), "unigrams")
+    release(spark)
+    answers = stored
     of_all = answers.where("chunk is null").agg(
         F.sum("tokens").alias("tokens"), F.sum("words").alias("words"),
         *(F.sum(F.col("with_count")[r]).alias(f"n{r}") for r in range(RELIABLE + 1)),
@@ -442,6 +466,8 @@ def score_texts(
     often = bucket_tokens // 4
     sent = _pairs(chunks, answers, buckets, unigrams, seen["starts"] or 0, often)
     table, _ = store_once(_merge_pairs(sent, unigrams, often), "bigrams")
+    delete_stored(stored)
+    release(spark)
     numbers = table.agg(*(F.sum(F.col("with_count")[r]).alias(f"n{r}") for r in range(RELIABLE + 1))).first()
     factors = discounts([numbers[f"n{r}"] or 0 for r in range(RELIABLE + 1)])
     # Contexts with over a quarter of a bucket's tokens: at most four for each bucket.
