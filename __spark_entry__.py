@@ -34,8 +34,9 @@ from filehaul.streaming.ingest import check_query, ingest_stream
 
 try:
     from filehaul.llm import queries as llm
-except ModuleNotFoundError as missing:
-    if missing.name != "filehaul.llm":
+except ImportError as missing:
+    # Left out only where the subpackage itself is not there.
+    if missing.name not in ("filehaul.llm", "filehaul.llm.queries"):
         raise
     llm = None
 

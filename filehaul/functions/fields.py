@@ -17,7 +17,7 @@ ZIP_ENTRY_NAME = "data"
 
 
 def parse_spec(spec: str, columns: list[str]) -> dict[str, str]:
-    """``<field>:<compressor>[,<field>:<compressor>]*`` as a mapping."""
+    """Fields and their compressors from a text such as ``text:GZIP,role:SNAPPY``."""
     fields: dict[str, str] = {}
     for item in spec.split(","):
         name, separator, compressor = item.strip().partition(":")

@@ -19,14 +19,14 @@ def value(spark, column, **columns):
 @pytest.mark.parametrize(
     "uri, root, name, path, relative, host",
     [
-        ("hdfs://12.34.56.78/source/path/directory/123.txt", "/source/path/directory",
-         "123.txt", "/source/path/directory/123.txt", "directory/123.txt", "hdfs://12.34.56.78/"),
-        ("hdfs://12.34.56.78/source/path/directory/123.txt", "/source/path/",
-         "123.txt", "/source/path/directory/123.txt", "directory/123.txt", "hdfs://12.34.56.78/"),
-        ("hdfs://12.34.56.78/", "/", "", "/", "", "hdfs://12.34.56.78/"),
-        ("hdfs://12.34.56.78/abc.txt", "/", "abc.txt", "/abc.txt", "abc.txt", "hdfs://12.34.56.78/"),
-        ("http://example.com/foo/bar/baz/index.html", "/foo/bar",
-         "index.html", "/foo/bar/baz/index.html", "bar/baz/index.html", "http://example.com/"),
+        ("hdfs://store-7/in/2020/may/r.csv", "/in/2020/may",
+         "r.csv", "/in/2020/may/r.csv", "may/r.csv", "hdfs://store-7/"),
+        ("hdfs://store-7/in/2020/may/r.csv", "/in/2020/",
+         "r.csv", "/in/2020/may/r.csv", "may/r.csv", "hdfs://store-7/"),
+        ("hdfs://store-7/", "/", "", "/", "", "hdfs://store-7/"),
+        ("hdfs://store-7/top", "/", "top", "/top", "top", "hdfs://store-7/"),
+        ("http://pages.test/docs/en/start.html", "/docs/en",
+         "start.html", "/docs/en/start.html", "en/start.html", "http://pages.test/"),
         ("file:/a b/c d.txt", "/a b/", "c d.txt", "/a b/c d.txt", "c d.txt", "file:/"),
         ("hdfs://user@node:8020/x//y/", "/x", "y", "/x/y", "x/y", "hdfs://node/"),
         ("s3a://under_score/x", "/", "x", "/x", "x", "s3a:/"),

@@ -10,11 +10,10 @@ from filehaul.sources.records import (
 )
 from filehaul.streaming.ingest import check_query, ingest_stream
 
-GOOD = "'id-02020302','as7s-923-asdd',10,false,'$2300','http://photo.id',1,'Tom','Smith','StartupAnalytics'"
+GOOD = "'c-77','g-4-z',10,true,'9.50 EUR','http://pic.test/7',3,'Ada','Berg','Mill and Sons'"
 WRONG_TYPE = GOOD.replace("10", "ten")
 TOO_FEW = "'id','guid',3"
-ROW = ("id-02020302", "as7s-923-asdd", 10, False, "$2300", "http://photo.id", 1, "Tom", "Smith",
-       "StartupAnalytics")
+ROW = ("c-77", "g-4-z", 10, True, "9.50 EUR", "http://pic.test/7", 3, "Ada", "Berg", "Mill and Sons")
 
 
 def lines(spark, *values):
@@ -25,7 +24,7 @@ def test_decode(spark):
     decoded = decode_csv(lines(spark, GOOD), CUSTOMER_SCHEMA, quote="'").first()
     assert tuple(decoded)[:-1] == ROW and decoded["_corrupt_record"] is None
     kept = decode_csv(lines(spark, GOOD), CUSTOMER_SCHEMA).first()
-    assert kept["_id"] == "'id-02020302'" and kept["balance"] == "'$2300'"
+    assert kept["_id"] == "'c-77'" and kept["balance"] == "'9.50 EUR'"
 
 
 def test_bad_lines(spark):
