@@ -9,15 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from filehaul.llm import byte_bpe, chat, decontaminate, katz, licenses, quality, simhash, substrings, token_rollup, url_filter
-from filehaul.llm.common import SPACES
+from filehaul.llm import byte_bpe, chat, decontaminate, katz, licenses, oracles, quality, simhash, substrings, token_rollup, url_filter
+from filehaul.llm.oracles import LONG_WORDS, MARKS, WORDS
 from filehaul.storage import new_shared_dir, store_once
 
 URL_RULES = [
     ("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"),
 ]
-WORDS, LONG_WORDS = f"[^{SPACES}]+", f"[^{SPACES}]{{2,}}"
-MARKS = "[\\x21-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7E]|[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -125,23 +123,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in registered} | {"pipeline": corpus_pipeline.run}
 
 
-_TOKEN_COUNTS = f"""
-    WITH counted AS (
-        SELECT source, lang, coalesce(quality = 0, false) AS bad, coalesce(toxic = 1, false) AS toxic,
-               len(regexp_extract_all(coalesce(text, ''), '{WORDS}')) AS words,
-               len(regexp_extract_all(coalesce(text, ''), '{LONG_WORDS}')) AS long_words,
-               len(regexp_extract_all(coalesce(text, ''), '{MARKS}')) AS marks
-        FROM documents LEFT JOIN labels USING (doc_id)
-    )
-    SELECT source, lang, 'words-1' AS tokenizer, count(*) AS docs,
-           CAST(sum(CASE WHEN toxic THEN long_words ELSE words END) AS BIGINT) AS tokens
-    FROM counted WHERE NOT bad GROUP BY source, lang
-    UNION ALL
-    SELECT source, lang, 'marks-1', count(*), CAST(sum(marks) AS BIGINT)
-    FROM counted WHERE NOT bad GROUP BY source, lang
-"""
-
-
 def oracle_sql() -> dict[str, str]:
     pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
-    return {"op3_token_counts": _TOKEN_COUNTS} | pipeline
+    return {"op3_token_counts": oracles.TOKEN_COUNTS, "op4_license_scan": oracles.license_scan()} | pipeline

@@ -1,4 +1,7 @@
+from numbers import Number
+
 import duckdb
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -68,5 +71,10 @@ def test_query_matches_sql(spark, name):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
     found, expected = llm.queries()[name](spark, DATA).toPandas(), connection.execute(llm.oracle_sql()[name]).df()
     columns = sorted(found.columns)
-    as_rows = lambda frame: sorted(map(str, frame[columns].itertuples(index=False, name=None)))
+
+    def as_rows(frame):
+        # Whole numbers with nulls come as floats from one side.
+        value = lambda v: None if pd.isna(v) else float(v) if isinstance(v, Number) else v
+        return sorted(str(tuple(map(value, row))) for row in frame[columns].itertuples(index=False, name=None))
+
     assert columns == sorted(expected.columns) and as_rows(found) == as_rows(expected)
