@@ -31,7 +31,7 @@ from filehaul.storage import delete_stored, store_once
 
 # Words that stand for a text's start, as a context, and its end, as a token; no word has a space.
 START, END = (xxhash.xxh64_intdigest(name) for name in (b" start", b" end"))
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 14 << 20
 # Tokens for which a bucket is made. A context with over a quarter of this many is dealt to all buckets.
 BUCKET_TOKENS = 1_500_000
 # Counts up to this are discounted.
@@ -263,14 +263,18 @@ def _pairs(chunks: DataFrame, answers: DataFrame, buckets: int, unigrams: Unigra
                 context = np.concatenate([[number], stream[:-1]]).astype(np.int64)
                 context[first] = number
                 pair = context * (number + 1) + stream
+                del context, stream
                 order = np.argsort(pair, kind="stable")
                 ranked = pair[order]
+                docs, learn = doc[order], learn[order]
+                del pair, order, doc
                 new = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
                 size = np.diff(new, append=len(ranked))
                 h, w = ranked[new] // (number + 1), ranked[new] % (number + 1)
+                del ranked
                 words = np.concatenate([word, [np.uint64(2**64 - 1)]])
                 ch = np.concatenate([counts, [np.uint64(starts)]])[h]
-                seen = np.add.reduceat(learn[order].astype(np.uint32), new)
+                seen = np.add.reduceat(learn.astype(np.uint32), new)
                 # Contexts are dealt by themselves, frequent ones by the pair.
                 mixed = words[h] * np.uint64(0x9E3779B97F4A7C15)
                 dealt = ch > often
@@ -278,7 +282,6 @@ def _pairs(chunks: DataFrame, answers: DataFrame, buckets: int, unigrams: Unigra
                 bucket = _bucket_of((mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9), buckets)
                 by_bucket = np.argsort(bucket, kind="stable")
                 cuts = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
-                docs = doc[order]
                 out = [-1 - xxhash.xxh32_intdigest(row["chunk"]) % buckets]
                 data = [pack(known, base)]
                 for number in range(buckets):
