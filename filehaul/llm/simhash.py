@@ -41,21 +41,12 @@ def fingerprints(
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh64_intdigest
         for batch, texts in slices(batches):
             out = np.zeros(len(texts), dtype=np.uint64)
             for place, text in enumerate(texts):
-                parts = text.lower().split()
-                if not parts:
-                    continue
-                if len(parts) <= words:
-                    out[place] = digest(b" ".join(parts), SEED)
-                    continue
-                joined = b" ".join(parts)
-                ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
-                starts = np.concatenate([[0], ends[:-words] + 1]).tolist()
-                hashes = [digest(joined[a:b], SEED) for a, b in zip(starts, ends[words - 1 :].tolist())]
-                out[place] = _majority(np.array(hashes, dtype=np.uint64))
+                hashes = shingles(text, words)
+                if len(hashes):
+                    out[place] = hashes[0] if len(hashes) == 1 else _majority(hashes)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(out.view(np.int64))], names=["doc_id", "fp"]
             )
@@ -65,6 +56,19 @@ def fingerprints(
     return source.mapInArrow(run, f"doc_id {kind}, fp long")
 
 
+def shingles(text: bytes, words: int) -> np.ndarray:
+    """Hashes of the word shingles of a text, in order and as often as they stand in it."""
+    digest = xxhash.xxh64_intdigest
+    parts = text.lower().split()
+    if len(parts) <= words:
+        return np.array([digest(b" ".join(parts), SEED)] if parts else [], dtype=np.uint64)
+    joined = b" ".join(parts)
+    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
+    starts = np.concatenate([[0], ends[:-words] + 1]).tolist()
+    hashes = [digest(joined[a:b], SEED) for a, b in zip(starts, ends[words - 1 :].tolist())]
+    return np.array(hashes, dtype=np.uint64)
+
+
 def _majority(hashes: np.ndarray) -> np.uint64:
     """Bits set in over half of the hashes."""
     counts = np.zeros(BITS, dtype=np.int64)
