@@ -3,8 +3,9 @@
 Passages are blocks of words with TF-IDF weights over hashed words. A
 randomised SVD over all passages gives the latent space: every task adds up its
 part of ``Z = A'(A omega)``, and the singular vectors and values follow from Z and
-``omega' Z`` (Nystroem). Windows of all texts are compared with all items by the cosine there; what is near enough
-is aligned word by word by the longest common subsequence, and an item whose
+``omega' Z`` (Nystroem). That tells how near a window is to an item, and which words weigh. Candidates are found by
+counts of all words of the items: the windows that hold as many of them as the share asks for, whatever the cosine, so that no
+window is lost before it is aligned word by word by the longest common subsequence. An item whose
 answer stands in the window needs a smaller share.
 """
 
@@ -213,11 +214,18 @@ class _Items:
             features = np.array(words) & (FEATURES - 1)
             features = features[weighs[features]]
             pairs.append(np.unique(features) * (len(self.ids) + 1) + place)
-            self.need[place] = len(features) - int((1 - least_share) * len(words))
+            self.need[place] = len(features) - int((1 - least_share) * len(words) + 1e-9)
         pairs = np.sort(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
         self.holder = pairs % (len(self.ids) + 1)
         self.held_by = np.bincount(pairs // (len(self.ids) + 1), minlength=FEATURES)
         self.held_from = np.cumsum(self.held_by) - self.held_by
+        # All other features, how often each item has them, and how many words of any kind a text must hold.
+        common = [np.array(words) & (FEATURES - 1) for words in self.words]
+        common = [np.unique(features[~weighs[features]], return_counts=True) for features in common]
+        self.common = np.concatenate([f for f, _ in common]) if common else np.zeros(0, np.int64)
+        self.common_of = np.repeat(np.arange(len(common)), [len(f) for f, _ in common])
+        self.common_times = np.concatenate([n for _, n in common]) if common else np.zeros(0, np.int64)
+        self.least = np.array([least_share * len(words) - 1e-9 for words in self.words])
         self.masks = []
         for words in self.words:
             masks: dict[int, int] = {}
@@ -259,10 +267,11 @@ def find_leaks(
 ) -> DataFrame:
     """``doc_id, digest, item_id, share, nearness, answer, first_word, last_word`` of texts that hold an item.
 
-    Candidates are passages with a cosine of at least ``min_cosine`` that is, times the passage's length
-    in the latent space over the item's (which makes good for the passage's other
-    words, so that a passage with the whole item is near 1), at least
-    ``min_nearness``, and that hold enough of the item's words for the share. ``share`` is that of the item's words in order in a passage
+    Candidates are passages that hold enough of the item's words for the share, common ones included.
+    ``nearness`` is the cosine times the passage's length in the latent space over the item's (which makes good for
+    the passage's other words, so that a passage with the whole item is near 1); 0 if none of the item's words weigh.
+    It is told and leaves nothing out: ``min_cosine`` and ``min_nearness`` are taken from older calls and decide
+    nothing. ``share`` is that of the item's words in order in a passage
     with its neighbours; a pair of text and item has the row of its best window. ``digest`` is the
     XXH64 of the text, which tells rows with one id apart; rows that stand twice
     have one row. A null or empty text holds nothing. Items with fewer than
@@ -286,7 +295,7 @@ def find_leaks(
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch, texts in slices(batches, "words", 1 << 20):
-                rows = list(_search(texts, items, space, min_cosine, min_nearness, min_share, min_share_with_answer))
+                rows = list(_search(texts, items, space, min_share, min_share_with_answer))
                 if not rows:
                     continue
                 row, item, *rest = zip(*rows)
@@ -321,7 +330,7 @@ def _arrow(rows: DataFrame, column: str) -> list[pa.Field]:
 
 
 def _search(
-    texts: list[bytes], items: _Items, space: np.ndarray, min_cosine: float, min_nearness: float, min_share: float, min_answered: float
+    texts: list[bytes], items: _Items, space: np.ndarray, min_share: float, min_answered: float
 ) -> Iterator[tuple]:
     """Row, item, share, nearness, answer, first and last word of leaks in texts of word hashes."""
     words, starts, blocks = _flat(texts, STEP)
@@ -344,6 +353,19 @@ def _search(
     hits = np.bincount(np.repeat(block_of, counts) * len(items.ids) + holder, minlength=len(starts) * len(items.ids))
     held = np.zeros((len(starts) + 1, len(items.ids)), np.int32)
     np.cumsum(hits.reshape(len(starts), -1), axis=0, out=held[1:])
+    # Words of each block that weigh nothing but stand in items: few in all, as each is in many passages.
+    known = np.zeros(FEATURES, bool)
+    known[items.common] = True
+    off = np.flatnonzero(known[features])
+    kinds, column = np.unique(features[off], return_inverse=True)
+    commons = np.zeros((len(starts) + 1, len(kinds)), np.int32)
+    hits = np.bincount(block_of[off] * len(kinds) + column, minlength=len(starts) * len(kinds))
+    np.cumsum(hits.reshape(len(starts), len(kinds)), axis=0, out=commons[1:])
+    column_of = np.full(FEATURES, -1)
+    column_of[kinds] = np.arange(len(kinds))
+    times = np.zeros((len(kinds), len(items.ids)), np.float32)
+    seen = np.flatnonzero(column_of[items.common] >= 0)
+    times[column_of[items.common[seen]], items.common_of[seen]] = items.common_times[seen]
     steps = np.array(items.steps)
     best: dict[tuple[int, int], tuple] = {}
     first_block = last_block - np.repeat(blocks, blocks)
@@ -358,15 +380,19 @@ def _search(
         places = np.flatnonzero((place_in % half == 0) & ((cut < half) | (place_in == 0) | (cut == half)))
         for low in range(0, len(places), 1 << 12):
             part = places[low : low + (1 << 12)]
-            window = (total[np.minimum(part + length, last_block[part])] - total[part]).astype(np.float32)
-            across = np.maximum(np.linalg.norm(window, axis=1), 1e-9)
-            cosine = (window / across[:, None]) @ (vectors / lengths[:, None]).T
-            nearness = cosine * (across[:, None] / lengths)
             # Each passage with half of one before and after it, as far as the text goes.
             from_ = np.maximum(part - half, first_block[part])
             to = np.minimum(part + length + half, last_block[part])
-            enough = held[to][:, chosen] - held[from_][:, chosen] >= items.need[chosen]
-            at, item = np.nonzero(enough & (cosine >= min_cosine) & (nearness >= min_nearness))
+            has = held[to][:, chosen] - held[from_][:, chosen]
+            enough = has >= items.need[chosen]
+            # Only passages that hold enough of what weighs are looked through for the rest.
+            some = np.flatnonzero(enough.any(axis=1))
+            present = (commons[to[some]] > commons[from_[some]]).astype(np.float32)
+            every = has[some] + present @ times[:, chosen]
+            at, item = np.nonzero(enough[some] & (every >= items.least[chosen]))
+            at = some[at]
+            window = (total[np.minimum(part[at] + length, last_block[part[at]])] - total[part[at]]).astype(np.float32)
+            nearness = (window * vectors[item]).sum(axis=1) / lengths[item] ** 2
             first = starts[from_][at]
             last = np.minimum(starts[to - 1] + STEP, (begins + sizes)[text_of[part]])[at]
             for each in range(len(at)):
@@ -381,7 +407,7 @@ def _search(
                 if share < min_share and not answer:
                     continue
                 begin = int(begins[row])
-                found = (share, float(nearness[at[each], item[each]]), answer, low_word - begin, high_word - begin)
+                found = (share, float(nearness[each]), answer, low_word - begin, high_word - begin)
                 if found > best.get((row, which), ()):
                     best[row, which] = found
     for (row, which), found in sorted(best.items()):

@@ -57,3 +57,47 @@ def test_odd_rows(spark, odd, empty):
     assert {(row["doc_id"], row["item_id"]) for row in found} == {(5, None)}
     assert decontaminate.find_leaks(odd, benchmark.limit(0)).count() == 0
     assert decontaminate.find_leaks(empty, benchmark).count() == 0
+
+
+def brute(text, item):
+    """Whether the whole text holds the item by the rule, from the longest common subsequence."""
+    inside, own = decontaminate.words_of(text.encode()), decontaminate.words_of(item.encode())
+    row = [0] * (len(own) + 1)
+    for word in inside:
+        last, row = row, [0]
+        for place, other in enumerate(own):
+            row.append(last[place] + 1 if word == other else max(last[place + 1], row[-1]))
+    share = row[-1] / len(own)
+    answer = decontaminate.words_of(item.replace("\n", ".").split(".")[-1].encode())
+    held = any(inside[i : i + len(answer)] == answer for i in range(len(inside)))
+    return share >= 0.8 or share >= 0.6 and held
+
+
+def test_planted_shares_against_brute_force(spark, prose):
+    """A leak in a third of the texts, items of common words, and items of which the answer and a share stay."""
+    source = random.Random(8)
+    words = [prose(1, n) + str(n % 7) for n in range(900)]
+    common = [f"common{n}" for n in range(12)]
+    pick = lambda many, known: [source.choice(known) for _ in range(many)]
+    items = [" ".join(pick(30, words)) + ". " + " ".join(pick(5, words)) for _ in range(60)]
+    items[1] = " ".join(pick(16, common)) + ". " + " ".join(pick(3, common))
+    rows = []
+    for number in range(450):
+        text = [source.choice(common) if source.random() < 0.3 else source.choice(words) for _ in range(source.randint(30, 60))]
+        own = items[0 if number % 3 == 0 else number % 60].split()
+        share = (1.0, 0.9, 0.8, 0.7)[number // 3 % 4]
+        if number % 3 < 2:
+            # The answer stays: only words before it change.
+            for place in source.sample(range(len(own) - 5), int((1 - share) * len(own))):
+                own[place] = f"changed{number}x{place}"
+            text[10:10] = own
+        rows.append((number, " ".join(text)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = {(row["doc_id"], row["item_id"]) for row in decontaminate.find_leaks(frame, benchmark).collect()}
+    expected = {(doc, item) for doc, text in rows for item, own in enumerate(items) if brute(text, own)}
+    assert sum(item == 0 for _, item in expected) >= 150 and any(item == 1 for _, item in expected)
+    # Texts of up to 95 words can hold an item spread wider than a passage, so the plain version may know more of the common one.
+    assert {pair for pair in expected if pair[1] != 1} <= found <= expected
+    planted = {(doc, 1) for doc in range(450) if doc % 3 == 1 and doc % 60 == 1}
+    assert planted <= found
