@@ -23,8 +23,8 @@ from filehaul.llm.deep_shallow import order_suffixes
 from filehaul.storage import store_once
 
 GRAM = 32
-# More blocks: more rows to count, but fewer suffixes to sort, by their square.
-BLOCKS = 5
+# Offsets in a block. Smaller blocks: more rows to count, but fewer suffixes to sort, by their square.
+BLOCK = 74
 # Bytes taken together; longer texts are cut into pieces that overlap by all but one byte of the length.
 PIECE = 4 << 20
 _PLACE_BITS = 23
@@ -56,7 +56,8 @@ def find_anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length:
     Texts lie in ``data`` from ``starts`` to ``ends``; places count from there.
     """
     wide = length - GRAM + 1
-    block = -(-wide // BLOCKS)
+    blocks = -(-wide // BLOCK)
+    block = -(-wide // blocks)
     nothing = [np.zeros(0, np.int64)] * 4 + [np.zeros(0, np.uint64)] * 2
     if len(data) < length:
         return nothing
@@ -87,7 +88,7 @@ def find_anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length:
     anchor, text = anchor[first], text[first]
     low, high = anchor - window[last], anchor - window[first]
     parts = []
-    for number in range(BLOCKS):
+    for number in range(blocks):
         from_, to = number * block, min((number + 1) * block, wide) - 1
         some_low, some_high = np.maximum(low, from_), np.minimum(high, to)
         on = np.flatnonzero(some_low <= some_high)

@@ -58,6 +58,31 @@ def test_odd_documents(spark):
             assert stage(spark, table, DATA).count() <= 4
 
 
+def test_near_copies_by_similarity(spark, documents):
+    """The second stage against the similarity of all pairs of its input."""
+    from .test_near_copies import plain
+
+    rows = documents.toPandas().sort_values("doc_id")
+    kept = corpus_pipeline.drop_near_duplicates(spark, documents, DATA).toPandas()
+    assert sorted(kept.doc_id) == [rows.doc_id.iloc[root] for root in plain([text or "" for text in rows.text])]
+
+
+def test_passages_of_51_to_60_words_go(spark, prose):
+    """A passage of just over 50 words that two documents share goes from both."""
+    rows, passages = [], {}
+    for many in range(51, 61):
+        own = [f"shared{many}{word}"[-5:] for word in prose(many, many).split()]
+        passages[many] = " ".join(word.ljust(4, "x") for word in own)
+        for side in (0, 1):
+            rows.append((many * 2 + side, f"{prose(60, 1000 + many * 2 + side)} {passages[many]} {prose(60, 2000 + many * 2 + side)}", "en", "s", 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = {row["doc_id"]: row["text"] for row in corpus_pipeline.cut_repeats(spark, docs, DATA).collect()}
+    assert len(left) == len(rows)
+    for many, passage in passages.items():
+        assert 200 <= len(passage) < 400
+        assert not any(passage[10:60] in left[many * 2 + side] for side in (0, 1))
+
+
 def test_all_queries_are_registered():
     names = registry.queries().keys()
     assert {f"op{n}_" for n in range(1, 11)} <= {name.split("_")[0] + "_" for name in names}
