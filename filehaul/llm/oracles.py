@@ -85,3 +85,37 @@ def license_scan() -> str:
            CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(cover, 0.0::DOUBLE) END AS score
     FROM docs LEFT JOIN base USING (doc_id) LEFT JOIN seen USING (doc_id)
 """
+
+
+def phrase_mining() -> str:
+    lower = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+    return f"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({lower}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+    ),
+    split AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM pieces),
+    totals AS (SELECT lang, CAST(sum(len(words)) AS HUGEINT) AS n FROM split GROUP BY lang),
+    starts AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS at FROM split),
+    grams AS (
+        SELECT lang, size, array_to_string(words[at : at + size - 1], ' ') AS phrase, count(*) AS a
+        FROM (SELECT lang, words, at, unnest(range(1, least(5, len(words) - at + 1) + 1)) AS size FROM starts)
+        GROUP BY ALL HAVING count(*) >= 100
+    ),
+    cuts AS (
+        SELECT c.lang, c.phrase, c.a, f.a AS l, g.a AS r, n,
+               1000::HUGEINT * c.a * n // (f.a::HUGEINT * g.a) AS score, k
+        FROM (SELECT *, string_split(phrase, ' ') AS words, unnest(range(1, size)) AS k FROM grams WHERE size > 1) AS c
+        JOIN totals USING (lang)
+        JOIN grams AS f ON f.lang = c.lang AND f.phrase = array_to_string(c.words[1 : k], ' ')
+        JOIN grams AS g ON g.lang = c.lang AND g.phrase = array_to_string(c.words[k + 1 :], ' ')
+    ),
+    lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    inside AS (
+        SELECT DISTINCT c.lang, c.phrase FROM grams AS c JOIN grams AS d
+        ON d.lang = c.lang AND d.size > c.size AND 100 * d.a >= 100 * c.a AND contains(' ' || d.phrase || ' ', ' ' || c.phrase || ' ')
+    )
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase,
+           a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+    FROM lowest ANTI JOIN inside USING (lang, phrase)
+    QUALIFY rank <= 2000
+    """
