@@ -25,13 +25,14 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from filehaul.llm.common import release, slices
 from filehaul.llm.katz import pack, unpack
-from filehaul.operators.ordering import with_rank
 from filehaul.storage import delete_stored, store_once
 
 SHARD_BYTES = 8 << 20
@@ -58,7 +59,10 @@ def split_words(text: bytes) -> list[bytes]:
 
 
 def _shards(source: DataFrame) -> DataFrame:
-    """``shard, lang, words, counts, stream`` for rows ``lang, body``; the stream numbers the words from 1, 0 ends a piece."""
+    """``shard, lang, size, words, stream`` for rows ``lang, body``.
+
+    ``words`` are the words and their counts, the stream numbers them from 1, and 0 ends a piece.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, made = TaskContext.get().partitionId() << 32, 0
@@ -72,13 +76,12 @@ def _shards(source: DataFrame) -> DataFrame:
                 del held[lang]
                 stream = np.concatenate(streams)
                 counts = np.bincount(stream, minlength=len(numbers))[1:]
-                words = [word.decode() for word in list(numbers)[1:]]
                 arrays = [
-                    pa.array([first + made]), pa.array([lang]), pa.array([words], pa.list_(pa.string())),
-                    pa.array([counts], pa.list_(pa.int64())), pa.array([pack(stream)], pa.binary()),
+                    pa.array([first + made]), pa.array([lang]), pa.array([len(numbers) - 1]), pa.array([int(counts.sum())]),
+                    pa.array([_pack_words(list(numbers)[1:], counts)], pa.binary()), pa.array([pack(stream)], pa.binary()),
                 ]
                 made += 1
-                yield pa.RecordBatch.from_arrays(arrays, names=["shard", "lang", "words", "counts", "stream"])
+                yield pa.RecordBatch.from_arrays(arrays, names=["shard", "lang", "size", "total", "words", "stream"])
 
         for batch, texts in slices(batches):
             for lang, text in zip(batch.column("lang").to_pylist(), texts):
@@ -92,48 +95,129 @@ def _shards(source: DataFrame) -> DataFrame:
                     yield from ended(list(open_))
         yield from ended(list(open_))
 
-    return source.mapInArrow(run, "shard long, lang string, words array<string>, counts array<long>, stream binary")
+    return source.mapInArrow(run, "shard long, lang string, size long, total long, words binary, stream binary")
+
+
+def _pack_words(words: list[bytes], *numbers: np.ndarray) -> bytes:
+    packed = pack(*(values.astype(np.uint32) for values in numbers))
+    return len(packed).to_bytes(8, "little") + packed + zstandard.ZstdCompressor().compress(MARK.join(words))
+
+
+def _unpack_words(data: bytes) -> tuple[list[bytes], list[np.ndarray]]:
+    end = 8 + int.from_bytes(data[:8], "little")
+    return zstandard.ZstdDecompressor().decompress(data[end:]).split(MARK), unpack(data[8:end])
+
+
+def _sent_words(shards: DataFrame, ranges: int) -> DataFrame:
+    """``range, shard, lang, data``: the words of a shard, sorted, with counts and numbers."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, lang, size, data in zip(*(batch.column(name).to_pylist() for name in ("shard", "lang", "size", "words"))):
+                if not size:
+                    continue
+                words, (counts,) = _unpack_words(data)
+                hashes = np.fromiter(map(xxhash.xxh32_intdigest, words), np.uint64, size)
+                range_of = (hashes * np.uint64(ranges) >> np.uint64(32)).astype(np.int64).tolist()
+                parts: dict[int, list[int]] = {}
+                for place in sorted(range(size), key=words.__getitem__):
+                    parts.setdefault(range_of[place], []).append(place)
+                packed = [_pack_words([words[i] for i in part], counts[part], np.array(part)) for part in parts.values()]
+                many = len(parts)
+                arrays = [
+                    pa.array(list(parts), pa.int32()), pa.array([shard] * many, pa.int64()), pa.array([lang] * many), pa.array(packed, pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, names=["range", "shard", "lang", "data"])
+
+    return shards.select("shard", "lang", "size", "words").mapInArrow(run, "range int, shard long, lang string, data binary")
+
+
+def _by_range(sent: DataFrame, names: list[str], work, schema: str) -> DataFrame:
+    """Give all rows of a range, in the order of the shards, to ``work(range, *columns)``, which makes a batch."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows = None, []
+        for batch in batches:
+            for number, *row in zip(*(batch.column(name).to_pylist() for name in ("range", *names))):
+                if number != now and rows:
+                    yield work(now, *zip(*rows))
+                    rows = []
+                now = number
+                rows.append(row)
+        if rows:
+            yield work(now, *zip(*rows))
+
+    return sent.repartition("range").sortWithinPartitions("range", "shard").mapInArrow(run, schema)
+
+
+def _united_words(sent: DataFrame, least: int) -> DataFrame:
+    """Sums of a range. Rows with a shard: numbers of its frequent words, and their states. Rows without: the first states."""
+
+    def work(number: int, shards: tuple, langs: tuple, datas: tuple) -> pa.RecordBatch:
+        sums: dict[str, dict[bytes, int]] = {}
+        for lang, data in zip(langs, datas):
+            words, (counts, _) = _unpack_words(data)
+            of = sums.setdefault(lang, {})
+            for word, count in zip(words, counts.tolist()):
+                of[word] = of.get(word, 0) + count
+        found = [(lang, word, n) for lang, of in sorted(sums.items()) for word, n in of.items() if n >= least]
+        del sums
+        states: dict[str, dict[bytes, int]] = {}
+        for place, (lang, word, _) in enumerate(found):
+            states.setdefault(lang, {})[word] = place + (number << 32)
+        told, replies = [], []
+        for shard, lang, data in zip(shards, langs, datas):
+            own = states.get(lang)
+            if not own:
+                continue
+            words, (_, places) = _unpack_words(data)
+            state = np.array([own.get(word, -1) for word in words], np.int64)
+            hit = state >= 0
+            if hit.any():
+                told.append(shard)
+                replies.append(pack(places[hit], state[hit].astype(np.uint64)))
+        none = [None] * len(told)
+        columns = zip(*found) if found else ((), (), ())
+        lang_of, words, counts = columns
+        arrays = [
+            pa.array([*told, None], pa.int64()), pa.array([*replies, None], pa.binary()),
+            pa.array([*none, np.arange(len(found)) + (number << 32)], pa.list_(pa.int64())), pa.array([*none, list(lang_of)], pa.list_(pa.string())),
+            pa.array([*none, [word.decode() for word in words]], pa.list_(pa.string())), pa.array([*none, list(counts)], pa.list_(pa.int64())),
+        ]
+        return pa.RecordBatch.from_arrays(arrays, names=["shard", "data", "state", "lang", "word", "n"])
+
+    schema = "shard long, data binary, state array<long>, lang array<string>, word array<string>, n array<long>"
+    return _by_range(sent, ["shard", "lang", "data"], work, schema)
 
 
-def _frequent_words(shards: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """First level: ``state, lang, word, n``, and ``shard, numbers`` with the states of the words of each shard."""
-    spread = shards.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "one"))
-    spread = spread.select("shard", "lang", "at", F.col("one.words").alias("word"), F.col("one.counts").alias("n"))
-    counted, _ = store_once(spread.groupBy("lang", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "frequent-words")
-    states = with_rank(counted, "lang", "word").withColumnRenamed("rank", "state")
-    states, _ = store_once(states, "word-states")
-    delete_stored(counted)
-    used = spread.select("shard", "lang", "at", "word").join(states.select("lang", "word", "state"), ["lang", "word"])
-    return states, used.groupBy("shard").agg(F.collect_list(F.struct("at", "state")).alias("numbers"))
+def _replies(united: DataFrame) -> DataFrame:
+    return united.where("shard is not null").groupBy("shard").agg(F.collect_list("data").alias("replies"))
 
 
-def _numbered(shards: DataFrame, numbers: DataFrame) -> DataFrame:
-    """``shard, data`` at level one: for each place the word and the state there, one more than their number, 0 for none.
+def _numbered(shards: DataFrame, united: DataFrame) -> DataFrame:
+    """``shard, data`` at level one.
 
-    ``data`` packs the words, the states, and the states' numbers in the corpus.
+    ``data`` packs for each place the number of the word and of the state that
+    begin there, 0 for none, and what the words' and the states' numbers are in
+    the corpus.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for place, size in enumerate(pa.compute.list_value_length(batch.column("words")).to_pylist()):
-                used = batch.column("numbers")[place].values
-                known = np.zeros(size + 1, np.uint32)
-                if used is not None:
-                    known[used.field("at").to_numpy() + 1] = used.field("state").to_numpy() + 1
-                (stream,) = unpack(batch.column("stream")[place].as_py())
-                words = known[stream]
+            for row in batch.to_pylist():
+                parts = [unpack(reply) for reply in row["replies"]]
+                places, states = (np.concatenate([part[i] for part in parts]) for i in range(2))
+                order = np.argsort(states)
+                known = np.zeros(row["size"] + 1, np.uint32)
+                known[places[order].astype(np.int64) + 1] = np.arange(1, len(order) + 1)
+                words = known[unpack(row["stream"])[0]]
                 kept = words > 0
                 kept[1:] |= words[:-1] > 0  # the end of a run stays as a mark
                 words = words[kept]
-                states, place_of = np.unique(words, return_inverse=True)
-                if len(states) and states[0] == 0:
-                    at, states = place_of, states[1:]
-                else:
-                    at = place_of + 1
-                data = pack(words, at.astype(np.uint32), states.astype(np.uint64) - np.uint64(1))
-                yield pa.RecordBatch.from_arrays([batch.column("shard").slice(place, 1), pa.array([data], pa.binary())], names=["shard", "data"])
-
-    rows = shards.select("shard", "words", "stream").join(numbers, "shard", "left")
+                data = pack(words, words, states[order], states[order])
+                yield pa.RecordBatch.from_pydict({"shard": [row["shard"]], "data": [data]})
+
+    rows = shards.select("shard", "size", "stream").join(_replies(united), "shard")
     return rows.mapInArrow(run, "shard long, data binary")
 
 
@@ -149,7 +233,7 @@ def _sent(held: DataFrame, level: int, ranges: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, data in zip(batch.column("shard").to_pylist(), batch.column("data").to_pylist()):
-                words, at, states = unpack(data)
+                words, at, states, own_words = unpack(data)
                 begin = _candidates(words, at, level)
                 if not len(begin):
                     continue
@@ -160,7 +244,7 @@ def _sent(held: DataFrame, level: int, ranges: int) -> DataFrame:
                 counts = np.diff(new, append=len(ranked)).astype(np.uint32)
                 suffix = states[at[begin[order[new]] + 1] - 1]
                 key = ranked[new]
-                state, word = states[(key >> np.uint64(32)).astype(np.int64) - 1], (key & np.uint64(2**32 - 1)).astype(np.uint32)
+                state, word = states[(key >> np.uint64(32)).astype(np.int64) - 1], own_words[(key & np.uint64(2**32 - 1)).astype(np.int64) - 1]
                 mixed = (state * _MIX[0]) ^ (word * _MIX[1])
                 mixed = (mixed ^ (mixed >> np.uint64(29))) * _MIX[1]
                 range_of = ((mixed >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
@@ -177,9 +261,9 @@ def _sent(held: DataFrame, level: int, ranges: int) -> DataFrame:
 
 def _united(sent: DataFrame, least: int) -> DataFrame:
     """Sums of a range. Rows with a shard: the frequent transitions it has, with their states. Rows without: the new states."""
-    table = ("state", "prefix", "suffix", "word", "n")
+    table = ("state", "prefix", "suffix", "n")
 
-    def work(number: int, shards: list[int], datas: list[bytes]) -> pa.RecordBatch:
+    def work(number: int, shards: tuple, datas: tuple) -> pa.RecordBatch:
         parts = [unpack(data) for data in datas]
         sizes = [len(part[0]) for part in parts]
         state, word, counts, suffix = (np.concatenate([part[i] for part in parts]) for i in range(4))
@@ -202,28 +286,15 @@ def _united(sent: DataFrame, least: int) -> DataFrame:
                 told.append(shard)
                 replies.append(pack(state[hit], word[hit], own[hit].astype(np.uint64)))
         keep = first[frequent]
-        found = [numbers[frequent], state[keep].astype(np.int64), suffix[keep].astype(np.int64), word[keep].astype(np.int64) - 1, sums[frequent]]
+        found = [numbers[frequent], state[keep].astype(np.int64), suffix[keep].astype(np.int64), sums[frequent]]
         arrays = [
             pa.array([*told, None], pa.int64()), pa.array([*replies, None], pa.binary()),
             *(pa.array([*[None] * len(told), values], pa.list_(pa.int64())) for values in found),
         ]
         return pa.RecordBatch.from_arrays(arrays, names=["shard", "data", *table])
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, shards, datas = None, [], []
-        for batch in batches:
-            for number, shard, data in zip(*(batch.column(name).to_pylist() for name in ("range", "shard", "data"))):
-                if number != now and shards:
-                    yield work(now, shards, datas)
-                    shards, datas = [], []
-                now = number
-                shards.append(shard)
-                datas.append(data)
-        if shards:
-            yield work(now, shards, datas)
-
     spec = ", ".join(f"{name} array<long>" for name in table)
-    return sent.repartition("range").sortWithinPartitions("range", "shard").mapInArrow(run, f"shard long, data binary, {spec}")
+    return _by_range(sent, ["shard", "data"], work, f"shard long, data binary, {spec}")
 
 
 def _advanced(held: DataFrame, united: DataFrame, level: int) -> DataFrame:
@@ -232,11 +303,11 @@ def _advanced(held: DataFrame, united: DataFrame, level: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                words, at, states = unpack(row["data"])
+                words, at, states, own_words = unpack(row["data"])
                 parts = [unpack(reply) for reply in row["replies"]]
                 state, word, number = (np.concatenate([part[i] for part in parts]) for i in range(3))
-                known = np.searchsorted(states, state)
-                key = (known + 1).astype(np.uint64) << np.uint64(32) | word
+                known, word = np.searchsorted(states, state), np.searchsorted(own_words, word)
+                key = (known + 1).astype(np.uint64) << np.uint64(32) | (word + 1).astype(np.uint64)
                 order = np.argsort(key)
                 key, number = key[order], number[order]
                 begin = _candidates(words, at, level)
@@ -251,26 +322,23 @@ def _advanced(held: DataFrame, united: DataFrame, level: int) -> DataFrame:
                 change[begin] += 1
                 change -= np.concatenate([np.zeros(level, np.int64), change[: len(change) - level]])
                 covered = np.cumsum(change)[:-1] > 0
-                data = pack(words[covered], at[covered], states)
+                data = pack(words[covered], at[covered], states, own_words)
                 yield pa.RecordBatch.from_pydict({"shard": [row["shard"]], "data": [data]})
 
-    replies = united.where("shard is not null").groupBy("shard").agg(F.collect_list("data").alias("replies"))
-    return held.join(replies, "shard").mapInArrow(run, "shard long, data binary")
+    return held.join(_replies(united), "shard").mapInArrow(run, "shard long, data binary")
 
 
 def _transducer(source: DataFrame, least: int, longest: int) -> tuple[list[DataFrame], DataFrame]:
     """The tables of all levels (the first ``state, lang, word, n``, others ``state, prefix, suffix, n``), and words by language."""
     spark = source.sparkSession
-    shards, _ = store_once(_shards(source), "phrase-shards")
-    totals = shards.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b)).alias("total"))
-    totals, seen = store_once(totals, "phrase-totals", {"words": F.coalesce(F.sum("total"), F.lit(0))})
+    shards, seen = store_once(_shards(source), "phrase-shards", {"words": F.coalesce(F.sum("total"), F.lit(0))})
+    totals, _ = store_once(shards.groupBy("lang").agg(F.sum("total").alias("total")), "phrase-totals")
     ranges = max(1, -(-seen["words"] // RANGE_WORDS))
-    states, numbers = _frequent_words(shards, least)
-    if states.count() >= 1 << 32:
-        raise ValueError("more than 2^32 words are frequent")
-    held, _ = store_once(_numbered(shards, numbers), "phrase-level")
+    united, _ = store_once(_united_words(_sent_words(shards, ranges), least), "phrase-sums")
+    held, _ = store_once(_numbered(shards, united), "phrase-level")
     delete_stored(shards)
-    levels = [states]
+    release(spark)
+    levels = [united.where("shard is null").select(F.inline(F.arrays_zip("state", "lang", "word", "n")))]
     for level in range(2, longest + 1):
         united, seen = store_once(_united(_sent(held, level, ranges), least), "phrase-sums", {"states": F.coalesce(F.sum(F.size("state")), F.lit(0))})
         rows = united.where("shard is null").select(F.inline(F.arrays_zip("state", "prefix", "suffix", "n")))

@@ -95,10 +95,10 @@ def phrase_mining() -> str:
     ),
     split AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM pieces),
     totals AS (SELECT lang, CAST(sum(len(words)) AS HUGEINT) AS n FROM split GROUP BY lang),
-    starts AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS at FROM split),
+    starts AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS spot FROM split),
     grams AS (
-        SELECT lang, size, array_to_string(words[at : at + size - 1], ' ') AS phrase, count(*) AS a
-        FROM (SELECT lang, words, at, unnest(range(1, least(5, len(words) - at + 1) + 1)) AS size FROM starts)
+        SELECT lang, size, array_to_string(words[spot : spot + size - 1], ' ') AS phrase, count(*) AS a
+        FROM (SELECT lang, words, spot, unnest(range(1, least(5, len(words) - spot + 1) + 1)) AS size FROM starts)
         GROUP BY ALL HAVING count(*) >= 100
     ),
     cuts AS (
