@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from filehaul.llm import byte_bpe, chat, collocations, decontaminate, katz, licenses, oracles, quality, simhash, substrings, token_rollup, url_filter, whitening
+from filehaul.llm import byte_bpe, chat, collocations, decontaminate, katz, licenses, oracles, page_text, quality, simhash, substrings, token_rollup, url_filter, whitening
 from filehaul.llm.oracles import LONG_WORDS, MARKS, WORDS
 from filehaul.storage import new_shared_dir, store_once
 
@@ -122,12 +122,16 @@ def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine_phrases(_table(spark, sf_dir, "documents"), least=100, longest=5, best=2000)
 
 
+def op12_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=4)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op1_url_filter, op2_decontamination, op3_token_counts, op4_license_scan, op5_simhash, op6_chat_windows, op7_katz_backoff, op8_byte_bpe, op9_quality_rules, op10_repeated_substrings, op11_phrase_mining, op13_embedding_whitening]
+    registered = [op1_url_filter, op2_decontamination, op3_token_counts, op4_license_scan, op5_simhash, op6_chat_windows, op7_katz_backoff, op8_byte_bpe, op9_quality_rules, op10_repeated_substrings, op11_phrase_mining, op12_page_text, op13_embedding_whitening]
     return {query.__name__: query for query in registered} | {"pipeline": corpus_pipeline.run}
 
 
