@@ -4,8 +4,8 @@ A transducer here is an acyclic automaton over words: its states are phrases,
 a transition adds a word, and a state's weight is how often its phrase stands
 in the corpus. A shard (some MiB of text of one language) sorts its n-grams and
 gives the transitions that it adds to the states it shares with all others.
-These are united by ranges of a mixed order of (state, word), so that even the
-transitions of one frequent prefix lie in several ranges: a range sums the
+These are united by ranges of a mixed order of the prefixes; those of one
+frequent prefix lie in several ranges, as its count demands. A range sums the
 weights of all shards, drops what is too rare for ever to become a candidate,
 numbers the states that are left, and tells each shard those it uses. Then the
 next level begins. A phrase is only counted if what is left of it without its
@@ -165,6 +165,7 @@ def _united_words(sent: DataFrame, least: int) -> DataFrame:
         states: dict[str, dict[bytes, int]] = {}
         for place, (lang, word, _) in enumerate(found):
             states.setdefault(lang, {})[word] = place + (number << 32)
+        weights = np.array([n for _, _, n in found], np.uint64)
         told, replies = [], []
         for shard, lang, data in zip(shards, langs, datas):
             own = states.get(lang)
@@ -175,7 +176,7 @@ def _united_words(sent: DataFrame, least: int) -> DataFrame:
             hit = state >= 0
             if hit.any():
                 told.append(shard)
-                replies.append(pack(places[hit], state[hit].astype(np.uint64)))
+                replies.append(pack(places[hit], state[hit].astype(np.uint64), weights[state[hit] - (number << 32)]))
         none = [None] * len(told)
         columns = zip(*found) if found else ((), (), ())
         lang_of, words, counts = columns
@@ -198,15 +199,16 @@ def _numbered(shards: DataFrame, united: DataFrame) -> DataFrame:
     """``shard, data`` at level one.
 
     ``data`` packs for each place the number of the word and of the state that
-    begin there, 0 for none, and what the words' and the states' numbers are in
-    the corpus.
+    begin there, 0 for none, what the words' and the states' numbers are in the
+    corpus, and how often the states stand there. At level one both are the
+    same, and the places of states are left empty.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 parts = [unpack(reply) for reply in row["replies"]]
-                places, states = (np.concatenate([part[i] for part in parts]) for i in range(2))
+                places, states, weights = (np.concatenate([part[i] for part in parts]) for i in range(3))
                 order = np.argsort(states)
                 known = np.zeros(row["size"] + 1, np.uint32)
                 known[places[order].astype(np.int64) + 1] = np.arange(1, len(order) + 1)
@@ -214,13 +216,18 @@ def _numbered(shards: DataFrame, united: DataFrame) -> DataFrame:
                 kept = words > 0
                 kept[1:] |= words[:-1] > 0  # the end of a run stays as a mark
                 words = words[kept]
-                data = pack(words, words, states[order], states[order])
+                data = pack(words, words[:0], states[order], states[order], weights[order])
                 yield pa.RecordBatch.from_pydict({"shard": [row["shard"]], "data": [data]})
 
     rows = shards.select("shard", "size", "stream").join(_replies(united), "shard")
     return rows.mapInArrow(run, "shard long, data binary")
 
 
+def _unpacked(data: bytes) -> list[np.ndarray]:
+    words, at, *rest = unpack(data)
+    return [words, at if len(at) else words, *rest]
+
+
 def _candidates(words: np.ndarray, at: np.ndarray, level: int) -> np.ndarray:
     """Places where a phrase of this many words begins whose two parts of one word less are states."""
     last = len(at) - level + 1
@@ -233,7 +240,7 @@ def _sent(held: DataFrame, level: int, ranges: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, data in zip(batch.column("shard").to_pylist(), batch.column("data").to_pylist()):
-                words, at, states, own_words = unpack(data)
+                words, at, states, own_words, weights = _unpacked(data)
                 begin = _candidates(words, at, level)
                 if not len(begin):
                     continue
@@ -245,7 +252,9 @@ def _sent(held: DataFrame, level: int, ranges: int) -> DataFrame:
                 suffix = states[at[begin[order[new]] + 1] - 1]
                 key = ranked[new]
                 state, word = states[(key >> np.uint64(32)).astype(np.int64) - 1], own_words[(key & np.uint64(2**32 - 1)).astype(np.int64) - 1]
-                mixed = (state * _MIX[0]) ^ (word * _MIX[1])
+                # What follows a state is in one range, or in several if it is frequent; there it packs well.
+                pieces = np.uint64(1) + weights[(key >> np.uint64(32)).astype(np.int64) - 1] * np.uint64(8) // np.uint64(RANGE_WORDS)
+                mixed = state * _MIX[0] + (word * _MIX[1] >> np.uint64(32)) % pieces * _MIX[1]
                 mixed = (mixed ^ (mixed >> np.uint64(29))) * _MIX[1]
                 range_of = ((mixed >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
                 by_range = np.argsort(range_of, kind="stable")
@@ -284,7 +293,7 @@ def _united(sent: DataFrame, least: int) -> DataFrame:
             hit = at[own[at] >= 0]
             if len(hit):
                 told.append(shard)
-                replies.append(pack(state[hit], word[hit], own[hit].astype(np.uint64)))
+                replies.append(pack(state[hit], word[hit], own[hit].astype(np.uint64), sums[of[hit]].astype(np.uint64)))
         keep = first[frequent]
         found = [numbers[frequent], state[keep].astype(np.int64), suffix[keep].astype(np.int64), sums[frequent]]
         arrays = [
@@ -303,26 +312,26 @@ def _advanced(held: DataFrame, united: DataFrame, level: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                words, at, states, own_words = unpack(row["data"])
+                words, at, states, own_words, _ = _unpacked(row["data"])
                 parts = [unpack(reply) for reply in row["replies"]]
-                state, word, number = (np.concatenate([part[i] for part in parts]) for i in range(3))
+                state, word, number, weights = (np.concatenate([part[i] for part in parts]) for i in range(4))
                 known, word = np.searchsorted(states, state), np.searchsorted(own_words, word)
                 key = (known + 1).astype(np.uint64) << np.uint64(32) | (word + 1).astype(np.uint64)
                 order = np.argsort(key)
-                key, number = key[order], number[order]
+                key, number, weights = key[order], number[order], weights[order]
                 begin = _candidates(words, at, level)
                 asked = at[begin].astype(np.uint64) << np.uint64(32) | words[begin + level - 1]
                 place = np.minimum(np.searchsorted(key, asked), len(key) - 1)
                 hit = key[place] == asked
                 begin, found = begin[hit], number[place[hit]]
-                states = np.unique(number)
+                states, first = np.unique(number, return_index=True)
                 at = np.zeros(len(words), np.uint32)
                 at[begin] = np.searchsorted(states, found) + 1
                 change = np.zeros(len(words) + 1, np.int64)
                 change[begin] += 1
                 change -= np.concatenate([np.zeros(level, np.int64), change[: len(change) - level]])
                 covered = np.cumsum(change)[:-1] > 0
-                data = pack(words[covered], at[covered], states, own_words)
+                data = pack(words[covered], at[covered], states, own_words, weights[first])
                 yield pa.RecordBatch.from_pydict({"shard": [row["shard"]], "data": [data]})
 
     return held.join(_replies(united), "shard").mapInArrow(run, "shard long, data binary")
