@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  makes pa.compute known
@@ -29,6 +30,26 @@ def lower_ascii(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
+def fresh_name(taken: Iterable[str], name: str) -> str:
+    """The name, with underscores behind it if it is taken; Spark's names do not differ by case."""
+    lower = {other.lower() for other in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
+@contextmanager
+def small_batches(spark: SparkSession, limit: str = "4m") -> Iterator[None]:
+    """Within it, what is evaluated sends batches of at most about ``limit`` bytes to Python."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, limit)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def release(spark: SparkSession) -> None:
     """Have Spark drop the shuffle files of tables that have been written out and are no longer referred to."""
     gc.collect()

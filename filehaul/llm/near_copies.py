@@ -17,10 +17,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filehaul.llm.common import slices
+from filehaul.llm.common import fresh_name, release, slices, small_batches
 from filehaul.llm.graph import connected_components
 from filehaul.llm.simhash import _majority, link_fingerprints, shingles
-from filehaul.storage import store_once
+from filehaul.storage import delete_stored, store_once
 
 BANDS = 12
 ROWS = 3
@@ -42,26 +42,27 @@ def bands_of(members: np.ndarray) -> list[int]:
 
 
 def _sketches(keyed: DataFrame, words: int) -> DataFrame:
-    """``key, fp, node, bands`` for rows ``key, body``: ``node`` is the digest of the whole set."""
+    """``key, fp, node, size, bands`` for rows ``key, body``: ``node`` is the digest of the whole set, ``size`` its members."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
             fps, nodes = np.zeros(len(texts), np.uint64), np.zeros(len(texts), np.uint64)
-            bands = []
+            bands, sizes = [], []
             for place, text in enumerate(texts):
                 hashes = shingles(text, words)
                 if len(hashes):
                     fps[place] = hashes[0] if len(hashes) == 1 else _majority(hashes)
                 members = np.unique(hashes)
                 nodes[place] = xxhash.xxh64_intdigest(members.tobytes())
+                sizes.append(len(members))
                 bands.append(bands_of(members))
-            arrays = [batch.column("key"), pa.array(fps.view(np.int64)), pa.array(nodes.view(np.int64))]
+            arrays = [batch.column("key"), pa.array(fps.view(np.int64)), pa.array(nodes.view(np.int64)), pa.array(sizes, pa.int64())]
             yield pa.RecordBatch.from_arrays(
-                [*arrays, pa.array(bands, pa.list_(pa.int64()))], names=["key", "fp", "node", "bands"]
+                [*arrays, pa.array(bands, pa.list_(pa.int64()))], names=["key", "fp", "node", "size", "bands"]
             )
 
     kind = keyed.schema["key"].dataType.simpleString()
-    return keyed.mapInArrow(run, f"key {kind}, fp long, node long, bands array<long>")
+    return keyed.mapInArrow(run, f"key {kind}, fp long, node long, size long, bands array<long>")
 
 
 def _sets(rows: DataFrame, words: int) -> DataFrame:
@@ -77,6 +78,13 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
     return rows.select("node", "body").mapInArrow(run, "node long, members binary")
 
 
+def _sized(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """Without the pairs ``u, v`` whose sets are too unlike in size to reach the similarity."""
+    size = lambda end: nodes.select(F.col("node").alias(end), F.col("size").alias(f"{end}_size"))
+    fit = (F.col("u_size") >= F.col("v_size") * F.lit(least)) & (F.col("v_size") >= F.col("u_size") * F.lit(least))
+    return pairs.join(size("u"), "u").join(size("v"), "v").where(fit).select("u", "v")
+
+
 def _alike(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The pairs ``u, v`` whose sets have a Jaccard similarity of at least ``least``."""
     left = sets.select(F.col("node").alias("u"), F.col("members").alias("left"))
@@ -92,9 +100,7 @@ def _alike(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("u").filter(mask), batch.column("v").filter(mask)], names=["u", "v"])
 
-    # Sets too unlike in size cannot reach the similarity.
-    sized = F.octet_length("left") >= F.octet_length("right") * F.lit(least), F.octet_length("right") >= F.octet_length("left") * F.lit(least)
-    joined = pairs.join(left, "u").join(right, "v").where(sized[0] & sized[1])
+    joined = pairs.join(left, "u").join(right, "v")
     return joined.select("u", "v", "left", "right").mapInArrow(run, "u long, v long")
 
 
@@ -119,7 +125,8 @@ def _roots(nodes: DataFrame, source: DataFrame, words: int, radius: int, least:
     ends = near.select(F.explode(F.array("u", "v")).alias("node")).unionByName(buckets.select("node")).distinct()
     wanted = nodes.join(ends, "node").select("node", F.col("least.key.id").alias("of"), F.col("least.key.digest").alias("of_digest"))
     same = F.col("key.id").eqNullSafe(F.col("of")) & (F.col("key.digest") == F.col("of_digest"))
-    sets, _ = store_once(_sets(source.join(wanted, same).dropDuplicates(["node"]), words), "shingle-sets")
+    with small_batches(source.sparkSession):
+        sets, _ = store_once(_sets(source.join(wanted, same).dropDuplicates(["node"]), words), "shingle-sets")
 
     proven = tested = roots = None
     for turn in range(HUB_ROUNDS + 1):
@@ -139,13 +146,17 @@ def _roots(nodes: DataFrame, source: DataFrame, words: int, radius: int, least:
         pairs = _ordered(pairs.unionByName(near) if tested is None else pairs)
         if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs, seen = store_once(pairs, "pairs", {"pairs": F.count("*")})
+        pairs, seen = store_once(_sized(pairs, nodes, least), "pairs", {"pairs": F.count("*")})
         if not seen["pairs"] and roots is not None:
             break
-        found, _ = store_once(_alike(pairs, sets, least), "alike")
+        with small_batches(source.sparkSession):
+            found, _ = store_once(_alike(pairs, sets, least), "alike")
+        delete_stored(open_)
+        release(source.sparkSession)
         tested = pairs if tested is None else tested.unionByName(pairs)
         proven = found if proven is None else proven.unionByName(found)
         roots = connected_components(proven)
+    delete_stored(buckets, by_fp, near, sets)
     return roots
 
 
@@ -166,16 +177,19 @@ def keep_first(
     body = F.coalesce(F.col(text_column).cast("binary"), F.lit(b""))
     digest = F.xxhash64(body)
     source = docs.select(F.struct(F.col(id_column).alias("id"), digest.alias("digest")).alias("key"), body.alias("body"))
-    marked, _ = store_once(_sketches(source, words), "sketches")
+    with small_batches(source.sparkSession):
+        marked, _ = store_once(_sketches(source, words), "sketches")
     first = F.min(F.struct(F.col("key.id").isNull().alias("none"), "key")).alias("least")
-    nodes = marked.groupBy("node").agg(first, F.min("fp").alias("fp"), F.first("bands").alias("bands"))
+    nodes = marked.groupBy("node").agg(first, F.min("fp").alias("fp"), F.first("size").alias("size"), F.first("bands").alias("bands"))
     nodes, _ = store_once(nodes, "nodes")
+    delete_stored(marked)
     roots = _roots(nodes, source, words, radius, least)
     of = nodes.join(roots, "node", "left")
     chosen = of.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("least").alias("least"))
-    chosen = chosen.select(F.col("least.key.id").alias("chosen_id"), F.col("least.key.digest").alias("chosen_digest"))
-    chosen, _ = store_once(chosen, "chosen")
-    same = F.col(id_column).eqNullSafe(F.col("chosen_id")) & (digest == F.col("chosen_digest"))
+    name = fresh_name(docs.columns, "chosen")
+    chosen, _ = store_once(chosen.select(F.col("least.key").alias(name)), "chosen")
+    delete_stored(nodes)
+    same = F.col(id_column).eqNullSafe(F.col(f"{name}.id")) & (digest == F.col(f"{name}.digest"))
     kept = docs.join(chosen, same, "left_semi")
     # Rows that stand twice are one.
     return kept.dropDuplicates([id_column, text_column])

@@ -80,3 +80,5 @@ def test_odd_rows(spark, odd, empty):
     # Repeats, and texts without words, are one row each.
     assert sorted(r.text or "" for r in kept.collect()) == sorted(["", "one two three four", "other", "word " * 50_000, "x y z"])
     assert near_copies.keep_first(empty).count() == 0
+    clashing = odd.selectExpr("*", "1 as chosen", "2 as chosen_id", "3 as chosen_digest", "4 as Chosen_")
+    assert near_copies.keep_first(clashing).columns == clashing.columns

@@ -8,11 +8,11 @@ import tiktoken
 
 import __spark_entry__ as registry
 import corpus_pipeline
-from filehaul.llm import byte_bpe, decontaminate, quality, simhash
+from filehaul.llm import byte_bpe, decontaminate, quality
 from filehaul.llm import queries as llm
 
 from .conftest import DATA
-from .test_simhash import components, fingerprint
+from .test_near_copies import plain as near_copies
 from .test_substrings import plain as repeats_of
 
 
@@ -31,8 +31,7 @@ def test_stages_against_plain_versions(spark, documents):
     judged = quality.judge_quality(documents, model).toPandas().set_index("doc_id")
     assert sorted(first.index) == sorted(judged.index[judged.kept])
     texts = first.sort_index().text
-    roots = components([fingerprint(text, 5) for text in texts], corpus_pipeline.RADIUS)
-    assert sorted(second.index) == sorted({texts.index[root] for root in roots})
+    assert sorted(second.index) == [texts.index[root] for root in near_copies(list(texts))]
     removed = dict(zip(second.index, repeats_of([t.encode() for t in second.text], corpus_pipeline.REPEAT_BYTES)))
     for number, (_, gone, _, _) in removed.items():
         left = len(third.text.get(number, "").encode())
@@ -60,11 +59,9 @@ def test_odd_documents(spark):
 
 def test_near_copies_by_similarity(spark, documents):
     """The second stage against the similarity of all pairs of its input."""
-    from .test_near_copies import plain
-
     rows = documents.toPandas().sort_values("doc_id")
     kept = corpus_pipeline.drop_near_duplicates(spark, documents, DATA).toPandas()
-    assert sorted(kept.doc_id) == [rows.doc_id.iloc[root] for root in plain([text or "" for text in rows.text])]
+    assert sorted(kept.doc_id) == [rows.doc_id.iloc[root] for root in near_copies([text or "" for text in rows.text])]
 
 
 def test_passages_of_51_to_60_words_go(spark, prose):
@@ -83,9 +80,21 @@ def test_passages_of_51_to_60_words_go(spark, prose):
         assert not any(passage[10:60] in left[many * 2 + side] for side in (0, 1))
 
 
+def test_clashing_columns(spark, documents):
+    """No stage loses or needs a column of its input by name."""
+    own = {name: 7 for name in ("leak_id", "leak_digest", "leak", "digest_", "chosen", "chosen_id", "chosen_digest", "kept", "row", "key")}
+    docs = documents.limit(40)
+    for name, value in own.items():
+        docs = docs.selectExpr("*", f"{value} as {name}")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, docs, DATA)
+        assert left.columns == docs.columns
+        assert left.where(" and ".join(f"{name} = 7" for name in own)).count() == left.count()
+
+
 def test_all_queries_are_registered():
     names = registry.queries().keys()
-    assert {f"op{n}_" for n in range(1, 11)} <= {name.split("_")[0] + "_" for name in names}
+    assert {f"op{n}_" for n in range(1, 14)} <= {name.split("_")[0] + "_" for name in names}
     assert "pipeline" in names
 
 
