@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filehaul.llm import byte_bpe, decontaminate, near_copies, quality, substrings
+from filehaul.llm.common import fresh_name
 from filehaul.storage import store_once
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -28,10 +29,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("digest_", F.xxhash64(F.coalesce(F.col("text").cast("binary"), F.lit(b""))))
-
-
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules and are content by the line labels."""
     model = quality.fit_line_model(docs, _table(spark, sf_dir, "labels"))
@@ -52,10 +49,12 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without an item of the benchmark."""
     leaks = decontaminate.find_leaks(docs, _table(spark, sf_dir, "benchmark"))
-    found = leaks.select(F.col("doc_id").alias("leak_id"), F.col("digest").alias("leak_digest")).distinct()
+    name = fresh_name(docs.columns, "leak")
+    found = leaks.select(F.struct(F.col("doc_id").alias("id"), "digest").alias(name)).distinct()
     found, _ = store_once(found, "leaking")
-    same = F.col("doc_id").eqNullSafe(F.col("leak_id")) & (F.col("digest_") == F.col("leak_digest"))
-    return _keyed(docs).join(found, same, "left_anti").drop("digest_")
+    digest = F.xxhash64(F.coalesce(F.col("text").cast("binary"), F.lit(b"")))
+    same = F.col("doc_id").eqNullSafe(F.col(f"{name}.id")) & (digest == F.col(f"{name}.digest"))
+    return docs.join(found, same, "left_anti")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
