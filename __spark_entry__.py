@@ -11,6 +11,7 @@ import hashlib
 import io
 import re
 import uuid
+import warnings
 import zipfile
 from collections.abc import Callable
 from datetime import datetime, timedelta
@@ -23,10 +24,10 @@ from filehaul.functions import paths
 from filehaul.functions.anonymize import anonymize
 from filehaul.functions.crypto import generate_key_pair
 from filehaul.functions.fields import compress_fields, decompress_fields
-from filehaul.operators import ordering, packing, transfer
+from filehaul.operators import digests, ordering, packing, transfer
 from filehaul.plans.export import ENCRYPTED_TYPE, ExportResult, export_files
 from filehaul.plans.restore import checksum_content, checksum_files, import_files, verify_files
-from filehaul.sources import listing
+from filehaul.sources import listing, splits
 from filehaul.sources.chunks import read_files
 from filehaul.sources.records import text_records
 from filehaul.storage import new_shared_dir
@@ -35,9 +36,11 @@ from filehaul.streaming.ingest import check_query, ingest_stream
 try:
     from filehaul.llm import queries as llm
 except ImportError as missing:
-    # Left out only where the subpackage itself is not there.
-    if missing.name not in ("filehaul.llm", "filehaul.llm.queries"):
+    # Left out only where the subpackage, or a module of others that it needs, is not there.
+    if (missing.name or "").startswith("filehaul") and missing.name not in ("filehaul.llm", "filehaul.llm.queries"):
         raise
+    if missing.name not in ("filehaul.llm", "filehaul.llm.queries"):
+        warnings.warn(f"the text queries are left out: {missing}")
     llm = None
 
 RUN_TIME = datetime(2015, 1, 1, 20, 42)
@@ -392,10 +395,21 @@ def zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The written archives as the standard library reads them."""
     target, _ = _export(spark, sf_dir, "ZIP", "NONE")
     return _objects(spark, target, ".zip").mapInArrow(
-        _read_archives, "fileName string, member string, bytes long, stored_bytes_differ boolean, sha256 string"
+        _read_archives, "fileName string, member string, bytes long, stored_plain string, sha256 string"
     )
 
 
+def _shows(plain: bytes, stored: bytes) -> str:
+    """Whether some piece of 64 bytes of the plain text, or all of a shorter one, stands in the stored bytes.
+
+    Texts of a few letters may stand in anything by chance: they are 'short'.
+    """
+    if len(plain) < 16:
+        return "short"
+    starts = {*range(0, max(1, len(plain) - 63), 64), max(0, len(plain) - 64)}
+    return "yes" if any(plain[start : start + 64] in stored for start in starts) else "no"
+
+
 def _read_archives(batches):
     for batch in batches:
         rows = []
@@ -406,7 +420,7 @@ def _read_archives(batches):
                     rows.append(
                         {
                             "fileName": item["fileName"], "member": member.filename, "bytes": len(data),
-                            "stored_bytes_differ": data not in item["content"] if len(data) > 200 else True,
+                            "stored_plain": _shows(data, item["content"]),
                             "sha256": hashlib.sha256(data).hexdigest(),
                         }
                     )
@@ -414,7 +428,7 @@ def _read_archives(batches):
             rows,
             pa.schema(
                 [("fileName", pa.string()), ("member", pa.string()), ("bytes", pa.int64()),
-                 ("stored_bytes_differ", pa.bool_()), ("sha256", pa.string())]
+                 ("stored_plain", pa.string()), ("sha256", pa.string())]
             ),
         )
 
@@ -426,11 +440,13 @@ def encrypted_at_rest(spark: SparkSession, sf_dir: str) -> DataFrame:
     plain = _document_paths(spark, sf_dir, "doc_id", "text").select(
         F.concat("doc_id", F.lit(".txt")).alias("fileName"), F.col("text").cast("binary").alias("plain")
     )
-    shown = objects.join(plain, "fileName").select(
-        "fileName",
-        # A text of a few letters may stand in anything by chance.
-        ((F.octet_length("plain") >= 16) & F.contains(F.hex("content"), F.hex(F.substring("plain", 1, 64)))).alias("shows_text"),
-    )
+
+    def look(batches):
+        for batch in batches:
+            shown = [_shows(p, c) for p, c in zip(batch.column("plain").to_pylist(), batch.column("content").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("fileName"), pa.array(shown, pa.string())], names=["fileName", "shows_text"])
+
+    shown = objects.join(plain, "fileName").mapInArrow(look, "fileName string, shows_text string")
     opened = verify_files(spark, target, private_keys=_key_pair(spark)[1])
     closed = verify_files(spark, target, private_keys=generate_key_pair(spark)[1])
     return (
@@ -439,6 +455,56 @@ def encrypted_at_rest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def source_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The splits as the data source gives them: files, bytes, and the partitions in which a split lies."""
+    table = splits.read_splits(spark, splits.plan_splits(_manifest(spark, sf_dir)))
+    placed = table.select("split_id", "fileSize", F.spark_partition_id().alias("part"))
+    return placed.groupBy("split_id").agg(
+        F.count("*").alias("files"), F.sum("fileSize").alias("total_bytes"), F.countDistinct("part").alias("partitions")
+    )
+
+
+def source_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Big files of one language, by filters that the source applies."""
+    table = splits.read_splits(spark, splits.plan_splits(_manifest(spark, sf_dir), max_split_size=16))
+    return table.where("fullPath like '/corpus/en/%' and fileSize >= 2000").select("fullPath", "fileSize")
+
+
+def flat_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in one directory, looked at by pages of 100 entries."""
+    root, run_id = new_shared_dir(spark, "flat"), uuid.uuid4().hex
+    documents = _table(spark, sf_dir, "documents").select(F.concat("doc_id", F.lit(".txt")).alias("name"), "text")
+    transfer.write_contents(documents, root, run_id, "name", "text").write.parquet(new_shared_dir(spark, "flat-results"))
+    transfer.delete_run_folder(root, run_id)
+    plain = "/" + re.sub("^[a-z]+:(//[^/]*)?", "", root).lstrip("/") + "/"
+    files = listing.list_files(spark, plain, "hdfs" if root.startswith("hdfs:") else "file", page_entries=100)
+    return files.select("relativePath", "fileSize")
+
+
+def segmented_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tree digests over blocks of 1,000 bytes, read in segments of 3,000 bytes and whole; only where both agree there is one."""
+    files = _list(spark, [f"{_tree(spark, sf_dir)}/corpus/"])
+    pieces = digests.file_digests(files, block_bytes=1000, segment_bytes=3000)
+    whole = digests.file_digests(files, block_bytes=1000).select("relativePath", F.col("tree_sha256").alias("other"))
+    same = F.when(F.col("tree_sha256") == F.col("other"), F.col("tree_sha256"))
+    return pieces.join(whole, "relativePath").select("relativePath", "bytes", "blocks", same.alias("tree_sha256"))
+
+
+def damaged_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks that fail in a copy of the tree in which some files have another byte 1,500 and others end at byte 2,000."""
+    documents = _document_paths(spark, sf_dir, "doc_id", "text").withColumn("data", F.col("text").cast("binary"))
+    size = F.octet_length("data")
+    flipped = F.concat(F.substring("data", 1, 1500), F.lit(b"\x00"), F.substring("data", 1502, 2**31 - 1))
+    data = F.when((F.col("doc_id") % 7 == 3) & (size > 1500), flipped).when((F.col("doc_id") % 7 == 5) & (size > 2000), F.substring("data", 1, 2000))
+    root, run_id = new_shared_dir(spark, "damaged"), uuid.uuid4().hex
+    copies = documents.select("path", F.coalesce(data, F.col("data")).alias("data"))
+    transfer.write_contents(copies, root, run_id, "path", "data").write.parquet(new_shared_dir(spark, "damaged-results"))
+    transfer.delete_run_folder(root, run_id)
+    expected = digests.block_digests(_list(spark, [f"{_tree(spark, sf_dir)}/corpus/"]), block_bytes=1000)
+    found = digests.block_digests(_list(spark, [f"{root}/corpus/"]), block_bytes=1000)
+    return digests.compare_blocks(expected, found, block_bytes=1000)
+
+
 def anonymize_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = {"c_name": "token", "c_custkey": "token", "c_mktsegment": "mask"}
     return anonymize(_table(spark, sf_dir, "customer"), spec, ANONYMIZE_KEY)
@@ -458,7 +524,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         zip_encrypt_export, encrypt_export, verify_export, checksum_manifest,
         field_compress_roundtrip, stream_csv_to_table, table_limit_check, incremental_sync,
         anonymize_customer, sync_after_option_change, directory_filter, segmented_roundtrip,
-        zip_members, encrypted_at_rest,
+        zip_members, encrypted_at_rest, source_partitions, source_filters, flat_directory,
+        segmented_checksums, damaged_blocks,
     ]
     return {query.__name__: query for query in registered} | (llm.queries() if llm else {})
 
@@ -609,10 +676,31 @@ def oracle_sql() -> dict[str, str]:
             SELECT compression, encryption, relativePath, fileSize AS bytes, sha256(text) AS sha256
             FROM ({_FILES}), (VALUES ('NONE'), ('ZIP')) AS c(compression), (VALUES ('NONE'), ('PGP')) AS e(encryption)""",
         "zip_members": f"""
-            SELECT fileName, fileName AS member, fileSize AS bytes, true AS stored_bytes_differ,
+            SELECT fileName, fileName AS member, fileSize AS bytes, CASE WHEN fileSize >= 16 THEN 'no' ELSE 'short' END AS stored_plain,
                    sha256(text) AS sha256 FROM ({_FILES})""",
         "encrypted_at_rest": f"""
-            SELECT fileName, false AS shows_text, 'passed' AS with_key, 'error' AS with_other_key
+            SELECT fileName, CASE WHEN fileSize >= 16 THEN 'no' ELSE 'short' END AS shows_text, 'passed' AS with_key, 'error' AS with_other_key
             FROM ({_FILES})""",
+        "source_partitions": f"SELECT split_id, files, total_bytes, CAST(1 AS BIGINT) AS partitions FROM ({_SPLIT_TOTALS})",
+        "source_filters": f"SELECT fullPath, fileSize FROM ({_FILES}) WHERE lang = 'en' AND fileSize >= 2000",
+        "flat_directory": f"SELECT fileName AS relativePath, fileSize FROM ({_FILES})",
+        "segmented_checksums": f"""
+            WITH blocks AS (
+                SELECT relativePath, fileSize, no, greatest(1, (fileSize + 999) // 1000) AS blocks,
+                       sha256(unhex('00' || substr(hex(encode(text)), 2000 * no + 1, 2000))) AS digest
+                FROM (SELECT *, unnest(range(greatest(1, (fileSize + 999) // 1000))) AS no FROM ({_FILES}))
+            )
+            SELECT relativePath, any_value(fileSize) AS bytes, any_value(blocks) AS blocks,
+                   CASE WHEN count(*) = 1 THEN any_value(digest)
+                        ELSE sha256(unhex('01' || string_agg(digest, '' ORDER BY no))) END AS tree_sha256
+            FROM blocks GROUP BY relativePath""",
+        "damaged_blocks": f"""
+            SELECT relativePath, CAST(1 AS BIGINT) AS block_no, CAST(1000 AS BIGINT) AS "offset",
+                   CAST(least(1000, fileSize - 1000) AS BIGINT) AS bytes, 'failed' AS status, 'differs' AS reason
+            FROM ({_FILES}) WHERE doc_id % 7 = 3 AND fileSize > 1500
+            UNION ALL
+            SELECT relativePath, no, 1000 * no, CAST(least(1000, fileSize - 1000 * no) AS BIGINT), 'failed', 'missing'
+            FROM (SELECT *, unnest(range(2, (fileSize + 999) // 1000)) AS no FROM ({_FILES}))
+            WHERE doc_id % 7 = 5 AND fileSize > 2000""",
     }
     return own | (llm.oracle_sql() if llm else {})

@@ -2,6 +2,7 @@ import os
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from filehaul.sources import listing
 
@@ -74,14 +75,34 @@ def test_root_that_the_filesystem_rewrites_is_an_error(spark, make_tree):
         listing.list_files(spark, f"{root}//sub").collect()
 
 
-def test_directory_bigger_than_a_batch(spark, tmp_path):
+def test_flat_directory_of_100_000_entries_in_several_tasks(spark, tmp_path, monkeypatch):
+    """Names are read by one task, entries looked at by many; no task holds more than a page of names."""
     root = tmp_path / "flat"
-    root.mkdir()
-    for number in range(10_050):
-        (root / f"{number}").touch()
-    files = listing.list_files(spark, str(root))
-    assert files.count() == 10_050
-    assert files.select("fullPath").distinct().count() == 10_050
+    (root / "deep").mkdir(parents=True)
+    for number in range(100_000):
+        os.close(os.open(root / f"{number}", os.O_CREAT | os.O_WRONLY))
+    (root / "deep" / "last").write_text("x")
+    entries = listing.scan_tree(spark, str(root), page_entries=4_000)
+    files = entries.where("kind = 'file'")
+    assert files.count() == 100_001
+    assert files.select("uri").distinct().count() == 100_001
+    assert entries.where("kind not in ('file', 'dir')").count() == 0
+    assert {row["depth"] for row in files.select("depth").distinct().collect()} == {0, 1}
+    # 26 pages, one or two to a task: their entries lie in files of as many tasks.
+    sizes = [row["count"] for row in files.where("depth = 0").groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) >= 13 and max(sizes) <= 8_000
+    flat = listing.list_files(spark, str(root), recursive=False, page_entries=4_000)
+    assert flat.count() == 100_000
+
+
+def test_page_sizes_list_the_same(spark, make_tree):
+    root = make_tree({f"{folder}/{number}.txt": b"x" * number for folder in ("a", "a/b", "c") for number in range(7)})
+    os.symlink(root, f"{root}/a/up")
+    os.symlink(f"{root}/gone", f"{root}/a/dangling")
+    rows = lambda page: sorted(map(tuple, listing.scan_tree(spark, root, page_entries=page).collect()))
+    assert rows(1) == rows(3) == rows(7) == rows(1000)
+    with pytest.raises(ValueError):
+        listing.scan_tree(spark, root, page_entries=0)
 
 
 def test_filters_and_projection(spark, make_tree):
