@@ -31,6 +31,7 @@ from filehaul.sources import listing, splits
 from filehaul.sources.chunks import read_files
 from filehaul.sources.records import text_records
 from filehaul.storage import new_shared_dir
+from filehaul.streaming.batches import BatchStore, ingest_batches
 from filehaul.streaming.ingest import check_query, ingest_stream
 
 try:
@@ -327,6 +328,41 @@ def table_limit_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_query(_ingested_events(spark, sf_dir).orderBy("event_id"))
 
 
+def _ingested_batches(spark: SparkSession, sf_dir: str) -> BatchStore:
+    """Events as lines in eight files, a tenth with a wrong type and a tenth cut short, two files to a micro-batch."""
+    events = _table(spark, sf_dir, "events")
+    folder = new_shared_dir(spark, "batches")
+    line = F.to_csv(F.struct(*events.columns), CSV_OPTIONS)
+    wrong = F.to_csv(F.struct(F.lit("x").alias("event_id"), *events.columns[1:]), CSV_OPTIONS)
+    line = F.when(F.col("event_id") % 10 == 3, wrong).when(F.col("event_id") % 10 == 7, F.col("event_id").cast("string")).otherwise(line)
+    events.repartition(8).select(line.alias("value")).write.text(f"{folder}/lines")
+    query, store = ingest_batches(
+        text_records(spark, f"{folder}/lines", max_files_per_trigger=2), events.schema, f"{folder}/checkpoint", f"{folder}/store",
+        available_now=True, **CSV_OPTIONS,
+    )
+    query.awaitTermination()
+    return store
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted and rejected lines of one pass, and what they hold."""
+    store = _ingested_batches(spark, sf_dir)
+    number = lambda rows, kind, column: rows.agg(F.lit(kind).alias("kind"), F.count("*").alias("lines"), F.sum(column).alias("numbers"))
+    short = store.rejected().select(F.when(~F.contains("line", F.lit(",")), F.col("line").cast("long")).alias("number"))
+    return number(store.accepted(), "accepted", "event_id").unionByName(number(short, "rejected", "number"))
+
+
+def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The progress table of an ingest limited to two of eight files a batch: without the limit it were one batch."""
+    progress = _ingested_batches(spark, sf_dir).progress()
+    # Rows are dealt to files in turn by each task that writes them, so a file has its eighth but for a few.
+    fits = F.max("input_rows") <= F.ceil(F.sum("input_rows") / 4) + 64
+    return progress.agg(
+        F.count("*").alias("batches"), F.sum("input_rows").alias("input_rows"), F.sum("accepted").alias("accepted"),
+        F.sum("rejected").alias("rejected"), fits.alias("fits"), F.bool_and(F.col("started") <= F.col("ended")).alias("timed"),
+    )
+
+
 def incremental_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export the documents that have a label, then what an incremental run over all adds."""
     files = _list(spark, [f"{_tree(spark, sf_dir)}/corpus/"])
@@ -525,7 +561,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         field_compress_roundtrip, stream_csv_to_table, table_limit_check, incremental_sync,
         anonymize_customer, sync_after_option_change, directory_filter, segmented_roundtrip,
         zip_members, encrypted_at_rest, source_partitions, source_filters, flat_directory,
-        segmented_checksums, damaged_blocks,
+        segmented_checksums, damaged_blocks, stream_rejects, stream_batches,
     ]
     return {query.__name__: query for query in registered} | (llm.queries() if llm else {})
 
@@ -681,6 +717,13 @@ def oracle_sql() -> dict[str, str]:
         "encrypted_at_rest": f"""
             SELECT fileName, CASE WHEN fileSize >= 16 THEN 'no' ELSE 'short' END AS shows_text, 'passed' AS with_key, 'error' AS with_other_key
             FROM ({_FILES})""",
+        "stream_rejects": """
+            SELECT 'accepted' AS kind, count(*) AS lines, CAST(sum(event_id) AS BIGINT) AS numbers FROM events WHERE event_id % 10 NOT IN (3, 7)
+            UNION ALL
+            SELECT 'rejected', count(*), CAST(sum(event_id) FILTER (event_id % 10 = 7) AS BIGINT) FROM events WHERE event_id % 10 IN (3, 7)""",
+        "stream_batches": """
+            SELECT CAST(4 AS BIGINT) AS batches, count(*) AS input_rows, count(*) FILTER (event_id % 10 NOT IN (3, 7)) AS accepted,
+                   count(*) FILTER (event_id % 10 IN (3, 7)) AS rejected, true AS fits, true AS timed FROM events""",
         "source_partitions": f"SELECT split_id, files, total_bytes, CAST(1 AS BIGINT) AS partitions FROM ({_SPLIT_TOTALS})",
         "source_filters": f"SELECT fullPath, fileSize FROM ({_FILES}) WHERE lang = 'en' AND fileSize >= 2000",
         "flat_directory": f"SELECT fileName AS relativePath, fileSize FROM ({_FILES})",
