@@ -101,28 +101,31 @@ def scan_licenses(
     )
     by_diagonal = Window.partitionBy("doc_id", "digest", "template").orderBy("diagonal", "pos")
     apart = F.col("diagonal") - F.lag("diagonal").over(by_diagonal) > gap
-    spans = (
+    merged = (
         votes.where("not exact")
         .withColumn("starts", F.coalesce(apart, F.lit(False)).cast("int"))
         .withColumn("span", F.sum("starts").over(by_diagonal))
+    )
+    # Merging may chain places far apart. What counts is the best stretch of a span that is not much longer than the template:
+    # of those that begin at a vote, the one with the most of its k-grams, and of equals the first. Steps of half a place
+    # less than one over the stretch make the window's bound the same for all templates.
+    reach = F.floor(F.lit(max_stretch) * (F.col("n_grams") + (GRAM - 1))) - GRAM
+    stretch = Window.partitionBy("doc_id", "digest", "template", "span").orderBy(F.col("pos") / (F.greatest(reach, F.lit(0)) + 0.5)).rangeBetween(0, 1)
+    best = F.struct(F.size(F.collect_set("tpos").over(stretch)).alias("found"), (-F.col("pos")).alias("before"), F.max("pos").over(stretch).alias("end"))
+    spans = (
+        merged.withColumn("best", best)
         .groupBy("doc_id", "digest", "template", "label", "n_grams", "span")
-        .agg(
-            F.count_distinct("tpos").alias("found"),
-            F.min("pos").cast("long").alias("first"),
-            (F.max("pos") + GRAM).cast("long").alias("last"),
+        .agg(F.max("best").alias("best"))
+        .select(
+            "doc_id", "digest", "label", (F.col("best.found") / F.col("n_grams")).alias("cover"),
+            (-F.col("best.before")).cast("long").alias("first"), (F.col("best.end") + GRAM).cast("long").alias("last"),
         )
-        .withColumn("cover", F.col("found") / F.col("n_grams"))
     )
-    short = F.col("last") - F.col("first") <= max_stretch * (F.col("n_grams") + (GRAM - 1))
-    seen = (
-        spans.where(short)
-        .groupBy("doc_id", "digest")
-        .agg(
-            F.max("cover").alias("cover"),
-            F.sort_array(
-                F.collect_list(F.when(F.col("cover") >= min_cover, F.struct("label", "first", "last", "cover")))
-            ).alias("spans"),
-        )
+    seen = spans.groupBy("doc_id", "digest").agg(
+        F.max("cover").alias("cover"),
+        F.sort_array(
+            F.collect_list(F.when(F.col("cover") >= min_cover, F.struct("label", "first", "last", "cover")))
+        ).alias("spans"),
     )
     seen = seen.toDF("seen_id", "seen_digest", "cover", "spans")
     found = places.join(seen, _same(F.col("seen_id"), F.col("seen_digest")), "full").select(

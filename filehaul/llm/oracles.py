@@ -70,14 +70,18 @@ def license_scan() -> str:
         FROM votes WHERE NOT exact
         WINDOW by_diagonal AS (PARTITION BY doc_id, template ORDER BY diagonal, pos)
     ),
+    merged AS (
+        SELECT *, sum(starts) OVER (PARTITION BY doc_id, template ORDER BY diagonal, pos) AS span FROM stepped
+    ),
     spans AS (
-        SELECT doc_id, label, n_grams, count(DISTINCT tpos) / n_grams AS cover, max(pos) + 3 - min(pos) AS width
-        FROM (SELECT *, sum(starts) OVER (PARTITION BY doc_id, template ORDER BY diagonal, pos) AS span FROM stepped)
-        GROUP BY doc_id, template, label, n_grams, span
+        SELECT a.doc_id, a.template, a.label, a.span, a.pos, count(DISTINCT b.tpos) / any_value(a.n_grams) AS cover
+        FROM merged AS a JOIN merged AS b ON a.doc_id = b.doc_id AND a.template = b.template AND a.span = b.span
+             AND b.pos >= a.pos AND b.pos + 3 - a.pos <= 1.5 * (a.n_grams + 2)
+        GROUP BY a.doc_id, a.template, a.label, a.span, a.pos
     ),
     seen AS (
         SELECT doc_id, max(cover) AS cover, list(DISTINCT label) FILTER (cover >= 0.8) AS found
-        FROM spans WHERE width <= 1.5 * (n_grams + 2) GROUP BY doc_id
+        FROM spans GROUP BY doc_id
     )
     SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
            array_to_string(list_sort(coalesce(own, [])), ',') AS base_labels,

@@ -47,6 +47,20 @@ def test_phrases_and_notices(spark, prose):
     assert len(rows[6]["spans"]) == 2
 
 
+def test_best_stretch_of_a_long_span(spark, prose):
+    """Beginnings of a notice that are repeated before it chain into one span; the notice in it is found all the same."""
+    chained = "x is licensed under the mit license. y is licensed under the apache license. z is licensed under the gnu general public license, version 3"
+    words = NOTICES["mit"].split()
+    texts = [chained, " ".join([*words[:8]] * 30 + words), prose(40) + " " + " ".join([*words[:8]] * 3)]
+    rows = licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    rows = {row["doc_id"]: row for row in rows.collect()}
+    assert "gpl-3" in rows[0]["labels"] and "mit" in rows[0]["labels"]
+    assert "mit" in rows[1]["labels"].split(",")
+    span = next(span for span in rows[1]["spans"] if span["label"] == "mit")
+    assert span["cover"] == 1.0 and span["last"] == 8 * 30 + len(WORD.findall(NOTICES["mit"].encode().lower()))
+    assert rows[2]["labels"] == ""
+
+
 def test_odd_rows(odd, empty):
     rows = licenses.scan_licenses(odd).collect()
     assert len(rows) == odd.count()
