@@ -1,9 +1,13 @@
 """Quality rules, and a linear-chain CRF that labels the lines of a text.
 
 Every line is content or boilerplate. The weights of the line features and of
-the transitions are fitted on a bounded sample of labelled documents, whose
-lines take the label of their document; Viterbi decoding then finds the best
-labels of each text, and the share of words in content lines decides.
+the transitions are fitted on a bounded sample of labelled documents. Labels of
+lines are not given, so they are latent: a document's label only makes content
+more or less likely at each of its lines. A first fit finds how likely each line
+is content, by its features and its document; the chain is then fitted to these
+chances, so that it learns both to stay and to move: good documents hold
+boilerplate lines and bad ones content. Viterbi decoding finds the best labels of
+each text, and the share of words in content lines decides.
 """
 
 from __future__ import annotations
@@ -26,6 +30,10 @@ FEATURES = ("bias", "words", "short", "word_length", "symbols", "digits", "upper
 CHAIN = 64
 PENALTY = 1e-3
 CONTENT_WEIGHT = 5.0
+# Log odds that a line is content, in a bad and in a good document: 0.3 and 0.95.
+ODDS = (np.log(0.3 / 0.7), np.log(0.95 / 0.05))
+# The fit begins with lines that nearly take the label of their document.
+FIRST_ODDS = 6.0
 
 _CLASS = {
     name: np.isin(np.arange(256), np.frombuffer(members, np.uint8))
@@ -153,14 +161,17 @@ def fit_line_model(
     text_column: str = "text",
     label_column: str = "quality",
     max_documents: int = 2000,
+    max_chains: int = 8000,
     steps: int = 200,
 ) -> LineModel:
     """Fit the chain on at most ``max_documents`` labelled documents, taken by hash of the id.
 
-    Half of them, if there are so many, are of the rarer label. Repeated labels
-    of a document count once (the lowest); null ids and labels are left out.
-    Without both labels, or without text, the untrained weights are returned,
-    which mark lines with symbols as boilerplate.
+    Half of them, if there are so many, are of the rarer label. Of their chains
+    of at most 64 lines, ``max_chains`` at most come to the driver, taken by hash, as
+    numbers and not as text. Repeated labels of a document count once (the
+    lowest); null ids and labels are left out. Without both labels, or without
+    text, the untrained weights are returned, which mark lines with symbols as
+    boilerplate.
     """
     known = (
         labels.select(F.col(id_column).alias("doc_id"), F.col(label_column).cast("int").alias("label"))
@@ -178,63 +189,91 @@ def fit_line_model(
         .join(F.broadcast(sample), "doc_id")
         .groupBy("doc_id")
         .agg(F.min("label").alias("label"), F.min("body").alias("body"))
-        .orderBy("doc_id")
+        .select(F.xxhash64("doc_id").alias("doc"), "label", "body")
+        .mapInArrow(_chains, "doc long, label int, chain long, features binary")
+        .orderBy(F.xxhash64("doc", "chain"), "doc", "chain", "features")
+        .limit(max_chains)
         .toPandas()
     )
-    texts, given = [bytes(b) for b in rows["body"]], rows["label"].to_numpy()
-    if not len(texts) or len(set(given.tolist())) < 2:
+    given = rows["label"].to_numpy()
+    if len(set(given.tolist())) < 2:
         weights = np.zeros(len(FEATURES))
         weights[FEATURES.index("bias")], weights[FEATURES.index("symbols")] = 2.0, -6.0
         return LineModel(weights, np.zeros((2, 2)))
-    features, lines_of, _ = line_features(texts)
-    chains, state = [], []
-    start = 0
-    for size, label in zip(lines_of, given):
-        for low in range(start, start + size, CHAIN):
-            chains.append((low, min(low + CHAIN, start + size)))
-            state.append(int(label))
-        start += size
-    return _fit(features, chains, np.array(state), steps)
-
-
-def _fit(x: np.ndarray, chains: list[tuple[int, int]], state: np.ndarray, steps: int) -> LineModel:
-    """Maximum likelihood of the chains by Adam; each chain has one label at all its lines."""
-    sizes = np.array([high - low for low, high in chains])
-    width = sizes.max()
-    at = np.minimum(np.array([low for low, _ in chains])[:, None] + np.arange(width), len(x) - 1)
-    inside = np.arange(width) < sizes[:, None]
-    padded = x[at] * inside[..., None]
+    return _fit([np.frombuffer(part, "<f4").reshape(-1, len(FEATURES)) for part in rows["features"]], given, steps)
+
+
+def _chains(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The features of each text, cut into chains."""
+    for batch, texts in slices(batches):
+        features, lines_of, _ = line_features(texts)
+        ends = np.cumsum(lines_of)
+        row, chain, packed = [], [], []
+        for number, (start, end) in enumerate(zip(ends - lines_of, ends)):
+            for low in range(start, end, CHAIN):
+                row.append(number)
+                chain.append((low - start) // CHAIN)
+                packed.append(features[low : min(low + CHAIN, end)].astype("<f4").tobytes())
+        taken = pa.array(row, pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc").take(taken), batch.column("label").take(taken), pa.array(chain, pa.int64()), pa.array(packed, pa.binary())],
+            names=["doc", "label", "chain", "features"],
+        )
+
+
+def _marginals(unary: np.ndarray, moves: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Chance of content at each place of each chain, and expected number of moves in each chain, by forward and backward sums."""
+    width = inside.shape[1]
+    forward, backward = np.zeros_like(unary), np.zeros_like(unary)
+    forward[:, 0] = unary[:, 0]
+    for t in range(1, width):
+        reach = forward[:, t - 1, :, None] + moves
+        # Beyond a chain's end the sums stay as they are.
+        forward[:, t] = np.where(inside[:, t, None], np.logaddexp(reach[:, 0], reach[:, 1]) + unary[:, t], forward[:, t - 1])
+    total = np.logaddexp(forward[:, -1, 0], forward[:, -1, 1])
+    for t in range(width - 2, -1, -1):
+        reach = moves + (unary[:, t + 1] + backward[:, t + 1])[:, None, :]
+        backward[:, t] = np.where(inside[:, t + 1, None], np.logaddexp(reach[..., 0], reach[..., 1]), backward[:, t + 1])
+    content = np.exp(forward + backward - total[:, None, None])[..., 1] * inside
+    pair = forward[:, :-1, :, None] + moves + (unary + backward)[:, 1:, None, :] - total[:, None, None, None]
+    return content, (np.exp(np.where(inside[:, 1:, None, None], pair, -np.inf))).sum(axis=1)
+
+
+def _fit(parts: list[np.ndarray], given: np.ndarray, steps: int) -> LineModel:
+    """Two fits by Adam: of single lines, whose labels are latent, to the documents' labels; then of the chain to what came out."""
+    sizes = np.array([len(part) for part in parts])
+    inside = np.arange(sizes.max()) < sizes[:, None]
+    padded = np.zeros((*inside.shape, len(FEATURES)))
+    padded[inside] = np.concatenate(parts)
     # In sum, content weighs more than boilerplate, so that doubtful lines stay; a chain weighs by its lines up to ten.
     weight = np.minimum(sizes, 10) / sizes
     for label in (0, 1):
         share = CONTENT_WEIGHT if label else 1.0
-        weight[state == label] *= share / max((weight * sizes)[state == label].sum(), 1e-9)
-    weights, moves = np.zeros(x.shape[1]), np.zeros((2, 2))
+        weight[given == label] *= share / max((weight * sizes)[given == label].sum(), 1e-9)
+    weights, moves = np.zeros(len(FEATURES)), np.zeros((2, 2))
     first = [np.zeros_like(weights), np.zeros_like(moves)]
     second = [np.zeros_like(weights), np.zeros_like(moves)]
-    pairs_inside = inside[:, 1:]
+    lines, targets = steps // 2, None
     for step in range(1, steps + 1):
-        unary = np.zeros((*inside.shape, 2))
-        unary[..., 1] = padded @ weights
-        forward, backward = np.zeros_like(unary), np.zeros_like(unary)
-        forward[:, 0] = unary[:, 0]
-        for t in range(1, width):
-            reach = forward[:, t - 1, :, None] + moves
-            forward[:, t] = np.where(inside[:, t, None], np.logaddexp(reach[:, 0], reach[:, 1]) + unary[:, t], forward[:, t - 1])
-        total = np.logaddexp(forward[:, -1, 0], forward[:, -1, 1])
-        for t in range(width - 2, -1, -1):
-            reach = moves + (unary[:, t + 1] + backward[:, t + 1])[:, None, :]
-            backward[:, t] = np.where(inside[:, t + 1, None], np.logaddexp(reach[..., 0], reach[..., 1]), backward[:, t + 1])
-        # Within a chain's end, forward at t holds what lies up to t.
-        marginal = np.exp(forward + backward - total[:, None, None])[..., 1] * inside
-        pair = np.exp(
-            forward[:, :-1, :, None] + moves + (unary + backward)[:, 1:, None, :] - total[:, None, None, None]
-        ) * pairs_inside[..., None, None]
-        gap = (state[:, None] - marginal) * inside * weight[:, None]
-        grad_weights = np.einsum("ct,ctf->f", gap, padded) - PENALTY * weights
-        wanted = np.zeros((len(state), 2, 2))
-        wanted[np.arange(len(state)), state, state] = np.maximum(sizes - 1, 0)
-        grad_moves = ((wanted - pair.sum(axis=1)) * weight[:, None, None]).sum(axis=0) - PENALTY * moves
+        scores = padded @ weights
+        unary = np.stack([np.zeros_like(scores), scores], axis=2)
+        # Lines by themselves at first. From their documents' labels alone, of which all lines take the same,
+        # a chain would only learn to stay.
+        hard = max(0.0, 1 - 1.5 * step / lines)
+        odds = np.array([hard * sign * FIRST_ODDS + (1 - hard) * soft for sign, soft in zip((-1, 1), ODDS)])
+        if step <= lines:
+            told = inside / (1 + np.exp(-scores - odds[given][:, None]))
+            gap = told - inside / (1 + np.exp(-scores))
+            grad_moves = np.zeros_like(moves)
+        else:
+            if targets is None:
+                # What lines and documents tell of each line; the chain is fitted to it, its moves included.
+                both = np.stack([inside - told, told], axis=2)
+                targets = told, np.einsum("cti,ctj->cij", both[:, :-1], both[:, 1:])
+            content, pairs = _marginals(unary, moves, inside)
+            gap = targets[0] - content
+            grad_moves = ((targets[1] - pairs) * weight[:, None, None]).sum(axis=0) - PENALTY * moves
+        grad_weights = np.einsum("ct,ctf->f", gap * weight[:, None], padded) - PENALTY * weights
         for values, grad, m, v in ((weights, grad_weights, first[0], second[0]), (moves, grad_moves, first[1], second[1])):
             m += 0.1 * (grad - m)
             v += 0.01 * (grad**2 - v)
