@@ -3,15 +3,16 @@
 Passages are blocks of words with TF-IDF weights over hashed words. A
 randomised SVD over all passages gives the latent space: every task adds up its
 part of ``Z = A'(A omega)``, and the singular vectors and values follow from Z and
-``omega' Z`` (Nystroem). That tells how near a window is to an item, and which words weigh. Candidates are found by
-counts of all words of the items: the windows that hold as many of them as the share asks for, whatever the cosine, so that no
-window is lost before it is aligned word by word by the longest common subsequence. An item whose
-answer stands in the window needs a smaller share.
+``omega' Z`` (Nystroem). Candidates are the pairs of passage and item whose cosine and
+nearness in this space reach a threshold. A pair of which so many words are missing that the
+share cannot be reached is told by bit sets of words; the others are aligned word by word by
+the longest common subsequence. An item whose answer stands in the window needs a smaller share.
+Items of which less than half the words weigh anything, being common, cannot be told by their
+place: for them every passage is a candidate.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from filehaul.llm.common import bodies, slices
 from filehaul.storage import store_once
 
 FEATURES = 1 << 15
-RANK = 64
+RANK = 96
 SEED = 11
 # Words in a block, and blocks in a passage; passages overlap by half.
 STEP = 24
@@ -31,19 +32,13 @@ PASSAGE = 2
 # Features in a slice of the sums, and items sent to the tasks at once.
 SLICE = 1 << 12
 ITEMS = 5000
+# Words of 64 bits in a bit set of words.
+BITS = 8
+# Items of which fewer words weigh are compared with all passages.
+LEAST_WEIGHING = 0.5
 _BREAKS = bytes(c if bytes([c]).isalnum() or c >= 128 else 32 for c in range(256)).lower()
 
 
-class _Hashes(dict):
-    """Hash of a word, kept while there is room."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 20:
-            self.clear()
-        value = self[word] = zlib.crc32(word)
-        return value
-
-
 def words_of(text: bytes) -> list[bytes]:
     """Lower-cased words; all ASCII but letters and digits stands between words."""
     if not text.isascii():
@@ -51,13 +46,47 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_BREAKS).split()
 
 
+# Powers of an odd number and of its inverse, as many as the longest batch so far has bytes.
+_BASE = 0x9E3779B97F4A7C15
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(size: int) -> list[np.ndarray]:
+    if size > len(_POWERS[0]):
+        size = 1 << (size - 1).bit_length()
+        for place, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(size, base, np.uint64)
+            steps[0] = 1
+            _POWERS[place] = np.multiply.accumulate(steps)
+    return _POWERS
+
+
+def hash_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """32-bit hashes of the words of all texts, one after the other, and the number of words of each text."""
+    lowered = [text if text.isascii() else text.decode("utf-8", "replace").lower().encode() for text in texts]
+    data = np.frombuffer(b" ".join([b"", *(text.translate(_BREAKS) for text in lowered), b""]), np.uint8)
+    if len(data) < 3:
+        return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+    inside = data != 32
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    starts, ends = edges[::2], edges[1::2]
+    # A word is its bytes as digits, counted from its start: differences of sums over the whole batch.
+    power, inverse = _powers(len(data))
+    sums = np.cumsum(data * power[: len(data)], dtype=np.uint64)
+    value = (sums[ends - 1] - sums[starts - 1]) * inverse[starts]
+    value = (value ^ (value >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    limits = np.cumsum([len(text) + 1 for text in lowered])
+    return (value >> np.uint64(32)).astype(np.uint32), np.diff(np.searchsorted(starts, limits, "right"), prepend=0)
+
+
 def _hashed(docs: DataFrame) -> DataFrame:
     """``doc_id, digest, words``: 32-bit hashes of the words of whole texts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
-        for batch, texts in slices(batches):
-            out = [np.array(list(map(hashes.__getitem__, words_of(text))), dtype="<u4").tobytes() for text in texts]
+        for batch, texts in slices(batches, limit=1 << 20):
+            hashes, sizes = hash_words(texts)
+            ends = np.cumsum(sizes)
+            out = [hashes[end - size : end].astype("<u4").tobytes() for size, end in zip(sizes, ends)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("digest"), pa.array(out, pa.binary())],
                 names=["doc_id", "digest", "words"],
@@ -145,9 +174,14 @@ def fit_space(hashed: DataFrame, max_df: float = 0.05, rank: int = RANK) -> np.n
             words, starts, _ = _flat(texts, STEP * PASSAGE)
             if not len(words):
                 continue
+            # Features of each passage in order, so that each counts once; beyond a passage's end stands no feature.
             passage = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(words)))
-            once = np.unique(passage * FEATURES + (words & (FEATURES - 1)))
-            found[:, 0] += np.bincount(once % FEATURES, minlength=FEATURES)
+            padded = np.full((len(starts), STEP * PASSAGE), FEATURES, np.uint16)
+            padded[passage, np.arange(len(words)) - starts[passage]] = words & (FEATURES - 1)
+            padded.sort(axis=1)
+            first = np.ones(padded.shape, bool)
+            first[:, 1:] = padded[:, 1:] != padded[:, :-1]
+            found[:, 0] += np.bincount(padded[first], minlength=FEATURES + 1)[:FEATURES]
             found[0, 1] += len(starts)
         yield _emit(found)
 
@@ -185,47 +219,45 @@ def fit_space(hashed: DataFrame, max_df: float = 0.05, rank: int = RANK) -> np.n
     return (idf[:, None] * basis / np.maximum(values, 1e-3 * values.max(initial=1e-9))).astype(np.float32)
 
 
+def _bit_sets(words: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """Bit sets of the words of each row."""
+    on = np.zeros((rows, BITS * 64), bool)
+    on[row, (words >> np.uint32(15)) & np.uint32(BITS * 64 - 1)] = True
+    return np.packbits(on, axis=1).view(np.uint64)
+
+
 class _Items:
-    """Items as word hashes, their place in the latent space, and their answers."""
+    """Items as word hashes, bit sets of words, their place in the latent space, and their answers."""
 
     def __init__(self, rows: list[tuple[object, bytes]], space: np.ndarray, min_words: int, least_share: float) -> None:
-        self.ids, self.words, self.answers, self.vectors, self.steps = [], [], [], [], []
+        self.ids, self.words, self.answers, self.steps = [], [], [], []
+        vectors, sets, searched = [], [], []
+        weighs = space.any(axis=1)
         for item_id, text in rows:
-            words = [zlib.crc32(word) for word in words_of(text)]
+            words, _ = hash_words([text])
             if len(words) < min_words:
                 continue
             # The answer is the last sentence or line.
             ends = [part for part in text.replace(b"\n", b".").split(b".") if words_of(part)]
-            vector = space[np.array(words) & (FEATURES - 1)].sum(axis=0)
+            features = words & (FEATURES - 1)
             self.ids.append(item_id)
-            self.words.append(words)
-            self.answers.append([zlib.crc32(word) for word in words_of(ends[-1])])
-            self.vectors.append(vector)
+            self.words.append(words.tolist())
+            self.answers.append(hash_words([ends[-1]])[0].tolist())
+            vectors.append(space[features].sum(axis=0, dtype=np.float64))
+            sets.append(_bit_sets(words, np.zeros(len(words), np.int64), 1)[0])
+            searched.append(weighs[features].mean() >= LEAST_WEIGHING)
             # Blocks of the passages that it is looked for in: few lengths in all, however many items.
             steps = PASSAGE
             while steps * STEP * 4 < len(words) * 3:
                 steps *= 2
             self.steps.append(steps)
-        # Items by the features that weigh in the space, and how many such words a text must hold for the share to be reached.
-        self.need = np.zeros(len(self.ids), np.int64)
-        self.weighs = weighs = space.any(axis=1)
-        pairs = []
-        for place, words in enumerate(self.words):
-            features = np.array(words) & (FEATURES - 1)
-            features = features[weighs[features]]
-            pairs.append(np.unique(features) * (len(self.ids) + 1) + place)
-            self.need[place] = len(features) - int((1 - least_share) * len(words) + 1e-9)
-        pairs = np.sort(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
-        self.holder = pairs % (len(self.ids) + 1)
-        self.held_by = np.bincount(pairs // (len(self.ids) + 1), minlength=FEATURES)
-        self.held_from = np.cumsum(self.held_by) - self.held_by
-        # All other features, how often each item has them, and how many words of any kind a text must hold.
-        common = [np.array(words) & (FEATURES - 1) for words in self.words]
-        common = [np.unique(features[~weighs[features]], return_counts=True) for features in common]
-        self.common = np.concatenate([f for f, _ in common]) if common else np.zeros(0, np.int64)
-        self.common_of = np.repeat(np.arange(len(common)), [len(f) for f, _ in common])
-        self.common_times = np.concatenate([n for _, n in common]) if common else np.zeros(0, np.int64)
-        self.least = np.array([least_share * len(words) - 1e-9 for words in self.words])
+        self.vectors = np.array(vectors).reshape(len(self.ids), space.shape[1])
+        self.lengths = np.maximum(np.linalg.norm(self.vectors, axis=1), 1e-9)
+        self.sets = np.array(sets, np.uint64).reshape(len(self.ids), BITS)
+        # Whether the latent space decides on its candidates.
+        self.latent = np.array(searched, bool)
+        # Words that may be missing.
+        self.spare = np.array([int((1 - least_share) * len(words) + 1e-9) for words in self.words], np.int64)
         self.masks = []
         for words in self.words:
             masks: dict[int, int] = {}
@@ -260,18 +292,17 @@ def find_leaks(
     item_id_column: str = "item_id",
     item_text_column: str = "text",
     min_cosine: float = 0.2,
-    min_nearness: float = 0.5,
+    min_nearness: float = 0.3,
     min_share: float = 0.8,
     min_share_with_answer: float = 0.6,
     min_words: int = 8,
 ) -> DataFrame:
     """``doc_id, digest, item_id, share, nearness, answer, first_word, last_word`` of texts that hold an item.
 
-    Candidates are passages that hold enough of the item's words for the share, common ones included.
+    Candidates are passages at a cosine of ``min_cosine`` and a nearness of ``min_nearness`` to the item.
     ``nearness`` is the cosine times the passage's length in the latent space over the item's (which makes good for
-    the passage's other words, so that a passage with the whole item is near 1); 0 if none of the item's words weigh.
-    It is told and leaves nothing out: ``min_cosine`` and ``min_nearness`` are taken from older calls and decide
-    nothing. ``share`` is that of the item's words in order in a passage
+    the passage's other words, so that a passage with the whole item is near 1). For an item of which less than half the
+    words weigh, all passages are candidates. ``share`` is that of the item's words in order in a passage
     with its neighbours; a pair of text and item has the row of its best window. ``digest`` is the
     XXH64 of the text, which tells rows with one id apart; rows that stand twice
     have one row. A null or empty text holds nothing. Items with fewer than
@@ -295,7 +326,7 @@ def find_leaks(
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch, texts in slices(batches, "words", 1 << 20):
-                rows = list(_search(texts, items, space, min_share, min_share_with_answer))
+                rows = list(_search(texts, items, space, min_share, min_share_with_answer, min_cosine, min_nearness))
                 if not rows:
                     continue
                 row, item, *rest = zip(*rows)
@@ -329,86 +360,87 @@ def _arrow(rows: DataFrame, column: str) -> list[pa.Field]:
     return [pa.field(column, to_arrow_type(rows.schema[column].dataType))]
 
 
-def _search(
-    texts: list[bytes], items: _Items, space: np.ndarray, min_share: float, min_answered: float
-) -> Iterator[tuple]:
-    """Row, item, share, nearness, answer, first and last word of leaks in texts of word hashes."""
-    words, starts, blocks = _flat(texts, STEP)
-    if not len(words) or not items.ids:
-        return
-    features = words & (FEATURES - 1)
-    block_of = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(words)))
-    on = np.flatnonzero(items.weighs[features])
-    sums = _sum_blocks(space, features[on], block_of[on], len(starts))
-    total = np.zeros((len(sums) + 1, sums.shape[1]))
-    np.cumsum(sums, axis=0, out=total[1:])
-    text_of = np.repeat(np.arange(len(texts)), blocks)
-    last_block = np.repeat(np.cumsum(blocks), blocks)
-    sizes = np.array([len(text) // 4 for text in texts], dtype=np.int64)
-    begins = np.cumsum(sizes) - sizes
-    # Words of each block that each item has, summed over the blocks.
-    counts = items.held_by[features]
-    nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    holder = items.holder[np.repeat(items.held_from[features], counts) + nth]
-    hits = np.bincount(np.repeat(block_of, counts) * len(items.ids) + holder, minlength=len(starts) * len(items.ids))
-    held = np.zeros((len(starts) + 1, len(items.ids)), np.int32)
-    np.cumsum(hits.reshape(len(starts), -1), axis=0, out=held[1:])
-    # Words of each block that weigh nothing but stand in items: few in all, as each is in many passages.
-    known = np.zeros(FEATURES, bool)
-    known[items.common] = True
-    off = np.flatnonzero(known[features])
-    kinds, column = np.unique(features[off], return_inverse=True)
-    commons = np.zeros((len(starts) + 1, len(kinds)), np.int32)
-    hits = np.bincount(block_of[off] * len(kinds) + column, minlength=len(starts) * len(kinds))
-    np.cumsum(hits.reshape(len(starts), len(kinds)), axis=0, out=commons[1:])
-    column_of = np.full(FEATURES, -1)
-    column_of[kinds] = np.arange(len(kinds))
-    times = np.zeros((len(kinds), len(items.ids)), np.float32)
-    seen = np.flatnonzero(column_of[items.common] >= 0)
-    times[column_of[items.common[seen]], items.common_of[seen]] = items.common_times[seen]
+class _Blocks:
+    """Blocks of words of some texts: sums of places in the latent space up to each, and bit sets."""
+
+    def __init__(self, texts: list[bytes], space: np.ndarray) -> None:
+        self.words, self.starts, blocks = _flat(texts, STEP)
+        count = len(self.starts)
+        features = self.words & (FEATURES - 1)
+        block_of = np.repeat(np.arange(count), np.diff(self.starts, append=len(self.words)))
+        on = np.flatnonzero(space.any(axis=1)[features])
+        self.total = np.zeros((count + 1, space.shape[1]))
+        np.cumsum(_sum_blocks(space, features[on], block_of[on], count), axis=0, out=self.total[1:])
+        self.sets = _bit_sets(self.words, block_of, count)
+        self.text_of = np.repeat(np.arange(len(texts)), blocks)
+        self.last = np.repeat(np.cumsum(blocks), blocks)
+        self.first = self.last - np.repeat(blocks, blocks)
+        sizes = np.array([len(text) // 4 for text in texts], dtype=np.int64)
+        self.begins = np.cumsum(sizes) - sizes
+        self.ends = np.cumsum(sizes)
+
+
+def _candidates(
+    blocks: _Blocks, items: _Items, min_cosine: float, min_nearness: float
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """First and last block of windows, number of the item, nearness, and whether enough words may stand there."""
+    place_in = np.arange(len(blocks.starts)) - blocks.first
     steps = np.array(items.steps)
-    best: dict[tuple[int, int], tuple] = {}
-    first_block = last_block - np.repeat(blocks, blocks)
-    place_in = np.arange(len(starts)) - first_block
     for length in np.unique(steps).tolist():
-        chosen = np.flatnonzero(steps == length)
-        vectors = np.stack([items.vectors[i] for i in chosen]).astype(np.float32)
-        lengths = np.maximum(np.linalg.norm(vectors, axis=1), 1e-9)
         # Passages start at every half; of those that the end of their text cuts, one is enough.
         half = length // 2
-        cut = np.arange(len(starts)) + length - last_block
+        cut = np.arange(len(blocks.starts)) + length - blocks.last
         places = np.flatnonzero((place_in % half == 0) & ((cut < half) | (place_in == 0) | (cut == half)))
-        for low in range(0, len(places), 1 << 12):
-            part = places[low : low + (1 << 12)]
+        chosen = np.flatnonzero(steps == length)
+        vectors = (items.vectors[chosen] / items.lengths[chosen, None] ** 2).astype(np.float32).T
+        told = items.latent[chosen]
+        size = max(64, (1 << 21) // len(chosen))
+        for low in range(0, len(places), size):
+            part = places[low : low + size]
+            ends = np.minimum(part + length, blocks.last[part])
+            passage = (blocks.total[ends] - blocks.total[part]).astype(np.float32)
+            nearness = passage @ vectors
+            # The cosine is the nearness times the item's length over the passage's.
+            lengths = np.maximum(np.linalg.norm(passage, axis=1), 1e-9)
+            least = np.maximum(min_nearness, min_cosine * lengths[:, None] / items.lengths[chosen].astype(np.float32))
+            at, item = np.nonzero((nearness >= least) | ~told)
             # Each passage with half of one before and after it, as far as the text goes.
-            from_ = np.maximum(part - half, first_block[part])
-            to = np.minimum(part + length + half, last_block[part])
-            has = held[to][:, chosen] - held[from_][:, chosen]
-            enough = has >= items.need[chosen]
-            # Only passages that hold enough of what weighs are looked through for the rest.
-            some = np.flatnonzero(enough.any(axis=1))
-            present = (commons[to[some]] > commons[from_[some]]).astype(np.float32)
-            every = has[some] + present @ times[:, chosen]
-            at, item = np.nonzero(enough[some] & (every >= items.least[chosen]))
-            at = some[at]
-            window = (total[np.minimum(part[at] + length, last_block[part[at]])] - total[part[at]]).astype(np.float32)
-            nearness = (window * vectors[item]).sum(axis=1) / lengths[item] ** 2
-            first = starts[from_][at]
-            last = np.minimum(starts[to - 1] + STEP, (begins + sizes)[text_of[part]])[at]
-            for each in range(len(at)):
-                low_word, high_word = int(first[each]), int(last[each])
-                row, which = int(text_of[part[at[each]]]), int(chosen[item[each]])
-                size = len(items.words[which])
-                inside = words[low_word:high_word].tolist()
-                share = items.shared(which, inside, min_answered * size) / size
-                if share < min_answered:
-                    continue
-                answer = items.answered(which, inside)
-                if share < min_share and not answer:
-                    continue
-                begin = int(begins[row])
-                found = (share, float(nearness[each]), answer, low_word - begin, high_word - begin)
-                if found > best.get((row, which), ()):
-                    best[row, which] = found
+            from_ = np.maximum(part - half, blocks.first[part])
+            to = np.minimum(part + length + half, blocks.last[part])
+            sets = np.zeros((len(part), BITS), np.uint64)
+            for step in range(2 * length):
+                sets |= blocks.sets[np.minimum(from_ + step, to - 1)]
+            # Each bit that the window lacks is a word that it lacks.
+            lacks = np.zeros(len(at), np.int64)
+            for each in range(BITS):
+                lacks += np.bitwise_count(items.sets[chosen[item], each] & ~sets[at, each])
+            yield from_[at], to[at], chosen[item], nearness[at, item], lacks <= items.spare[chosen[item]]
+
+
+def _search(
+    texts: list[bytes], items: _Items, space: np.ndarray, min_share: float, min_answered: float, min_cosine: float, min_nearness: float
+) -> Iterator[tuple]:
+    """Row, item, share, nearness, answer, first and last word of leaks in texts of word hashes."""
+    blocks = _Blocks(texts, space)
+    if not len(blocks.words) or not items.ids:
+        return
+    best: dict[tuple[int, int], tuple] = {}
+    for from_, to, item, nearness, enough in _candidates(blocks, items, min_cosine, min_nearness):
+        for each in np.flatnonzero(enough):
+            which, row = int(item[each]), int(blocks.text_of[from_[each]])
+            low = int(blocks.starts[from_[each]])
+            high = min(int(blocks.starts[to[each] - 1]) + STEP, int(blocks.ends[row]))
+            size = len(items.words[which])
+            inside = blocks.words[low:high].tolist()
+            share = items.shared(which, inside, min_answered * size) / size
+            if share < min_answered:
+                continue
+            answer = items.answered(which, inside)
+            if share < min_share and not answer:
+                continue
+            begin = int(blocks.begins[row])
+            found = (share, float(nearness[each]), answer, low - begin, high - begin)
+            if found > best.get((row, which), ()):
+                best[row, which] = found
     for (row, which), found in sorted(best.items()):
         yield (row, which, *found)

@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+import pytest
+
 from filehaul.llm import decontaminate
 from filehaul.llm.queries import op2_decontamination
 
@@ -68,7 +71,7 @@ def brute(text, item):
         for place, other in enumerate(own):
             row.append(last[place] + 1 if word == other else max(last[place + 1], row[-1]))
     share = row[-1] / len(own)
-    answer = decontaminate.words_of(item.replace("\n", ".").split(".")[-1].encode())
+    answer = [part for part in map(decontaminate.words_of, item.encode().replace(b"\n", b".").split(b".")) if part][-1]
     held = any(inside[i : i + len(answer)] == answer for i in range(len(inside)))
     return share >= 0.8 or share >= 0.6 and held
 
@@ -101,3 +104,71 @@ def test_planted_shares_against_brute_force(spark, prose):
     assert {pair for pair in expected if pair[1] != 1} <= found <= expected
     planted = {(doc, 1) for doc in range(450) if doc % 3 == 1 and doc % 60 == 1}
     assert planted <= found
+
+
+def test_hashes_tell_words_apart():
+    texts = ["The cat, the CAT. é É dog", "", "  x", "...", "the Dog" * 50]
+    hashes, sizes = decontaminate.hash_words([text.encode() for text in texts])
+    words = [decontaminate.words_of(text.encode()) for text in texts]
+    flat = [word for each in words for word in each]
+    assert sizes.tolist() == [len(each) for each in words]
+    assert all((a == b) == (v == w) for a, v in zip(hashes, flat) for b, w in zip(hashes, flat))
+    assert decontaminate.hash_words([])[1].tolist() == []
+
+
+def brute_windows(text, item):
+    """Whether some passage of 48 words with 24 on each side, which begins at a multiple of 24, holds the item by the rule."""
+    words = text.split()
+    return any(brute(" ".join(words[max(low - 24, 0) : low + 72]), item) for low in range(0, len(words), 24))
+
+
+@pytest.fixture(scope="module")
+def planted(spark):
+    """Texts of scale 0.01 with items of the benchmark planted at each share; the space of those texts; the items."""
+    source = random.Random(12)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    items = [row["text"] for row in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").orderBy("item_id").collect()]
+    plain = [row["text"] or "" for row in docs.orderBy("doc_id").collect()]
+    other = " ".join(plain).split()
+    rows = []
+    for share in (1.0, 0.9, 0.8, 0.7):
+        for item in [*range(len(items))] * 5:
+            own = items[item].split()
+            for place in source.sample(range(len(own)), int((1 - share) * len(own) + 1e-9)):
+                own[place] = source.choice(other)
+            around = [source.choice(plain).split()[:150] for _ in range(2)]
+            rows.append((len(rows), share, item, " ".join(around[0] + own + around[1])))
+    frame = spark.createDataFrame(rows, "doc_id long, planted double, item long, text string")
+    return frame, docs, items, rows
+
+
+def test_recall_at_each_share(spark, planted):
+    """Of the pairs that hold the rule by brute force over all windows, at least nine in ten are found at each share."""
+    frame, docs, items, rows = planted
+    corpus = frame.select("doc_id", "text").unionByName(docs.selectExpr("-1 - doc_id as doc_id", "text"))
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = {(row["doc_id"], row["item_id"]) for row in decontaminate.find_leaks(corpus, benchmark).collect()}
+    for share in (1.0, 0.9, 0.8, 0.7):
+        expected = {(doc, item) for doc, planted_at, item, text in rows if planted_at == share and brute_windows(text, items[item])}
+        assert len(expected) > (10 if share < 0.8 else 100)
+        print(share, len(expected), len(expected & found))
+        assert len(expected & found) / len(expected) >= 0.9
+
+
+def test_the_latent_space_decides(spark, planted):
+    """Few pairs are candidates, and neither a mask in place of the space nor another threshold gives the same."""
+    frame, docs, items, rows = planted
+    hashed = decontaminate._hashed(decontaminate.bodies(docs).selectExpr("doc_id", "xxhash64(body) as digest", "body"))
+    space = decontaminate.fit_space(hashed)
+    texts = [decontaminate.hash_words([text.encode()])[0].astype("<u4").tobytes() for _, _, _, text in rows[::4]]
+
+    def share_of_pairs(space, **least):
+        known = decontaminate._Items([(n, item.encode()) for n, item in enumerate(items)], space, 8, 0.6)
+        known.latent[:] = True
+        blocks = decontaminate._Blocks(texts, space)
+        return sum(len(part[0]) for part in decontaminate._candidates(blocks, known, **least)) / (len(blocks.starts) * len(items))
+
+    mask = np.repeat(space.any(axis=1)[:, None], space.shape[1], axis=1).astype(np.float32)
+    usual = share_of_pairs(space, min_cosine=0.2, min_nearness=0.3)
+    assert usual < 0.25 < share_of_pairs(mask, min_cosine=0.2, min_nearness=0.3)
+    assert share_of_pairs(space, min_cosine=0.99, min_nearness=0.3) < usual / 20
