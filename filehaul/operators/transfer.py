@@ -40,6 +40,12 @@ RESULT_SCHEMA = StructType(
     ]
 )
 _COPY_BYTES = 4 << 20
+# Object stores copy at most this much under a new name in one request.
+_ONE_COPY_BYTES = 5 << 30
+# Of written objects, by layout. An encrypted payload is no OpenPGP message, so it does not claim to be one.
+CONTENT_TYPES = {
+    "block": "application/vnd.filehaul.encrypted", "zip": "application/zip", "plain": "application/octet-stream",
+}
 
 
 def encrypt_chunks(chunks: DataFrame) -> DataFrame:
@@ -93,18 +99,23 @@ def run_folder(run_id: str) -> str:
 
 
 class _Target:
-    """An object under construction; ``unfinished`` is its URI until it is complete."""
+    """An object under construction; ``unfinished`` is its URI until it is complete.
 
-    def __init__(self, uri: str, unfinished: str, opened: dict, made_dirs: set):
+    Closing a stream may publish what it holds, complete or not, so the final name is
+    never opened: a write that fails leaves an older object of that name as it was.
+    """
+
+    def __init__(self, uri: str, unfinished: str, opened: dict, made_dirs: set, content_type: str | None = None):
         self.filesystem, self.path = open_filesystem(uri, opened)
-        self.open_path = self.path
+        self.open_path = open_filesystem(unfinished, opened)[1]
+        # Names in object stores need no folders.
         if self.filesystem.type_name not in ATOMIC_STORES:
-            self.open_path = open_filesystem(unfinished, opened)[1]
             for folder in {posixpath.dirname(self.path), posixpath.dirname(self.open_path)}:
                 if folder not in made_dirs:
                     self.filesystem.create_dir(folder, recursive=True)
                     made_dirs.add(folder)
-        self.stream = self.filesystem.open_output_stream(self.open_path)
+        self.metadata = {"Content-Type": content_type} if content_type else None
+        self.stream = self.filesystem.open_output_stream(self.open_path, metadata=self.metadata)
         self.size = 0
 
     def write(self, data) -> None:
@@ -113,7 +124,8 @@ class _Target:
 
     def publish(self) -> None:
         self.stream.close()
-        if self.open_path == self.path:
+        if self.filesystem.type_name in ATOMIC_STORES and self.size > _ONE_COPY_BYTES:
+            self._copy_in_parts()
             return
         try:
             self.filesystem.move(self.open_path, self.path)
@@ -121,8 +133,27 @@ class _Target:
             # Some filesystems do not rename over an existing file.
             if not self.filesystem.get_file_info(self.path).is_file:
                 raise
-            self.filesystem.delete_file(self.path)
+            self._replace()
+
+    def _replace(self) -> None:
+        """Put the older object aside, and back if the new one cannot take its name."""
+        aside = f"{self.open_path}.old"
+        self.filesystem.move(self.path, aside)
+        try:
             self.filesystem.move(self.open_path, self.path)
+        except OSError:
+            self.filesystem.move(aside, self.path)
+            raise
+        self.filesystem.delete_file(aside)
+
+    def _copy_in_parts(self) -> None:
+        with (
+            self.filesystem.open_input_file(self.open_path) as source,
+            self.filesystem.open_output_stream(self.path, metadata=self.metadata) as target,
+        ):
+            while data := source.read_buffer(_COPY_BYTES):
+                target.write(data)
+        self.filesystem.delete_file(self.open_path)
 
     def discard(self) -> None:
         try:
@@ -242,6 +273,8 @@ class _Segment:
             f"{self.job.target}/{self.scratch}",
             self.job.opened,
             self.job.made_dirs,
+            # Parts are read by the join only.
+            CONTENT_TYPES.get(self.job.layout) if self.whole else None,
         )
         item = self.item
         if self.job.layout == "zip" and self.whole:
@@ -430,7 +463,7 @@ def _join(
 
 def _join_file(item, segments, target, scratch, layout, opened, made_dirs) -> list[int]:
     unfinished = f"{target}/{scratch}/joined"
-    output = _Target(f"{target}/{item['targetName']}", unfinished, opened, made_dirs)
+    output = _Target(f"{target}/{item['targetName']}", unfinished, opened, made_dirs, CONTENT_TYPES.get(layout))
     zipped = layout == "zip"
     entry = (item["fileName"], item["modificationTime"], framing.needs_zip64(item["fileSize"]))
     try:

@@ -9,9 +9,10 @@ import uuid
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
-# Stores that show an object only once it is complete, so that a temporary
-# name and a rename (a copy there) are not needed.
+# Stores without folders, which show an object only when its stream is closed.
 ATOMIC_STORES = ("gcs", "s3", "abfs")
+# Scheme names of Hadoop's clients, and Arrow's names of the same stores.
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 
 def new_shared_dir(spark: SparkSession, purpose: str) -> str:
@@ -74,6 +75,7 @@ def open_filesystem(uri: str, opened: dict | None = None) -> tuple[pafs.FileSyst
         return pafs.LocalFileSystem(), re.sub("/{2,}", "/", local.group(1))
     scheme, host, path = re.match(r"(?s)^([^:/]+)://([^/]*)(.*)$", uri).groups()
     opened = {} if opened is None else opened
+    scheme = ARROW_SCHEMES.get(scheme, scheme)
     if (scheme, host) not in opened:
         opened[scheme, host] = pafs.FileSystem.from_uri(f"{scheme}://{host}/")
     filesystem, base = opened[scheme, host]
