@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from filehaul.llm import near_copies
@@ -82,3 +83,36 @@ def test_odd_rows(spark, odd, empty):
     assert near_copies.keep_first(empty).count() == 0
     clashing = odd.selectExpr("*", "1 as chosen", "2 as chosen_id", "3 as chosen_digest", "4 as Chosen_")
     assert near_copies.keep_first(clashing).columns == clashing.columns
+
+
+def test_sketches_against_sets():
+    """Whole sets are told apart exactly; of cut ones none that are alike is lost."""
+    rng = np.random.default_rng(3)
+    draw = lambda n: np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+    pairs = []
+    for size in (1, 5, 40, 500, 511, 512, 513, 3000):
+        for share in (0.0, 0.5, 0.75, 0.8, 0.85, 0.95, 1.0):
+            one = draw(size)
+            pairs.append((one, np.unique(np.concatenate([one[rng.random(len(one)) < share], draw(max(1, int(size * (1 - share))))]))))
+    sketches = near_copies.Lowest([b[: near_copies.LOWEST] for _, b in pairs])
+    for row, (a, b) in enumerate(pairs):
+        common = len(np.intersect1d(a, b))
+        alike = common >= 0.8 * (len(a) + len(b) - common)
+        told = bool(sketches.may_be_alike(a[: near_copies.LOWEST], np.array([row]), 0.8)[0])
+        assert told if alike else not (told and max(len(a), len(b)) < near_copies.LOWEST), (len(a), len(b), common)
+
+
+def test_blocks_of_a_band(spark, monkeypatch):
+    """One band with many texts of which none is a copy of a hub's, in blocks of a few; every link between them is found."""
+    monkeypatch.setattr(near_copies, "BLOCK", 3)
+    monkeypatch.setattr(near_copies, "PAIRS", 4)
+    rng = random.Random(31)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for group in range(12):
+        words = list(base)
+        for _ in range(7):
+            words[rng.randrange(len(words))] = f"g{group}x{rng.randrange(10**6)}"
+        texts += [" ".join(words), near(" ".join(words), 0.85, rng)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in near_copies.keep_first(rows).collect()) == plain(texts)
