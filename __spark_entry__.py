@@ -25,6 +25,7 @@ from filehaul.functions.anonymize import anonymize
 from filehaul.functions.crypto import generate_key_pair
 from filehaul.functions.fields import compress_fields, decompress_fields
 from filehaul.operators import digests, ordering, packing, transfer
+from filehaul.options import DEFAULT_GROUP_FILES
 from filehaul.plans.export import ENCRYPTED_TYPE, ExportResult, export_files
 from filehaul.plans.restore import checksum_content, checksum_files, import_files, verify_files
 from filehaul.sources import listing, splits
@@ -216,7 +217,7 @@ def split_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def split_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = _manifest(spark, sf_dir).select("fullPath", "fileSize")
-    return ordering.by_bytes(packing.split_totals(packing.pack_files(files)))
+    return ordering.by_bytes(packing.split_totals(packing.pack_files(files, group_files=GROUP_FILES)))
 
 
 def pack_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -577,35 +578,52 @@ _FILES = """
 
 # The greedy packing, one file per step: the open split with the fewest bytes,
 # and the lowest number among equals, takes the next biggest file.
-_SPLIT_TOTALS = f"""
-    WITH RECURSIVE files AS MATERIALIZED (
-        SELECT fileSize, row_number() OVER (ORDER BY fileSize DESC, fullPath) AS place
-        FROM ({_FILES})
+# Splits of 128 files; a group holds so many files' worth of splits.
+SPLIT_FILES, GROUP_FILES = 128, 256
+
+
+def _split_totals_sql(group_files: int) -> str:
+    """The packing rule: ranks dealt to groups forward and back, then in each group the emptiest split with room."""
+    return f"""
+    WITH RECURSIVE shape AS (
+        SELECT total, greatest(1, (total + {group_files // SPLIT_FILES} - 1) // {group_files // SPLIT_FILES}) AS groups
+        FROM (SELECT (count(*) + {SPLIT_FILES - 1}) // {SPLIT_FILES} AS total FROM ({_FILES}))
+    ),
+    ranked AS (
+        SELECT fileSize, fullPath, row_number() OVER (ORDER BY fileSize DESC, fullPath) - 1 AS rank FROM ({_FILES})
+    ),
+    files AS MATERIALIZED (
+        SELECT fileSize, grp, row_number() OVER (PARTITION BY grp ORDER BY fileSize DESC, fullPath) AS place
+        FROM (SELECT fileSize, fullPath,
+                     CASE WHEN (rank // total) % 2 = 0 THEN rank % total ELSE total - 1 - rank % total END % groups AS grp
+              FROM ranked, shape)
     ),
     packing AS (
-        SELECT CAST(0 AS BIGINT) AS place,
-               list_transform(range((SELECT (count(*) + 127) // 128 FROM files)),
+        SELECT grp, CAST(0 AS BIGINT) AS place,
+               list_transform(range((total - grp + groups - 1) // groups),
                               lambda number: {{'used': CAST(0 AS BIGINT), 'held': CAST(0 AS BIGINT),
                                           'number': number}}) AS splits
+        FROM shape, unnest(range(groups)) AS numbers(grp)
         UNION ALL
-        SELECT files.place,
+        SELECT files.grp, files.place,
                list_transform(
                    splits,
                    lambda s: CASE WHEN s.number = chosen
                              THEN {{'used': s.used + fileSize, 'held': s.held + 1,
                                     'number': s.number}}
                              ELSE s END)
-        FROM (SELECT place, splits,
-                     list_min(list_transform(list_filter(splits, lambda s: s.held < 128),
+        FROM (SELECT grp, place, splits,
+                     list_min(list_transform(list_filter(splits, lambda s: s.held < {SPLIT_FILES}),
                               lambda s: {{'used': s.used, 'number': s.number}})).number AS chosen
               FROM packing) AS step
-        JOIN files ON files.place = step.place + 1
+        JOIN files ON files.grp = step.grp AND files.place = step.place + 1
     )
-    SELECT s.number AS split_id, s.held AS files, s.used AS total_bytes
-    FROM (SELECT unnest(splits) AS s FROM packing
-          WHERE place = (SELECT count(*) FROM files))
+    SELECT s.number * groups + grp AS split_id, s.held AS files, s.used AS total_bytes
+    FROM (SELECT grp, unnest(splits) AS s FROM packing
+          JOIN (SELECT grp, max(place) AS place FROM packing GROUP BY grp) USING (grp, place)), shape
 """
 
+
 _OUT = "'out/2015-01-01-20-42/' || relativePath"
 
 
@@ -660,7 +678,7 @@ def oracle_sql() -> dict[str, str]:
         "split_count": """
             SELECT count(*) AS files, CAST(ceil(count(*) / 128.0) AS BIGINT) AS splits
             FROM documents""",
-        "split_totals": _SPLIT_TOTALS,
+        "split_totals": _split_totals_sql(GROUP_FILES),
         "pack_invariants": f"""
             SELECT count(*) AS files, CAST(sum(fileSize) AS BIGINT) AS bytes,
                    CAST(ceil(count(*) / 16.0) AS BIGINT) AS splits, true AS fits, true AS balanced FROM ({_FILES})""",
@@ -724,7 +742,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_batches": """
             SELECT CAST(4 AS BIGINT) AS batches, count(*) AS input_rows, count(*) FILTER (event_id % 10 NOT IN (3, 7)) AS accepted,
                    count(*) FILTER (event_id % 10 IN (3, 7)) AS rejected, true AS fits, true AS timed FROM events""",
-        "source_partitions": f"SELECT split_id, files, total_bytes, CAST(1 AS BIGINT) AS partitions FROM ({_SPLIT_TOTALS})",
+        "source_partitions": f"SELECT split_id, files, total_bytes, CAST(1 AS BIGINT) AS partitions FROM ({_split_totals_sql(DEFAULT_GROUP_FILES)})",
         "source_filters": f"SELECT fullPath, fileSize FROM ({_FILES}) WHERE lang = 'en' AND fileSize >= 2000",
         "flat_directory": f"SELECT fileName AS relativePath, fileSize FROM ({_FILES})",
         "segmented_checksums": f"""

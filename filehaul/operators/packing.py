@@ -52,7 +52,9 @@ def pack_files(
 ) -> DataFrame:
     """Add ``split_id``: at most ``max_split_size`` files per split, bytes spread evenly.
 
-    Splits form groups of at most ``group_files`` files, packed in parallel.
+    One rule for every size: splits form groups of at most ``group_files`` files,
+    packed in parallel; few files are one group. While no split is full, the
+    heaviest is at most the mean of its group and one file.
     Ranks by size are dealt to the groups in turn, forward and back, so every
     group holds the same mix of sizes. Within a group the biggest file comes
     first and goes to the split with the fewest bytes that has room. A split
@@ -71,6 +73,7 @@ def pack_files(
     total = max(n_splits(n_files, cap), splits or 0)
     groups = max(1, -(-total // max(1, group_files // cap)))
     if groups == 1:
+        # All ranks are dealt to the only group.
         keyed = files.withColumn("_group", F.lit(0))
     else:
         turn, place = F.floor(F.col("rank") / total), F.col("rank") % total

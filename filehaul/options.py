@@ -23,7 +23,7 @@ DEFAULT_SEGMENT_BYTES = 1 << 30
 # Leaves of the checksum trees.
 DEFAULT_BLOCK_BYTES = 4 << 20
 # Files whose splits one task packs. Every group is packed by the same greedy rule; files are dealt to groups by rank.
-DEFAULT_GROUP_FILES = 65_536
+DEFAULT_GROUP_FILES = 1_024
 # Entries of a local directory that one task looks at; a bigger directory is looked at by several.
 DEFAULT_PAGE_ENTRIES = 10_000
 # Tasks of a job; with more splits than this a task takes several.

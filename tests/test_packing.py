@@ -43,6 +43,35 @@ def test_one_group_is_plain_greedy(spark, case):
     assert {row["fullPath"]: row["split_id"] for row in packed.collect()} == greedy(sizes, cap)
 
 
+def dealt(sizes, cap, group_files):
+    """The rule at every size: ranks dealt to groups forward and back, each group packed by itself."""
+    files = sorted(((size, f"/f{number:05d}") for number, size in enumerate(sizes)), key=lambda file: (-file[0], file[1]))
+    total = -(-len(sizes) // cap)
+    groups = max(1, -(-total // max(1, group_files // cap)))
+    parts = [[] for _ in range(groups)]
+    for rank, file in enumerate(files):
+        turn, place = divmod(rank, total)
+        parts[(place if turn % 2 == 0 else total - 1 - place) % groups].append(file)
+    chosen = {}
+    for group, part in enumerate(parts):
+        splits = [[0, 0, number] for number in range(group, total, groups)]
+        for size, path in part:
+            split = min((s for s in splits if s[1] < cap), key=lambda s: (s[0], s[2]))
+            split[0] += size
+            split[1] += 1
+            chosen[path] = split[2]
+    return chosen
+
+
+@pytest.mark.parametrize("count, cap, group", [(1003, 16, 64), (1024, 128, 1024), (1025, 128, 1024), (3000, 128, None), (100, 7, 7)])
+def test_one_rule_at_every_size(spark, count, cap, group):
+    rng = random.Random(count)
+    sizes = [rng.choice([0, rng.randrange(10), rng.randrange(1000)]) for _ in range(count)]
+    packed = packing.pack_files(table(spark, sizes), cap, **({"group_files": group} if group else {}))
+    expected = dealt(sizes, cap, group or packing.DEFAULT_GROUP_FILES)
+    assert {row["fullPath"]: row["split_id"] for row in packed.collect()} == expected
+
+
 @pytest.mark.parametrize("sizes, cap, group", [
     ([random.Random(2).randrange(1000) for _ in range(1003)], 16, 64),
     ([1] * 500, 8, 32),
