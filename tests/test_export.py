@@ -6,7 +6,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from filehaul.operators import transfer
+from filehaul.operators import packing, transfer
 from filehaul.options import ExportOptions
 from filehaul.plans.export import (
     _planned_segments,
@@ -295,3 +295,17 @@ def test_intermediate_tables_go(spark, make_tree, tmp_path, monkeypatch):
     monkeypatch.setattr(storage, "new_shared_dir", new_shared_dir)
     export_files(files, str(tmp_path / "target"), segment_bytes=2000)
     assert made and not any(map(os.path.exists, made))
+
+
+def test_cut_files_share_join_tasks(spark, make_tree, tmp_path, monkeypatch):
+    """Many small files of several segments are joined by some tasks, not by one for each file."""
+    content = {f"{number % 3}/{number}": bytes([number]) * (15 + number) for number in range(60)}
+    source, target = make_tree(content), str(tmp_path / "target")
+    tasks, placed = [], packing.one_task_per_split
+    monkeypatch.setattr(packing, "one_task_per_split", lambda packed, splits, *rest: tasks.append(min(splits, *rest or [splits])) or placed(packed, splits, *rest))
+    result = export_tree(spark, f"{source}/", target, segment_bytes=10, compression="ZIP")
+    assert len(tasks) == 2 and max(tasks) <= 4 * spark.sparkContext.defaultParallelism
+    assert result.metrics["parts"] > 120
+    for name, data in content.items():
+        with zipfile.ZipFile(f"{target}/{name}.zip") as archive:
+            assert archive.read(archive.namelist()[0]) == data

@@ -43,6 +43,19 @@ def test_one_group_is_plain_greedy(spark, case):
     assert {row["fullPath"]: row["split_id"] for row in packed.collect()} == greedy(sizes, cap)
 
 
+def test_small_splits_share_tasks(spark):
+    """Tasks grow with files and bytes, not with splits of a few small files."""
+    cores = spark.sparkContext.defaultParallelism
+    assert packing.job_tasks(spark, 3, 300, 10) == 3
+    assert packing.job_tasks(spark, 24_000, 3_072_000, 6 << 30) == 375
+    assert packing.job_tasks(spark, 400, 51_200, 100 << 20) == 4 * cores
+    assert packing.job_tasks(spark, 4000, 4000, 1000 << 30) == 4000
+    assert packing.job_tasks(spark, 400, 51_200, 100 << 20, max_tasks=5) == 5
+    placed = packing.balanced_tasks(table(spark, [1] * 300), max_split_size=1)
+    assert placed.rdd.getNumPartitions() == 4 * cores
+    assert placed.select("split_id").distinct().count() == 300
+
+
 def dealt(sizes, cap, group_files):
     """The rule at every size: ranks dealt to groups forward and back, each group packed by itself."""
     files = sorted(((size, f"/f{number:05d}") for number, size in enumerate(sizes)), key=lambda file: (-file[0], file[1]))
