@@ -42,10 +42,9 @@ def block_digests(
     block = check_bytes("block_bytes", block_bytes, DEFAULT_BLOCK_BYTES)
     segment = -(-check_bytes("segment_bytes", segment_bytes, DEFAULT_SEGMENT_BYTES) // block) * block
     segments = chunks.to_segments(chunks.with_source_uri(files), segment).withColumn("_size", chunks.segment_size(segment))
-    count, total = segments.agg(F.count("*"), F.coalesce(F.sum("_size"), F.lit(0))).first()
-    splits = packing.job_splits(count, total, task_bytes=task_bytes)
-    packed = packing.pack_files(segments, size="_size", n_files=count, splits=splits)
-    placed = packing.one_task_per_split(packed, splits).select(*FILE_COLUMNS, "sourceURI", "offset", "length")
+    placed = packing.balanced_tasks(segments, "_size", task_bytes=task_bytes).select(
+        *FILE_COLUMNS, "sourceURI", "offset", "length"
+    )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened: dict = {}
