@@ -71,9 +71,10 @@ def plan_splits(
     """
     spark = files.sparkSession
     path = qualified(spark, path) if path else new_shared_dir(spark, "splits")
+    # Nothing is read here but the records, so bytes ask for no tasks.
     n_files = files.count()
     splits = packing.n_splits(n_files, check_max_split_size(max_split_size))
-    tasks = max(1, min(splits, check_bytes("max_tasks", max_tasks, DEFAULT_MAX_TASKS)))
+    tasks = packing.job_tasks(spark, splits, n_files, 0, check_bytes("max_tasks", max_tasks, DEFAULT_MAX_TASKS))
     if "sourceURI" not in files.columns:
         files = files.withColumn("sourceURI", F.lit(None).cast("string"))
     records = files.select(*RECORD_COLUMNS, "fileSize", "modificationTime", "sourceURI")

@@ -82,3 +82,10 @@ def test_real_tree_and_odd_plans(spark, make_tree, files):
     assert table.count() == 3 and table.where(F.col("modificationTime") > F.lit(datetime(2000, 1, 1, tzinfo=timezone.utc))).count() == 0
     with pytest.raises(Exception, match="split plan"):
         spark.read.format("filehaul").load().count()
+
+
+def test_small_splits_share_tasks(spark, files):
+    table = splits.read_splits(spark, splits.plan_splits(files, max_split_size=5))
+    assert table.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+    placed = table.select("split_id", F.spark_partition_id().alias("part")).distinct()
+    assert placed.count() == placed.select("split_id").distinct().count() == 100 and table.count() == 500
