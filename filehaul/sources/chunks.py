@@ -25,6 +25,7 @@ from pyspark.sql.types import (
 )
 
 from filehaul.functions import crypto, framing, paths
+from filehaul.operators import packing
 from filehaul.options import DEFAULT_CHUNK_BYTES, DEFAULT_SEGMENT_BYTES
 from filehaul.storage import open_filesystem
 
@@ -90,6 +91,28 @@ def read_segments(segments: DataFrame, chunk_bytes: int = DEFAULT_CHUNK_BYTES) -
     return segments.mapInArrow(partial(segment_chunks, chunk_bytes=chunk_bytes), schema)
 
 
+def read_contents(files: DataFrame) -> DataFrame:
+    """Listed files with their whole ``content`` in one row, for files that fit into memory, read in balanced tasks."""
+    names, schema = files.columns, StructType([*files.schema.fields, StructField("content", BinaryType())])
+    placed = packing.balanced_tasks(with_source_uri(files)).drop("split_id")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened: dict = {}
+        for batch in batches:
+            start, held, size = 0, [], 0
+            for place, uri in enumerate(batch.column("sourceURI").to_pylist(), 1):
+                filesystem, path = open_filesystem(uri, opened)
+                with filesystem.open_input_file(path) as source:
+                    held.append(source.read())
+                size += len(held[-1])
+                if place == batch.num_rows or len(held) == _BATCH_ROWS or size >= _BATCH_BYTES:
+                    rows = batch.slice(start, len(held)).select(names)
+                    yield rows.append_column("content", pa.array(held, pa.binary()))
+                    start, held, size = place, [], 0
+
+    return placed.mapInArrow(read, schema)
+
+
 def segment_chunks(
     batches: Iterator[pa.RecordBatch],
     chunk_bytes: int,

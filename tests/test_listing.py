@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from filehaul.sources import listing
+from filehaul.sources import chunks, listing
 
 TREE = {
     "a.txt": b"a",
@@ -135,3 +135,18 @@ def test_kinds_of_entries(spark, make_tree):
     described = listing.describe_files(entries)
     assert [row["fileName"] for row in described.where("isDir").collect()] == ["sub"]
     assert "sub" not in [row["fileName"] for row in listing.drop_directories(described).collect()]
+
+
+def test_small_pages_share_tasks(spark, make_tree):
+    root = make_tree({f"{number:03d}": b"x" for number in range(300)})
+    entries = listing.scan_tree(spark, f"{root}/", page_entries=1)
+    assert entries.count() == 300
+    parts = {name.rsplit("/", 1)[1][:10] for name in entries.inputFiles() if "round=1" in name}
+    assert 1 < len(parts) <= 5
+
+
+def test_contents_of_listed_files(spark, make_tree):
+    content = {f"{number % 4}/{number}": bytes([number]) * (number * 9) for number in range(140)} | {"big": b"b" * (17 << 20)}
+    files = listing.list_files(spark, f"{make_tree(content)}/")
+    read = chunks.read_contents(files.select("relativePath", "fullPath", "fileSize", "sourceURI"))
+    assert {row.relativePath: bytes(row.content) for row in read.collect()} == content
