@@ -29,7 +29,7 @@ from filehaul.options import DEFAULT_GROUP_FILES
 from filehaul.plans.export import ENCRYPTED_TYPE, ExportResult, export_files
 from filehaul.plans.restore import checksum_content, checksum_files, import_files, verify_files
 from filehaul.sources import listing, splits
-from filehaul.sources.chunks import read_files
+from filehaul.sources.chunks import read_contents, read_files
 from filehaul.sources.records import text_records
 from filehaul.storage import new_shared_dir
 from filehaul.streaming.batches import BatchStore, ingest_batches
@@ -422,10 +422,13 @@ def segmented_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _objects(spark: SparkSession, target: str, ending: str) -> DataFrame:
     """Stored objects: name of the file they come from, and their bytes."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    found = found.option("pathGlobFilter", f"*{ending}").load(target)
-    name = F.regexp_extract("path", f"([^/]+){re.escape(ending)}$", 1)
-    return found.select(name.alias("fileName"), "content")
+    # Listed by tasks: Spark's file source would hold every object's status on the driver.
+    found = _list(spark, [f"{target}/"])
+    # As Spark's readers do, without what belongs to the store itself.
+    hidden = F.col("relativePath").rlike("(^|/)[_.]")
+    found = found.where(F.endswith("fileName", F.lit(ending)) & ~hidden).select("fileName", "fullPath", "fileSize", "sourceURI")
+    name = F.regexp_extract("fileName", f"(?s)^(.+){re.escape(ending)}$", 1)
+    return read_contents(found).select(name.alias("fileName"), "content")
 
 
 def zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
