@@ -217,7 +217,7 @@ def split_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def split_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = _manifest(spark, sf_dir).select("fullPath", "fileSize")
-    return ordering.by_bytes(packing.split_totals(packing.pack_files(files, group_files=GROUP_FILES)))
+    return ordering.by_bytes(packing.split_totals(packing.pack_files(files, group_files=None)))
 
 
 def pack_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -581,8 +581,37 @@ _FILES = """
 
 # The greedy packing, one file per step: the open split with the fewest bytes,
 # and the lowest number among equals, takes the next biggest file.
-# Splits of 128 files; a group holds so many files' worth of splits.
-SPLIT_FILES, GROUP_FILES = 128, 256
+_SPLIT_TOTALS = f"""
+    WITH RECURSIVE files AS MATERIALIZED (
+        SELECT fileSize, row_number() OVER (ORDER BY fileSize DESC, fullPath) AS place
+        FROM ({_FILES})
+    ),
+    packing AS (
+        SELECT CAST(0 AS BIGINT) AS place,
+               list_transform(range((SELECT (count(*) + 127) // 128 FROM files)),
+                              lambda number: {{'used': CAST(0 AS BIGINT), 'held': CAST(0 AS BIGINT),
+                                          'number': number}}) AS splits
+        UNION ALL
+        SELECT files.place,
+               list_transform(
+                   splits,
+                   lambda s: CASE WHEN s.number = chosen
+                             THEN {{'used': s.used + fileSize, 'held': s.held + 1,
+                                    'number': s.number}}
+                             ELSE s END)
+        FROM (SELECT place, splits,
+                     list_min(list_transform(list_filter(splits, lambda s: s.held < 128),
+                              lambda s: {{'used': s.used, 'number': s.number}})).number AS chosen
+              FROM packing) AS step
+        JOIN files ON files.place = step.place + 1
+    )
+    SELECT s.number AS split_id, s.held AS files, s.used AS total_bytes
+    FROM (SELECT unnest(splits) AS s FROM packing
+          WHERE place = (SELECT count(*) FROM files))
+"""
+
+# Splits of 128 files.
+SPLIT_FILES = 128
 
 
 def _split_totals_sql(group_files: int) -> str:
@@ -681,7 +710,7 @@ def oracle_sql() -> dict[str, str]:
         "split_count": """
             SELECT count(*) AS files, CAST(ceil(count(*) / 128.0) AS BIGINT) AS splits
             FROM documents""",
-        "split_totals": _split_totals_sql(GROUP_FILES),
+        "split_totals": _SPLIT_TOTALS,
         "pack_invariants": f"""
             SELECT count(*) AS files, CAST(sum(fileSize) AS BIGINT) AS bytes,
                    CAST(ceil(count(*) / 16.0) AS BIGINT) AS splits, true AS fits, true AS balanced FROM ({_FILES})""",

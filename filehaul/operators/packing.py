@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,8 @@ from filehaul.options import (
 _TIE_COLUMNS = ("fullPath", "relativePath", "seg_no")
 # Tasks for each core that a job has at least, where there are so many splits.
 _WAVES = 4
+# Ranks whose choices are one row where all files are packed as one group.
+_BLOCK_RANKS = 4096
 
 
 def n_splits(n_files: int, max_split_size: int | None = None) -> int:
@@ -68,7 +71,7 @@ def pack_files(
     max_split_size: int | None = None,
     size: str = "fileSize",
     ties: tuple[str, ...] | None = None,
-    group_files: int = DEFAULT_GROUP_FILES,
+    group_files: int | None = DEFAULT_GROUP_FILES,
     n_files: int | None = None,
     splits: int | None = None,
 ) -> DataFrame:
@@ -85,6 +88,10 @@ def pack_files(
     Give ``n_files`` when it is known, to save the count, and ``splits`` for
     more splits than the cap asks for.
 
+    With ``group_files`` None all files are one group however many they are.
+    The choices then follow one another by the rule, so one task makes them, but
+    it sees numbers of files by size only; see :func:`_in_one_order`.
+
     ``ties`` orders files of equal size. It must leave no two different rows
     equal, or a repeated task could deal them differently.
     """
@@ -93,6 +100,8 @@ def pack_files(
         ties = tuple(name for name in _TIE_COLUMNS if name in files.columns)
     n_files = files.count() if n_files is None else n_files
     total = max(n_splits(n_files, cap), splits or 0)
+    if group_files is None:
+        return _in_one_order(files, size, ties, cap, total)
     groups = max(1, -(-total // max(1, group_files // cap)))
     if groups == 1:
         # All ranks are dealt to the only group.
@@ -129,6 +138,49 @@ def pack_files(
     return keyed.groupBy("_group").applyInArrow(pack_group, output)
 
 
+def _in_one_order(files: DataFrame, size: str, ties: tuple[str, ...], cap: int, total: int) -> DataFrame:
+    """Greedy packing of all files as one group.
+
+    A choice depends on the sizes before it alone. One task goes through the
+    sizes with their numbers of files, biggest first, and holds a heap of the open
+    splits; it gives the choices in blocks by rank, to which the ranked files are
+    joined. No file's record is in it.
+    """
+    sizes = files.groupBy(F.col(size).alias("_size")).agg(F.count("*").alias("_files"))
+    # An exchange into one partition, without a sort of the whole table: the rows are sizes, not files.
+    ordered = sizes.repartition(1).sortWithinPartitions(F.desc("_size"))
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_splits = [(0, number) for number in range(total)]
+        filled = [0] * total
+        block, chosen = 0, []
+
+        def ended() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int64()), pa.array([chosen], pa.list_(pa.int64()))], names=["_block", "_chosen"]
+            )
+
+        for batch in batches:
+            for file_bytes, many in zip(batch.column("_size").to_pylist(), batch.column("_files").to_pylist()):
+                for _ in range(many):
+                    used, number = heapq.heappop(open_splits)
+                    chosen.append(number)
+                    filled[number] += 1
+                    if filled[number] < cap:
+                        # A file without a size adds nothing.
+                        heapq.heappush(open_splits, (used + (file_bytes or 0), number))
+                    if len(chosen) == _BLOCK_RANKS:
+                        yield ended()
+                        block, chosen = block + 1, []
+        if chosen:
+            yield ended()
+
+    choices = ordered.mapInArrow(choose, "_block long, _chosen array<long>")
+    ranked = with_rank(files, F.desc(size), *ties).withColumn("_block", F.expr(f"rank div {_BLOCK_RANKS}"))
+    place = (F.col("rank") % _BLOCK_RANKS).cast("int")
+    return ranked.join(choices, "_block").withColumn("split_id", F.get("_chosen", place)).drop("_block", "_chosen", "rank")
+
+
 def _in_utc(column: pa.Field) -> pa.Field:
     if pa.types.is_timestamp(column.type) and column.type.tz is not None:
         return column.with_type(pa.timestamp("us", tz="UTC"))

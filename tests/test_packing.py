@@ -43,6 +43,39 @@ def test_one_group_is_plain_greedy(spark, case):
     assert {row["fullPath"]: row["split_id"] for row in packed.collect()} == greedy(sizes, cap)
 
 
+@pytest.mark.parametrize("case", CASES)
+def test_all_files_as_one_group(spark, case):
+    sizes, cap = CASES[case]
+    packed = packing.pack_files(table(spark, sizes), cap, group_files=None)
+    assert {row["fullPath"]: row["split_id"] for row in packed.collect()} == greedy(sizes, cap)
+
+
+def test_one_group_at_any_size(spark):
+    """Sizes of which grouped packing makes other totals, in several blocks of ranks."""
+    rng = random.Random(5)
+    sizes = [rng.choice([0, 5, rng.randrange(20), rng.randrange(100_000)]) for _ in range(9000)]
+    packed = packing.pack_files(table(spark, sizes).repartition(5), 128, group_files=None)
+    assert {row["fullPath"]: row["split_id"] for row in packed.collect()} == greedy(sizes, 128)
+    assert greedy(sizes, 128) != dealt(sizes, 128, packing.DEFAULT_GROUP_FILES)
+
+
+def test_split_totals_are_of_one_group(spark):
+    """Over more files than any group holds the query gives the greedy packing of all."""
+    import __spark_entry__ as registry
+
+    sizes = {f"/corpus/{row.lang}/{row.source}/{row.doc_id}.txt": len(row.text.encode()) for row in
+             spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    files = [(size, path) for path, size in sizes.items()]
+    files.sort(key=lambda file: (-file[0], file[1]))
+    totals = [[0, 0] for _ in range(-(-len(files) // 128))]
+    for size, _ in files:
+        split = min((s for s in range(len(totals)) if totals[s][1] < 128), key=lambda s: (totals[s][0], s))
+        totals[split][0] += size
+        totals[split][1] += 1
+    found = registry.split_totals(spark, "/root/testdata/sf0.01").collect()
+    assert {row.split_id: [row.total_bytes, row.files] for row in found} == dict(enumerate(totals))
+
+
 def test_small_splits_share_tasks(spark):
     """Tasks grow with files and bytes, not with splits of a few small files."""
     cores = spark.sparkContext.defaultParallelism
