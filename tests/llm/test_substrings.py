@@ -94,3 +94,16 @@ def test_whole_characters(spark):
     shared = "é" * 300
     frame = spark.createDataFrame([(1, "aé" + shared), (2, "b" + shared + "x")], "doc_id long, text string")
     assert sorted(row["text"] for row in substrings.cut_texts(frame).collect()) == ["a", "bx"]
+
+
+def test_a_piece_needs_little_memory():
+    """Working memory of a task's anchors; a worker holds it next to Spark's heap."""
+    import tracemalloc
+
+    data = np.random.default_rng(2).integers(97, 123, substrings.PIECE, dtype=np.uint8)
+    powers = substrings._Powers(len(data) + 401)
+    tracemalloc.start()
+    found = substrings.find_anchors(data, np.array([0]), np.array([len(data)]), 400, powers)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found[0]) and peak < 150 << 20
