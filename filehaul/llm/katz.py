@@ -34,6 +34,8 @@ START, END = (xxhash.xxh64_intdigest(name) for name in (b" start", b" end"))
 CHUNK_BYTES = 14 << 20
 # Tokens for which a bucket is made. A context with over a quarter of this many is dealt to all buckets.
 BUCKET_TOKENS = 1_500_000
+# Of zstandard: packed arrays are written to disk several times, so their size counts more than the time.
+LEVEL = 9
 # Counts up to this are discounted.
 RELIABLE = 5
 
@@ -45,7 +47,7 @@ def pack(*arrays: np.ndarray) -> bytes:
         planes = np.ascontiguousarray(array.view(np.uint8).reshape(len(array), array.itemsize).T)
         head = np.array([len(array), np.dtype(array.dtype).num], "<i8").tobytes()
         parts.append(head + planes.tobytes())
-    return zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
+    return zstandard.ZstdCompressor(level=LEVEL).compress(b"".join(parts))
 
 
 _KINDS = {np.dtype(name).num: np.dtype(name) for name in ("uint16", "uint32", "uint64", "int64", "float64")}
@@ -467,9 +469,13 @@ def score_texts(
     unigrams = Unigrams.of(of_all["tokens"] or 0, of_all["words"] or 0, [of_all[f"n{r}"] or 0 for r in range(RELIABLE + 1)])
     answers = answers.where("chunk is not null").select("chunk", "bucket", "data")
     often = bucket_tokens // 4
-    sent = _pairs(chunks, answers, buckets, unigrams, seen["starts"] or 0, often)
+    sent, _ = store_once(_pairs(chunks, answers, buckets, unigrams, seen["starts"] or 0, often), "pairs")
+    # Before the pairs are sent and merged, texts, answers and the shuffle of both go from the disk.
+    rows, _ = store_once(chunks.select("chunk", "ids", "held", "sizes"), "chunk-rows")
+    delete_stored(stored, chunks)
+    release(spark)
     table, _ = store_once(_merge_pairs(sent, unigrams, often), "bigrams")
-    delete_stored(stored)
+    delete_stored(sent)
     release(spark)
     numbers = table.agg(*(F.sum(F.col("with_count")[r]).alias(f"n{r}") for r in range(RELIABLE + 1))).first()
     factors = discounts([numbers[f"n{r}"] or 0 for r in range(RELIABLE + 1)])
@@ -484,7 +490,7 @@ def score_texts(
     }
     totals = _totals(_evaluate(table, unigrams, factors, frequent))
     listed = F.arrays_zip("ids", "held", "sizes", "known", "base", "score")
-    each = chunks.select("chunk", "ids", "held", "sizes").join(totals, "chunk").select(F.explode(listed).alias("row"))
+    each = rows.join(totals, "chunk").select(F.explode(listed).alias("row"))
     return each.select(
         F.col("row.ids").alias("doc_id"), F.col("row.held").alias("held_out"), F.col("row.sizes").alias("n_tokens"),
         F.col("row.known").alias("n_known"), F.lit(unigrams.tokens).cast("long").alias("train_tokens"),
