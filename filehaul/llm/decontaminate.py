@@ -3,7 +3,8 @@
 Passages are blocks of words with TF-IDF weights over hashed words. A
 randomised SVD over all passages gives the latent space: every task adds up its
 part of ``Z = A'(A omega)``, and the singular vectors and values follow from Z and
-``omega' Z`` (Nystroem). Candidates are the pairs of passage and item whose cosine and
+``omega' Z`` (Nystroem). Z stays in slices of features with the tasks; only products as small as
+the rank come to the driver. Candidates are the pairs of passage and item whose cosine and
 nearness in this space reach a threshold. A pair of which so many words are missing that the
 share cannot be reached is told by bit sets of words; the others are aligned word by word by
 the longest common subsequence. An item whose answer stands in the window needs a smaller share.
@@ -14,14 +15,15 @@ place: for them every passage is a candidate.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filehaul.llm.common import bodies, slices
-from filehaul.storage import store_once
+from filehaul.llm.common import bodies, slices, small_batches
+from filehaul.storage import delete_stored, store_once
 
 FEATURES = 1 << 15
 RANK = 96
@@ -106,12 +108,11 @@ def _flat(texts: list[bytes], step: int) -> tuple[np.ndarray, np.ndarray, np.nda
 
 
 def _sum_blocks(table: np.ndarray, features: np.ndarray, block_of: np.ndarray, blocks: int) -> np.ndarray:
-    """Sums of the table's rows of the features in each block; blocks hold few, in order."""
+    """Sums of the table's rows of the features in each block; blocks hold few, in order. The table's last row is zero."""
     start = np.searchsorted(block_of, np.arange(blocks))
     place = np.arange(len(features)) - start[block_of]
-    padded = np.full((int(place.max(initial=-1)) + 1, blocks), len(table), np.int32)
+    padded = np.full((int(place.max(initial=-1)) + 1, blocks), len(table) - 1, np.int32)
     padded[place, block_of] = features
-    table = np.concatenate([table, np.zeros((1, table.shape[1]), table.dtype)])
     out = np.zeros((blocks, table.shape[1]), table.dtype)
     for each in padded:
         out += table[each]
@@ -133,33 +134,70 @@ def _add_rows(total: np.ndarray, features: np.ndarray, values: np.ndarray, rows:
         start += size
 
 
-def _sum_slices(parts: DataFrame, width: int) -> np.ndarray:
-    """Sum of rows ``slice, values`` over all tasks: an array of FEATURES rows, whatever the corpus."""
+def _sum_slices(parts: DataFrame) -> DataFrame:
+    """``slice, values``: sums over all tasks, a row for each slice, whatever the corpus."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for number, values in zip(batch.column("slice").to_pylist(), batch.column("values").to_pylist()):
-                add = np.frombuffer(values, "<f4").astype(np.float64)
-                sums[number] = sums[number] + add if number in sums else add
-        if sums:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())],
-                names=["slice", "values"],
-            )
-
-    out = np.zeros((FEATURES, width))
-    for row in parts.repartition("slice").mapInArrow(run, "slice int, values binary").collect():
-        out[row["slice"] * SLICE : (row["slice"] + 1) * SLICE] = np.frombuffer(row["values"]).reshape(SLICE, width)
+            for number, values in zip(batch.column("slice").to_pylist(), batch.column("values")):
+                add = np.frombuffer(values.as_buffer(), "<f4")
+                if number in sums:
+                    sums[number] += add
+                else:
+                    sums[number] = add.astype(np.float64)
+        for number in list(sums):
+            yield _slice(number, sums.pop(number))
+
+    return parts.repartition("slice").mapInArrow(run, "slice int, values binary")
+
+
+def _whole(parts: DataFrame, width: int, kind: str = "<f8") -> np.ndarray:
+    """An array of FEATURES rows from its slices."""
+    out = np.zeros((FEATURES, width), kind)
+    for row in parts.collect():
+        out[row["slice"] * SLICE : (row["slice"] + 1) * SLICE] = np.frombuffer(row["values"], kind).reshape(SLICE, width)
     return out
 
 
-def _emit(total: np.ndarray) -> pa.RecordBatch:
-    parts = total.astype("<f4").reshape(FEATURES // SLICE, -1)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(range(len(parts)), pa.int32()), pa.array([part.tobytes() for part in parts], pa.binary())],
-        names=["slice", "values"],
-    )
+def _test_vectors(rank: int) -> Iterator[np.ndarray]:
+    """Slices of omega: every task draws it again, as its seed is all that need be sent."""
+    source = np.random.default_rng(SEED)
+    for _ in range(FEATURES // SLICE):
+        yield source.standard_normal((SLICE, rank))
+
+
+def _each_slice(sketch: DataFrame, idf: np.ndarray, rank: int, work) -> DataFrame:
+    """``slice, values`` with the arrays that ``work`` makes of each slice of Z, omega and idf."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, values in zip(batch.column("slice").to_pylist(), batch.column("values")):
+                weight = idf[number * SLICE : (number + 1) * SLICE, None]
+                omega = next(islice(_test_vectors(rank), number, None))
+                out = work(weight * np.frombuffer(values.as_buffer()).reshape(SLICE, rank), omega, weight)
+                yield _slice(number, out)
+
+    return sketch.mapInArrow(run, "slice int, values binary")
+
+
+def _small(parts: DataFrame, *shape: int) -> list[np.ndarray]:
+    """Arrays of all slices, in order."""
+    rows = sorted(parts.collect(), key=lambda row: row["slice"])
+    return [np.frombuffer(row["values"]).reshape(shape) for row in rows]
+
+
+def _slice(number: int, values: np.ndarray) -> pa.RecordBatch:
+    """A row ``slice, values`` on the array's own memory."""
+    values = np.ascontiguousarray(values)
+    offsets = pa.py_buffer(np.array([0, values.nbytes], np.int32))
+    column = pa.Array.from_buffers(pa.binary(), 1, [None, offsets, pa.py_buffer(values)])
+    return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), column], names=["slice", "values"])
+
+
+def _emit(total: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for number in range(FEATURES // SLICE):
+        yield _slice(number, total[number * SLICE : (number + 1) * SLICE].astype("<f4", copy=False))
 
 
 def fit_space(hashed: DataFrame, max_df: float = 0.05, rank: int = RANK) -> np.ndarray:
@@ -183,15 +221,19 @@ def fit_space(hashed: DataFrame, max_df: float = 0.05, rank: int = RANK) -> np.n
             first[:, 1:] = padded[:, 1:] != padded[:, :-1]
             found[:, 0] += np.bincount(padded[first], minlength=FEATURES + 1)[:FEATURES]
             found[0, 1] += len(starts)
-        yield _emit(found)
+        yield from _emit(found)
 
-    counts = _sum_slices(hashed.select("words").mapInArrow(count, "slice int, values binary"), 2)
+    counts = _whole(_sum_slices(hashed.select("words").mapInArrow(count, "slice int, values binary")), 2)
     passages, df = counts[0, 1], counts[:, 0]
+    if not passages:
+        return np.zeros((FEATURES, rank), np.float32)
     idf = np.where((df > 0) & (df <= max(max_df * passages, 1)), np.log((1 + passages) / (1 + df)) + 1, 0.0)
-    omega = np.random.default_rng(SEED).standard_normal((FEATURES, rank))
-    weighted = (idf[:, None] * omega).astype(np.float32)
 
     def sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weighted = np.zeros((FEATURES + 1, rank), np.float32)
+        for number, omega in enumerate(_test_vectors(rank)):
+            on = slice(number * SLICE, (number + 1) * SLICE)
+            weighted[on] = idf[on, None] * omega
         total = np.zeros((FEATURES, rank), np.float32)
         for _, texts in slices(batches, "words", 1 << 20):
             words, starts, _ = _flat(texts, STEP * PASSAGE)
@@ -206,17 +248,26 @@ def fit_space(hashed: DataFrame, max_df: float = 0.05, rank: int = RANK) -> np.n
             norm = np.bincount(passage, weights=idf[feature] ** 2, minlength=len(starts))
             latent /= np.maximum(norm, 1e-9)[:, None].astype(np.float32)
             _add_rows(total, feature, latent, passage)
-        yield _emit(total)
+        yield from _emit(total)
 
-    sums = idf[:, None] * _sum_slices(hashed.select("words").mapInArrow(sketch, "slice int, values binary"), rank)
+    sums, _ = store_once(_sum_slices(hashed.select("words").mapInArrow(sketch, "slice int, values binary")), "sketch")
     # A'A is near Z (omega'Z)^-1 Z'; a small shift keeps the inner matrix positive when passages are few.
-    shift = 1e-6 * max(np.trace(omega.T @ sums) / rank, 1e-9)
-    shifted = sums + shift * omega
-    inner = omega.T @ shifted
+    products = _each_slice(sums, idf, rank, lambda z, omega, _: np.stack([omega.T @ z, omega.T @ omega]))
+    inner, plain = np.sum(_small(products, 2, rank, rank), axis=0)
+    shift = 1e-6 * max(np.trace(inner) / rank, 1e-9)
+    inner = inner + shift * plain
     lower = np.linalg.cholesky((inner + inner.T) / 2 + shift * np.eye(rank))
-    basis, values, _ = np.linalg.svd(np.linalg.solve(lower, shifted.T).T, full_matrices=False)
+    # Singular values and right vectors of a tall matrix are those of the triangles of its slices.
+    triangles = _each_slice(
+        sums, idf, rank, lambda z, omega, _: np.linalg.qr(np.linalg.solve(lower, (z + shift * omega).T).T, mode="r")
+    )
+    _, values, right = np.linalg.svd(np.linalg.qr(np.concatenate(_small(triangles, rank, rank)), mode="r"))
     # Places count in units of their singular value, so that no single trend, such as the language, rules the cosine.
-    return (idf[:, None] * basis / np.maximum(values, 1e-3 * values.max(initial=1e-9))).astype(np.float32)
+    turn = np.linalg.solve(lower.T, right.T / (values * np.maximum(values, 1e-3 * values.max())))
+    space = _each_slice(sums, idf, rank, lambda z, omega, weight: (weight * ((z + shift * omega) @ turn)).astype("<f4"))
+    space = _whole(space, rank, "<f4")
+    delete_stored(sums)
+    return space
 
 
 def _bit_sets(words: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
@@ -310,8 +361,9 @@ def find_leaks(
     nothing. Null ids are values like others. Other columns are left out.
     """
     source = bodies(docs, id_column, text_column).withColumn("digest", F.xxhash64("body"))
-    hashed, _ = store_once(_hashed(source), "word-hashes")
-    space = fit_space(hashed)
+    with small_batches(docs.sparkSession):
+        hashed, _ = store_once(_hashed(source), "word-hashes")
+        space = fit_space(hashed)
     kind = source.schema["doc_id"].dataType.simpleString()
     item_kind = benchmark.schema[item_id_column].dataType.simpleString()
     schema = (
@@ -339,16 +391,20 @@ def find_leaks(
 
         return hashed.mapInArrow(run, schema)
 
+    def stored(block: list[tuple[object, bytes]]) -> DataFrame:
+        with small_batches(docs.sparkSession):
+            return store_once(search(block), "leaks")[0]
+
     found = None
     block: list[tuple[object, bytes]] = []
     rows = bodies(benchmark, item_id_column, item_text_column).toLocalIterator()
     for row in rows:
         block.append((row["doc_id"], bytes(row["body"])))
         if len(block) == ITEMS:
-            part, _ = store_once(search(block), "leaks")
+            part = stored(block)
             found, block = part if found is None else found.unionByName(part), []
     if block or found is None:
-        part, _ = store_once(search(block), "leaks")
+        part = stored(block)
         found = part if found is None else found.unionByName(part)
     best = F.max(F.struct("share", "nearness", "answer", "first_word", "last_word")).alias("best")
     return found.groupBy("doc_id", "digest", "item_id").agg(best).select("doc_id", "digest", "item_id", "best.*")
@@ -370,7 +426,8 @@ class _Blocks:
         block_of = np.repeat(np.arange(count), np.diff(self.starts, append=len(self.words)))
         on = np.flatnonzero(space.any(axis=1)[features])
         self.total = np.zeros((count + 1, space.shape[1]))
-        np.cumsum(_sum_blocks(space, features[on], block_of[on], count), axis=0, out=self.total[1:])
+        padded = np.concatenate([space, np.zeros((1, space.shape[1]), space.dtype)])
+        np.cumsum(_sum_blocks(padded, features[on], block_of[on], count), axis=0, out=self.total[1:])
         self.sets = _bit_sets(self.words, block_of, count)
         self.text_of = np.repeat(np.arange(len(texts)), blocks)
         self.last = np.repeat(np.cumsum(blocks), blocks)

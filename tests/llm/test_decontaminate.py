@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -172,3 +173,41 @@ def test_the_latent_space_decides(spark, planted):
     usual = share_of_pairs(space, min_cosine=0.2, min_nearness=0.3)
     assert usual < 0.25 < share_of_pairs(mask, min_cosine=0.2, min_nearness=0.3)
     assert share_of_pairs(space, min_cosine=0.99, min_nearness=0.3) < usual / 20
+
+
+def test_the_driver_holds_little_of_the_space(spark, documents, planted):
+    """Arrays of the driver while the space is fitted and texts are searched: a copy or two of 12.6 MB, not many."""
+    _, docs, items, _ = planted
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    decontaminate.find_leaks(documents, benchmark).collect()
+    tracemalloc.start()
+    decontaminate.find_leaks(docs, benchmark)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 << 20
+
+
+def test_space_is_that_of_the_plain_decomposition(spark, documents):
+    """Inner products of features are those of a dense computation over all passages at once."""
+    hashed = decontaminate._hashed(decontaminate.bodies(documents).selectExpr("doc_id", "xxhash64(body) as digest", "body"))
+    rank, size = 24, decontaminate.STEP * decontaminate.PASSAGE
+    space = decontaminate.fit_space(hashed, rank=rank).astype(np.float64)
+    words = [np.frombuffer(row["words"], "<u4") & (decontaminate.FEATURES - 1) for row in hashed.collect()]
+    passages = [part[low : low + size] for part in words for low in range(0, len(part), size)]
+    df = np.bincount(np.concatenate([np.unique(passage) for passage in passages]), minlength=decontaminate.FEATURES)
+    idf = np.where((df > 0) & (df <= max(0.05 * len(passages), 1)), np.log((1 + len(passages)) / (1 + df)) + 1, 0.0)
+    omega = np.random.default_rng(decontaminate.SEED).standard_normal((decontaminate.FEATURES, rank))
+    z = np.zeros((decontaminate.FEATURES, rank))
+    for passage in passages:
+        latent = (idf[passage, None] * omega[passage]).sum(axis=0) / max((idf[passage] ** 2).sum(), 1e-9)
+        np.add.at(z, passage, latent)
+    z *= idf[:, None]
+    shift = 1e-6 * np.trace(omega.T @ z) / rank
+    shifted = z + shift * omega
+    inner = omega.T @ shifted
+    lower = np.linalg.cholesky((inner + inner.T) / 2 + shift * np.eye(rank))
+    basis, values, _ = np.linalg.svd(np.linalg.solve(lower, shifted.T).T, full_matrices=False)
+    plain = idf[:, None] * basis / np.maximum(values, 1e-3 * values.max())
+    on = np.flatnonzero(idf)[::7]
+    expected = plain[on] @ plain[on].T
+    assert np.allclose(space[on] @ space[on].T, expected, rtol=0, atol=2e-3 * np.abs(expected).max())
