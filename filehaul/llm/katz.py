@@ -36,6 +36,8 @@ CHUNK_BYTES = 14 << 20
 BUCKET_TOKENS = 1_500_000
 # Of zstandard: packed arrays are written to disk several times, so their size counts more than the time.
 LEVEL = 5
+# Sums of documents that a task holds before it sends them.
+HELD_SUMS = 1 << 22
 # Counts up to this are discounted.
 RELIABLE = 5
 
@@ -46,7 +48,7 @@ def pack(*arrays: np.ndarray) -> bytes:
     for array in arrays:
         planes = np.ascontiguousarray(array.view(np.uint8).reshape(len(array), array.itemsize).T)
         head = np.array([len(array), np.dtype(array.dtype).num], "<i8").tobytes()
-        parts.append(head + planes.tobytes())
+        parts += [head, planes]
     return zstandard.ZstdCompressor(level=LEVEL).compress(b"".join(parts))
 
 
@@ -65,6 +67,36 @@ def unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
+def falls(values: np.ndarray) -> np.ndarray:
+    """The first value, then by how much each is less than the one before; modulo 2**64."""
+    return np.concatenate([values[:1], values[:-1] - values[1:]])
+
+
+def fallen(steps: np.ndarray) -> np.ndarray:
+    """The values of :func:`falls`."""
+    return np.concatenate([steps[:1], steps[:1] - np.cumsum(steps[1:], dtype=steps.dtype)])
+
+
+def pack_pairs(h: np.ndarray, w: np.ndarray, ch: np.ndarray, cw: np.ndarray, *more: np.ndarray) -> bytes:
+    """Pairs sorted by the numbers of context and word, packed with the counts of both and other arrays.
+
+    Numbers of words rise as their counts fall, so each count is sent once, in the order of the
+    numbers, as a step that is mostly none.
+    """
+    _, first = np.unique(w, return_index=True)
+    new = np.concatenate([[True], h[1:] != h[:-1]])[: len(h)]
+    return pack(np.diff(h, prepend=np.uint64(0)), w, falls(ch[new]), falls(cw[first]), *more)
+
+
+def unpack_pairs(data: bytes) -> list[np.ndarray]:
+    """The arrays of :func:`pack_pairs`."""
+    steps, w, ch, cw, *more = unpack(data)
+    h = np.cumsum(steps, dtype=np.uint64)
+    group = np.cumsum(np.concatenate([[True], h[1:] != h[:-1]])[: len(h)]) - 1
+    _, word = np.unique(w, return_inverse=True)
+    return [h, w, fallen(ch)[group], fallen(cw)[word], *more]
+
+
 class _Places(dict):
     def __missing__(self, word: bytes) -> int:
         value = self[word] = len(self)
@@ -164,7 +196,7 @@ def _chunked(source: DataFrame) -> DataFrame:
                 ids.append(doc_id)
                 held.append(hold)
                 sizes.append(len(stream))
-                streams.append(np.array(stream, np.int64))
+                streams.append(np.array(stream, np.int32))
                 room -= len(text)
         if ids:
             yield ended()
@@ -202,8 +234,8 @@ def _by_bucket(rows: DataFrame, work, schema: str) -> DataFrame:
 def _unigram_answers(chunks: DataFrame, buckets: int) -> DataFrame:
     """The unigram table by bucket, and what each chunk's words have there.
 
-    Rows with a chunk: ``bucket, chunk, data`` with count and place of the
-    chunk's words. Rows without: ``data`` with hashes and counts, ``with_count``,
+    Rows with a chunk: ``bucket, chunk, data`` with the counts of the chunk's
+    words, by place, and the places. Rows without: ``data`` with hashes and counts, ``with_count``,
     ``tokens`` and ``words``.
     """
 
@@ -229,7 +261,7 @@ def _unigram_answers(chunks: DataFrame, buckets: int) -> DataFrame:
         ends = np.cumsum([len(part[0]) for part in parts])
         known = counts > 0
         with_count = np.bincount(np.minimum(counts, RELIABLE + 2).astype(np.int64), minlength=RELIABLE + 3)
-        data = [pack(counts[at], at.astype(np.uint32)) for at in np.split(place, ends[:-1])]
+        data = [pack(falls(counts[np.sort(at)]), at.astype(np.uint32)) for at in np.split(place, ends[:-1])]
         data.append(pack(keys[known], counts[known]))
         size = len(data)
         stats = [[None] * (size - 1) + [value] for value in (with_count[1 : RELIABLE + 2].tolist(), int(counts.sum()), int(known.sum()))]
@@ -250,40 +282,54 @@ def _pairs(chunks: DataFrame, answers: DataFrame, buckets: int, unigrams: Unigra
         for batch in batches:
             for row in batch.to_pylist():
                 parts = [unpack(answer["data"]) for answer in row["answers"]]
-                counts = np.concatenate([part[0] for part in parts])
+                # In the order of the places, as the counts are.
+                counts = np.concatenate([fallen(part[0]) for part in parts])
                 # A word's number: its bucket and its place there.
                 word = np.concatenate([np.uint64(a["bucket"]) << np.uint64(40) | p[1] for a, p in zip(row["answers"], parts)])
+                order = np.argsort(word)
+                word, ranked = word[order], np.empty(len(order), np.uint32)
+                ranked[order] = np.arange(len(order), dtype=np.uint32)
                 place, stream = unpack(row["stream"])
-                stream = place[stream]
+                stream = ranked[place][stream]
                 sizes = np.array(row["sizes"], np.int64)
                 learn = np.repeat(~np.array(row["held"]), sizes)
                 doc = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes)
                 first = np.cumsum(sizes) - sizes
-                base = np.add.reduceat(unigrams.base(counts[stream].astype(np.float64)), first)
-                known = np.add.reduceat((counts[stream] > 0).astype(np.int64), first)
+                base = np.add.reduceat(unigrams.base(counts.astype(np.float64))[stream], first)
+                known = np.add.reduceat((counts > 0)[stream], first, dtype=np.int64)
                 number = len(word)
-                context = np.concatenate([[number], stream[:-1]]).astype(np.int64)
-                context[first] = number
-                pair = context * (number + 1) + stream
-                del context, stream
+                # In place: these arrays are the task's largest.
+                pair = np.empty(len(stream), np.int64)
+                pair[1:] = stream[:-1]
+                pair[first] = number
+                pair *= number + 1
+                pair += stream
+                del stream
                 order = np.argsort(pair, kind="stable")
                 ranked = pair[order]
                 docs, learn = doc[order], learn[order]
                 del pair, order, doc
                 new = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
                 size = np.diff(new, append=len(ranked))
-                h, w = ranked[new] // (number + 1), ranked[new] % (number + 1)
+                ranked = ranked[new]
+                h, w = (ranked // (number + 1)).astype(np.int32), (ranked % (number + 1)).astype(np.int32)
                 del ranked
                 words = np.concatenate([word, [np.uint64(2**64 - 1)]])
                 ch = np.concatenate([counts, [np.uint64(starts)]])[h]
-                seen = np.add.reduceat(learn.astype(np.uint32), new)
+                # Pairs are in the order of the words' numbers.
+                seen = np.add.reduceat(learn, new, dtype=np.uint32)
+                del learn
                 # Contexts are dealt by themselves, frequent ones by the pair.
                 mixed = words[h] * np.uint64(0x9E3779B97F4A7C15)
                 dealt = ch > often
                 mixed[dealt] ^= words[w[dealt]] * np.uint64(0xD6E8FEB86659FD93)
-                bucket = _bucket_of((mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9), buckets)
+                mixed ^= mixed >> np.uint64(31)
+                mixed *= np.uint64(0xBF58476D1CE4E5B9)
+                bucket = _bucket_of(mixed, buckets).astype(np.int32)
+                del mixed, dealt
                 by_bucket = np.argsort(bucket, kind="stable")
                 cuts = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
+                del bucket
                 out = [-1 - xxhash.xxh32_intdigest(row["chunk"]) % buckets]
                 data = [pack(known, base)]
                 for number in range(buckets):
@@ -292,9 +338,8 @@ def _pairs(chunks: DataFrame, answers: DataFrame, buckets: int, unigrams: Unigra
                         continue
                     spread = np.repeat(new[at] - (np.cumsum(size[at]) - size[at]), size[at]) + np.arange(size[at].sum())
                     out.append(number)
-                    data.append(
-                        pack(words[h[at]], words[w[at]], seen[at], ch[at], counts[w[at]], size[at].astype(np.uint32), docs[spread])
-                    )
+                    unseen = size[at].astype(np.uint32) - seen[at]
+                    data.append(pack_pairs(words[h[at]], words[w[at]], ch[at], counts[w[at]], seen[at], unseen, docs[spread]))
                 arrays = [pa.array(out, pa.int32()), pa.array([row["chunk"]] * len(out)), pa.array(data, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "chunk", "data"])
 
@@ -318,8 +363,8 @@ def _merge_pairs(sent: DataFrame, unigrams: Unigrams, often: int) -> DataFrame:
             row = [bucket, names, datas, None, None]
             yield pa.RecordBatch.from_arrays([pa.array([value], kind) for value, kind in zip(row, kinds)], names=columns)
             return
-        parts = [unpack(data) for data in datas]
-        h, w, seen, ch, cw, size = (np.concatenate([part[i] for part in parts]) for i in range(6))
+        parts = [unpack_pairs(data) for data in datas]
+        h, w, ch, cw, seen = (np.concatenate([part[i] for part in parts]) for i in range(5))
         order = np.lexsort((w, h))
         new = np.concatenate([[True], (np.diff(h[order]) != 0) | (np.diff(w[order]) != 0)])
         place = np.empty(len(order), np.uint32)
@@ -337,10 +382,10 @@ def _merge_pairs(sent: DataFrame, unigrams: Unigrams, often: int) -> DataFrame:
             small = np.bincount(own[own <= RELIABLE], minlength=RELIABLE + 1)[1:]
             frequent.append({"context": context, "with_count": small.tolist(), "rest": int(own[own > RELIABLE].sum()), "lower": float(lower[number])})
         ends = np.cumsum([len(part[0]) for part in parts])
-        data = [pack(h, w, counts, ch, cw)]
+        data = [pack_pairs(h, w, ch, cw, counts)]
         # A chunk's pairs are in the order of its words; here their places rise.
         for at, part in zip(np.split(place, ends[:-1]), parts):
-            data.append(pack(*_rising(at, part[5], part[6])))
+            data.append(pack(*_rising(at, part[4] + part[5], part[6])))
         row = [bucket, names, data, with_count.tolist(), frequent]
         yield pa.RecordBatch.from_arrays([pa.array([value], kind) for value, kind in zip(row, kinds)], names=columns)
 
@@ -391,24 +436,43 @@ def pair_probabilities(
 
 
 def _evaluate(table: DataFrame, unigrams: Unigrams, factors: np.ndarray, frequent: dict) -> DataFrame:
-    """``chunk, bucket, data``: sums of log10 probabilities by document of the chunk; base scores pass."""
+    """``chunk, bucket, data``: sums of log10 probabilities by document of the chunk; base scores pass.
+
+    A task adds up what its buckets have for a chunk, under the number of the last of them.
+    """
+
+    def rows(bucket: int, names: list[str], datas: list[bytes]) -> pa.RecordBatch:
+        arrays = [pa.array(names, pa.string()), pa.array([bucket] * len(names), pa.int32()), pa.array(datas, pa.binary())]
+        return pa.RecordBatch.from_arrays(arrays, names=["chunk", "bucket", "data"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+        size = last = 0
         for batch in batches:
             for place in range(batch.num_rows):
                 bucket = batch.column("bucket")[place].as_py()
                 names, datas = batch.column("chunks")[place].as_py(), batch.column("data")[place].as_py()
-                if bucket >= 0:
-                    h, w, counts, ch, cw = unpack(datas[0])
-                    logs = np.log10(pair_probabilities(h, counts, ch, cw, unigrams, factors, frequent))
-                    sums = []
-                    for data in datas[1:]:
-                        at, size, docs = unpack(data)
-                        at = np.cumsum(at, dtype=np.int64)
-                        sums.append(pack(np.bincount(docs, weights=np.repeat(logs[at], size))))
-                    datas = sums
-                arrays = [pa.array(names, pa.string()), pa.array([bucket] * len(names), pa.int32()), pa.array(datas, pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, names=["chunk", "bucket", "data"])
+                if bucket < 0:
+                    yield rows(bucket, names, datas)
+                    continue
+                h, _, ch, cw, counts = unpack_pairs(datas[0])
+                logs = np.log10(pair_probabilities(h, counts, ch, cw, unigrams, factors, frequent))
+                last = bucket
+                for chunk, data in zip(names, datas[1:]):
+                    at, times, docs = unpack(data)
+                    at = np.cumsum(at, dtype=np.int64)
+                    sums = np.bincount(docs, weights=np.repeat(logs[at], times))
+                    before = held.get(chunk, sums[:0])
+                    if len(before) > len(sums):
+                        sums, before = before, sums
+                    sums[: len(before)] += before
+                    size += len(sums) - len(held.get(chunk, ()))
+                    held[chunk] = sums
+                    if size > HELD_SUMS:
+                        yield rows(last, list(held), [pack(values) for values in held.values()])
+                        held, size = {}, 0
+        if held:
+            yield rows(last, list(held), [pack(values) for values in held.values()])
 
     return table.select("bucket", "chunks", "data").mapInArrow(run, "chunk string, bucket int, data binary")
 

@@ -113,3 +113,43 @@ def test_pack_is_small():
     assert all((a == b).all() for a, b in zip(values, katz.unpack(packed)))
     planes = [np.ascontiguousarray(v.view(np.uint8).reshape(-1, 8).T).tobytes() for v in values]
     assert len(packed) < len(katz.zstandard.ZstdCompressor(level=3).compress(b"".join(planes)))
+
+
+def test_counts_of_words_cost_nearly_nothing():
+    """Pairs are packed with the counts of both words in little more than without them."""
+    rng = np.random.default_rng(3)
+    counts = np.sort((1e7 / np.arange(1, 60_001)).astype(np.uint64) + rng.integers(0, 2, 60_000).astype(np.uint64))[::-1]
+    h, w = (np.minimum(rng.zipf(1.2, 400_000), 60_000) - 1 for _ in range(2))
+    order = np.lexsort((w, h))
+    h, w = h[order], w[order]
+    number = (np.arange(60_000) % 7 << 40 | np.arange(60_000) // 7).astype(np.uint64)
+    order = np.lexsort((number[w], number[h]))
+    h, w = h[order], w[order]
+    packed = katz.pack_pairs(number[h], number[w], counts[h], counts[w])
+    for found, expected in zip(katz.unpack_pairs(packed), (number[h], number[w], counts[h], counts[w]), strict=True):
+        assert (found == expected).all()
+    assert len(packed) < 1.1 * len(katz.pack(number[h], number[w]))
+    # As it was before.
+    assert len(packed) < 0.8 * len(katz.pack(number[h], number[w], counts[h], counts[w]))
+
+
+def test_packed_pairs_at_the_edges():
+    top = np.array([2**64 - 1], np.uint64)
+    for h, w, ch, cw in (([], [], [], []), ([0], [0], [5], [0]), ([3, 3, 9], [1, 2, 1], [0, 0, 8], [7, 6, 7])):
+        rows = [np.array(values, np.uint64) for values in (h, w, ch, cw)]
+        assert all((a == b).all() for a, b in zip(katz.unpack_pairs(katz.pack_pairs(*rows)), rows, strict=True))
+    rows = [np.concatenate([[np.uint64(1)], top]), np.array([4, 4], np.uint64), np.array([2, 2**40], np.uint64), np.array([6, 6], np.uint64)]
+    assert all((a == b).all() for a, b in zip(katz.unpack_pairs(katz.pack_pairs(*rows)), rows, strict=True))
+
+
+def test_sums_are_added_up_before_they_are_sent(spark, documents, monkeypatch):
+    """A task sends one row for a chunk, not one for each of its buckets, and the scores are the same if it sends them early."""
+    sent = []
+    totals = katz._totals
+    monkeypatch.setattr(katz, "_totals", lambda sums: sent.append(sums.where("bucket >= 0").selectExpr("spark_partition_id() as task", "chunk").collect()) or totals(sums))
+    held = lambda number: number % 4 == 1
+    docs = [tuple(row) for row in documents.select("doc_id", "text").collect()]
+    check(katz.score_texts(documents, F.col("doc_id") % 4 == 1, bucket_tokens=4000).collect(), docs, held)
+    assert len(set(sent[0])) == len(sent[0])
+    monkeypatch.setattr(katz, "HELD_SUMS", 10)
+    check(katz.score_texts(documents, F.col("doc_id") % 4 == 1, bucket_tokens=4000).collect(), docs, held)
