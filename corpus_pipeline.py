@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filehaul.llm import byte_bpe, decontaminate, near_copies, quality, substrings
-from filehaul.llm.common import fresh_name
+from filehaul.llm.common import fresh_name, small_batches
 from filehaul.storage import store_once
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -32,7 +32,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules and are content by the line labels."""
     model = quality.fit_line_model(docs, _table(spark, sf_dir, "labels"))
-    return quality.keep_good(docs, model)
+    with small_batches(spark):
+        return store_once(quality.keep_good(docs, model), "good")[0]
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +61,10 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded``: token ids, and whether decoding gives the text back."""
     vocabulary = byte_bpe.load_vocabulary(spark, public_tokenizers.path(RANKS))
-    coded = byte_bpe.decode(byte_bpe.encode(docs, vocabulary, public_tokenizers.PATTERN), vocabulary)
+    # Written between, so that a task holds one Python worker with the vocabulary and not two.
+    with small_batches(spark):
+        ids, _ = store_once(byte_bpe.encode(docs, vocabulary, public_tokenizers.PATTERN), "token-ids")
+    coded = byte_bpe.decode(ids, vocabulary)
     return coded.select("doc_id", "n_tokens", "ids", F.decode("body", "utf-8").alias("decoded"))
 
 

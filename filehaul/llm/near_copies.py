@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filehaul.llm.common import fresh_name, release, slices, small_batches
+from filehaul.llm.common import fresh_name, give_back, release, slices, small_batches
 from filehaul.llm.graph import connected_components
 from filehaul.llm.simhash import _majority, link_fingerprints, shingles
 from filehaul.storage import delete_stored, store_once
@@ -169,6 +169,7 @@ def _alike(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
                 keep.append(common >= least * (len(a) + len(b) - common))
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("u").filter(mask), batch.column("v").filter(mask)], names=["u", "v"])
+        give_back()
 
     joined = pairs.join(left, "u").join(right, "v")
     return joined.select("u", "v", "left", "right").mapInArrow(run, "u long, v long")

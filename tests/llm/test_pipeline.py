@@ -1,8 +1,12 @@
+import ctypes
+import os
 from numbers import Number
+from pathlib import Path
 
 import duckdb
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -10,6 +14,7 @@ import __spark_entry__ as registry
 import corpus_pipeline
 from filehaul.llm import byte_bpe, decontaminate, quality
 from filehaul.llm import queries as llm
+from filehaul.llm.common import slices
 
 from .conftest import DATA
 from .test_near_copies import plain as near_copies
@@ -92,6 +97,29 @@ def test_clashing_columns(spark, documents):
         assert left.where(" and ".join(f"{name} = 7" for name in own)).count() == left.count()
 
 
+def test_one_python_worker_a_task(spark, documents):
+    """No task of the last stage holds two workers, each with the vocabulary."""
+    coded = corpus_pipeline.encode(spark, documents.limit(5), DATA)
+    assert coded._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert coded.where("decoded is not null").count() == 5
+
+
+@pytest.mark.skipif(not hasattr(ctypes.CDLL(None), "malloc_trim"), reason="glibc only")
+def test_tasks_give_memory_back():
+    """At the end of a task's texts, what it has freed is the system's again, also between blocks still in use."""
+
+    def held():
+        return int(Path("/proc/self/statm").read_text().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+
+    blocks = [bytes(3000) for _ in range(50_000)]
+    kept = blocks[::100]
+    del blocks
+    before = held()
+    batch = pa.RecordBatch.from_arrays([pa.array([b"a", b"bc"], pa.binary())], names=["body"])
+    assert [texts for _, texts in slices(iter([batch]))] == [[b"a", b"bc"]]
+    assert held() < before - 50_000_000 and len(kept) == 500
+
+
 def test_all_queries_are_registered():
     names = registry.queries().keys()
     assert {f"op{n}_" for n in range(1, 14)} <= {name.split("_")[0] + "_" for name in names}
