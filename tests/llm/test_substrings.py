@@ -1,5 +1,6 @@
 import hashlib
 import random
+import sys
 
 import numpy as np
 import pytest
@@ -107,3 +108,28 @@ def test_a_piece_needs_little_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(found[0]) and peak < 150 << 20
+
+
+def test_large_parts_fall_around_pivots():
+    source = np.random.default_rng(8)
+    for letters, length in ((2, 12), (3, 50), (250, 40)):
+        base = source.integers(0, letters, 900, dtype=np.uint8)
+        data = np.concatenate([base, base[100:400], base]).tobytes()
+        starts = np.arange(len(data) - length + 1)
+        groups = source.integers(0, 3, len(starts))
+        order, same = order_suffixes(data, starts, groups, length)
+        keys = [(groups[i], data[starts[i] : starts[i] + length]) for i in order]
+        assert sorted(order.tolist()) == starts.tolist() and keys == sorted(keys)
+        assert same.tolist() == [i > 0 and keys[i] == keys[i - 1] for i in range(len(keys))]
+
+
+def test_small_groups_are_sorted_together():
+    """Calls do not grow with the number of groups."""
+    data = np.random.default_rng(9).integers(0, 256, 60_000, dtype=np.uint8).tobytes()
+    starts, calls = np.arange(0, 59_000, 10), []
+    sys.setprofile(lambda frame, event, arg: calls.append(event))
+    try:
+        order_suffixes(data, starts, starts // 100, 50)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < 590
