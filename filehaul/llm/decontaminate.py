@@ -134,8 +134,10 @@ def _add_rows(total: np.ndarray, features: np.ndarray, values: np.ndarray, rows:
         start += size
 
 
-def _sum_slices(parts: DataFrame) -> DataFrame:
+def _sum_slices(rows: DataFrame, each) -> DataFrame:
     """``slice, values``: sums over all tasks, a row for each slice, whatever the corpus."""
+    # Every task sends whole arrays, however little it has read: tasks by cores, not by bytes.
+    parts = rows.coalesce(2 * rows.sparkSession.sparkContext.defaultParallelism).mapInArrow(each, "slice int, values binary")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -223,7 +225,7 @@ def fit_space(hashed: DataFrame, max_df: float = 0.05, rank: int = RANK) -> np.n
             found[0, 1] += len(starts)
         yield from _emit(found)
 
-    counts = _whole(_sum_slices(hashed.select("words").mapInArrow(count, "slice int, values binary")), 2)
+    counts = _whole(_sum_slices(hashed.select("words"), count), 2)
     passages, df = counts[0, 1], counts[:, 0]
     if not passages:
         return np.zeros((FEATURES, rank), np.float32)
@@ -250,7 +252,7 @@ def fit_space(hashed: DataFrame, max_df: float = 0.05, rank: int = RANK) -> np.n
             _add_rows(total, feature, latent, passage)
         yield from _emit(total)
 
-    sums, _ = store_once(_sum_slices(hashed.select("words").mapInArrow(sketch, "slice int, values binary")), "sketch")
+    sums, _ = store_once(_sum_slices(hashed.select("words"), sketch), "sketch")
     # A'A is near Z (omega'Z)^-1 Z'; a small shift keeps the inner matrix positive when passages are few.
     products = _each_slice(sums, idf, rank, lambda z, omega, _: np.stack([omega.T @ z, omega.T @ omega]))
     inner, plain = np.sum(_small(products, 2, rank, rank), axis=0)
@@ -406,6 +408,7 @@ def find_leaks(
     if block or found is None:
         part = stored(block)
         found = part if found is None else found.unionByName(part)
+    delete_stored(hashed)
     best = F.max(F.struct("share", "nearness", "answer", "first_word", "last_word")).alias("best")
     return found.groupBy("doc_id", "digest", "item_id").agg(best).select("doc_id", "digest", "item_id", "best.*")
 

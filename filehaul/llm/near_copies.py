@@ -266,6 +266,7 @@ def _roots(nodes: DataFrame, source: DataFrame, words: int, radius: int, least:
         sets, _ = store_once(_sets(source.join(wanted, same).dropDuplicates(["node"]), words), "shingle-sets")
 
     proven = tested = roots = None
+    stored = [buckets, by_fp, near, sets]
     for turn in range(HUB_ROUNDS + 1):
         if roots is None:
             rooted = buckets.withColumn("root", F.col("node"))
@@ -277,6 +278,7 @@ def _roots(nodes: DataFrame, source: DataFrame, words: int, radius: int, least:
             pairs = _ordered(_pairs_of_bands(rooted, nodes, sets, least))
         pairs = pairs.unionByName(near).distinct() if tested is None else pairs.join(tested, ["u", "v"], "left_anti")
         pairs, seen = store_once(pairs, "pairs", {"pairs": F.count("*")})
+        stored.append(pairs)
         if not seen["pairs"] and roots is not None:
             continue
         with small_batches(source.sparkSession):
@@ -284,8 +286,11 @@ def _roots(nodes: DataFrame, source: DataFrame, words: int, radius: int, least:
         release(source.sparkSession)
         tested = pairs if tested is None else tested.unionByName(pairs)
         proven = found if proven is None else proven.unionByName(found)
-        roots = connected_components(proven)
-    delete_stored(buckets, by_fp, near, sets)
+        stored.append(found)
+        before, roots = roots, connected_components(proven)
+        if before is not None:
+            delete_stored(before)
+    delete_stored(*stored)
     return roots
 
 
@@ -317,7 +322,7 @@ def keep_first(
     chosen = of.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("least").alias("least"))
     name = fresh_name(docs.columns, "chosen")
     chosen, _ = store_once(chosen.select(F.col("least.key").alias(name)), "chosen")
-    delete_stored(nodes)
+    delete_stored(nodes, roots)
     same = F.col(id_column).eqNullSafe(F.col(f"{name}.id")) & (digest == F.col(f"{name}.digest"))
     kept = docs.join(chosen, same, "left_semi")
     # Rows that stand twice are one.
